@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 MONEY = "decimal(10,2)"
 RATE = "decimal(10,4)"
 # Sums over an order, a customer or a product are wider than one row's money, so that a
-# key holding a large share of all rows cannot overflow.
-MONEY_SUM = "decimal(20,2)"
-RATE_SUM = "decimal(20,4)"
+# key holding a large share of all rows cannot overflow. 18 digits still fit a long.
+MONEY_SUM = "decimal(18,2)"
+RATE_SUM = "decimal(18,4)"
 
 Caster = Callable[[Column, str], Column]
 
@@ -49,12 +49,12 @@ def flag(c: Column, yes: str, default: str) -> Column:
 
 def bare_amount(c: Column) -> Column:
     """Drop currency signs and thousands separators."""
-    return F.regexp_replace(c, "[$,]", "")
+    return F.translate(c, "$,", "")
 
 
 def drop_leading_apostrophe(c: Column) -> Column:
     """Spreadsheet exports guard leading zeros with one apostrophe."""
-    return F.regexp_replace(c, "^'", "")
+    return F.when(F.startswith(c, F.lit("'")), F.substr(c, F.lit(2))).otherwise(c)
 
 
 # ---- keys -----------------------------------------------------------------------------
@@ -106,8 +106,9 @@ def divide_half_away(numerator: Column, denominator: Column) -> Column:
     The arguments are bigint or decimal(38,0) columns; the result is bigint.
     """
     size = F.abs(denominator)
-    rounded = F.call_function("div", F.abs(numerator) * 2 + size, F.nullif(size, F.lit(0)) * 2)
-    return F.when(F.signum(numerator) * F.signum(denominator) < 0, -rounded).otherwise(rounded)
+    half = F.when(numerator < 0, -size).otherwise(size)
+    divisor = F.nullif(denominator, F.lit(0)) * 2
+    return F.call_function("div", numerator * 2 + half, divisor)
 
 
 def multiply_divide(a: Column, b: Column, denominator: Column) -> Column:
@@ -117,9 +118,8 @@ def multiply_divide(a: Column, b: Column, denominator: Column) -> Column:
     steps in decimals.
     """
     small = (
-        (F.abs(a).cast("double") * F.abs(b).cast("double") < F.lit(4.0e18))
-        & (F.abs(denominator) < F.lit(10**18))
-    )
+        F.abs(a.cast("double") * b.cast("double")) + F.abs(denominator.cast("double"))
+    ) < F.lit(4.0e18)
     wide = divide_half_away(
         a.cast("decimal(20,0)") * b.cast("decimal(14,0)"), denominator.cast("decimal(20,0)")
     )

@@ -2,7 +2,8 @@
 
 A plain ``row_number`` sends a whole group to one task. Here groups above ``hot_rows``
 rows are numbered from pre-aggregated counts instead, so that no task ever receives the
-rows of such a group. Both ways give the same numbers.
+rows of such a group. Both ways give the same numbers. A job over the key columns alone
+decides first whether there is such a group, so that the usual case stays one window.
 """
 
 from __future__ import annotations
@@ -33,14 +34,16 @@ def number_rows(
     levels = [*levels, rest] if rest else levels
     order = [c for level in levels for c in level]
 
-    # At most rows / hot_rows keys can pass this filter: small at any scale.
-    hot_keys = F.broadcast(
-        df.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
-    )
-    window = Window.partitionBy(*keys).orderBy(*order)
-    cold = df.join(hot_keys, keys, "left_anti").withColumn(
-        name, F.row_number().over(window).cast("bigint")
-    )
+    def numbered_whole(rows: DataFrame) -> DataFrame:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
+
+    hot_keys = df.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
+    if hot_keys.isEmpty():
+        return numbered_whole(df)
+    # At most rows / hot_rows keys are hot, so their list is small at any scale.
+    hot_keys = F.broadcast(hot_keys)
+    cold = numbered_whole(df.join(hot_keys, keys, "left_anti"))
     hot = _number_from_counts(df.join(hot_keys, keys, "left_semi"), keys, levels, name)
     return cold.unionByName(hot.select(*cold.columns))
 

@@ -168,18 +168,16 @@ def allocated_cents(line: Column, order_gross: Column, discount: Column) -> Colu
     return F.when(order_gross > 0, share).otherwise(F.lit(0).cast("bigint"))
 
 
-def allocate_discounts(lines: DataFrame, fact_orders: DataFrame) -> DataFrame:
-    """Order lines with their share of the order discount, in proportion to gross revenue."""
+def _line_cents(lines: DataFrame, fact_orders: DataFrame) -> DataFrame:
+    """Order lines with their amounts and their share of the order discount, in cents."""
     orders = fact_orders.select(
-        "order_id", "order_key", "order_date_key", "order_discount_amount", "gross_product_sales"
-    )
-    gross = F.col("lineitem_price") * F.col("lineitem_quantity")
-    cents = allocated_cents(
-        C.scaled(gross, 2),
-        C.scaled(F.col("gross_product_sales"), 2),
-        C.scaled(F.col("order_discount_amount"), 2),
+        "order_id",
+        "order_key",
+        "order_date_key",
+        C.scaled(F.col("gross_product_sales"), 2).alias("order_cents"),
+        C.scaled(F.col("order_discount_amount"), 2).alias("discount_cents"),
     )
-    return lines.join(orders, "order_id").select(
+    amounts = lines.join(orders, "order_id").select(
         "order_key",
         "order_id",
         "line_number",
@@ -187,10 +185,32 @@ def allocate_discounts(lines: DataFrame, fact_orders: DataFrame) -> DataFrame:
         "lineitem_name",
         F.col("lineitem_quantity").alias("quantity"),
         F.col("lineitem_price").alias("unit_price"),
-        gross.cast(C.MONEY_SUM).alias("gross_line_revenue"),
         F.col("lineitem_discount").alias("line_discount"),
-        C.unscaled(cents, 2, C.MONEY_SUM).alias("allocated_order_discount"),
+        (C.scaled(F.col("lineitem_price"), 2) * F.col("lineitem_quantity")).alias("gross_cents"),
+        "order_cents",
+        "discount_cents",
     )
+    share = allocated_cents(F.col("gross_cents"), F.col("order_cents"), F.col("discount_cents"))
+    return amounts.withColumn("share_cents", share)
+
+
+def _line_amounts() -> list[Column]:
+    return [
+        "order_key",
+        "order_id",
+        "line_number",
+        "order_date_key",
+        "quantity",
+        "unit_price",
+        C.unscaled(F.col("gross_cents"), 2, C.MONEY_SUM).alias("gross_line_revenue"),
+        "line_discount",
+        C.unscaled(F.col("share_cents"), 2, C.MONEY_SUM).alias("allocated_order_discount"),
+    ]
+
+
+def allocate_discounts(lines: DataFrame, fact_orders: DataFrame) -> DataFrame:
+    """Order lines with their share of the order discount, in proportion to gross revenue."""
+    return _line_cents(lines, fact_orders).select("lineitem_name", *_line_amounts())
 
 
 def fact_order_line(
@@ -202,42 +222,44 @@ def fact_order_line(
     product before it meets the lines. A line without a costed recipe costs 0, is flagged,
     and has a margin of 100 percent.
     """
-    allocated = allocate_discounts(lines, fact_orders)
-    net = (
-        F.col("gross_line_revenue") - F.col("line_discount") - F.col("allocated_order_discount")
-    ).cast(C.MONEY_SUM)
-    priced = allocated.withColumn("net_line_revenue", net).join(
+    priced = _line_cents(lines, fact_orders).join(
         product_costs(sku_map, costs), "lineitem_name", "left"
     )
-
-    costed = F.col("unit_missing_cost").isNotNull()
-    cogs = F.coalesce("unit_cogs", F.lit(0).cast(C.RATE_SUM))
-    quantity = F.col("quantity").cast("bigint")
-    # In units of 1/10000: net revenue of the line, and net revenue less its cost.
-    net_units = C.scaled(F.col("net_line_revenue"), 4)
-    profit_units = net_units - C.scaled(cogs, 4) * quantity
-    margin = C.divide_half_away(profit_units, quantity)
-    percent = C.multiply_divide(profit_units, F.lit(1_000_000).cast("bigint"), net_units)
-    percent = F.when(net_units > 0, F.when(quantity != 0, percent)).otherwise(F.lit(0).cast("bigint"))
+    # Margins are worked out in whole units of 1/10000. Each step is a projection of its
+    # own, so that no step is computed twice.
+    net_cents = (
+        F.col("gross_cents") - C.scaled(F.col("line_discount"), 2) - F.col("share_cents")
+    )
+    priced = priced.withColumns(
+        {
+            "net_cents": net_cents,
+            "estimated_cogs": F.coalesce("unit_cogs", F.lit(0).cast(C.RATE_SUM)),
+        }
+    )
+    net, quantity = F.col("net_units"), F.col("quantity").cast("bigint")
+    priced = priced.withColumn("net_units", F.col("net_cents") * 100).withColumn(
+        "profit_units", net - C.scaled(F.col("estimated_cogs"), 4) * quantity
+    )
+    profit = F.col("profit_units")
+    percent = C.multiply_divide(profit, F.lit(1_000_000).cast("bigint"), net)
+    percent = F.when(net > 0, F.when(quantity != 0, percent)).otherwise(F.lit(0).cast("bigint"))
+    priced = priced.withColumns(
+        {
+            "margin_units": C.divide_half_away(profit, quantity),
+            "percent_units": F.when(F.col("unit_missing_cost").isNotNull(), percent).otherwise(
+                F.lit(1_000_000).cast("bigint")
+            ),
+        }
+    )
     return priced.select(
         order_line_key().alias("order_line_key"),
-        "order_key",
-        "order_id",
-        "line_number",
         "product_key",
-        "order_date_key",
-        "quantity",
-        "unit_price",
-        "gross_line_revenue",
-        "line_discount",
-        "allocated_order_discount",
-        "net_line_revenue",
-        cogs.alias("estimated_cogs"),
+        *_line_amounts(),
+        C.unscaled(F.col("net_cents"), 2, C.MONEY_SUM).alias("net_line_revenue"),
+        "estimated_cogs",
         F.coalesce("unit_missing_cost", F.lit(True)).alias("has_missing_cost"),
-        C.unscaled(margin, 4, C.RATE_SUM).alias("gross_margin"),
-        F.when(costed, C.unscaled(percent, 4, C.RATE_SUM))
-        .otherwise(F.lit(100).cast(C.RATE_SUM))
-        .alias("margin_percent"),
+        C.unscaled(F.col("margin_units"), 4, C.RATE_SUM).alias("gross_margin"),
+        C.unscaled(F.col("percent_units"), 4, C.RATE_SUM).alias("margin_percent"),
     )
 
 

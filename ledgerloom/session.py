@@ -21,6 +21,9 @@ SETTINGS = {
     # split costs one more exchange further down.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles a method above 8000 bytes of bytecode; wide projections are
+    # faster split into small methods than fused into one that stays interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -40,6 +43,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Small local files would all be broadcast, which leaves single-task stages.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1MB")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
