@@ -44,9 +44,13 @@ class Shop:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table of the folder; its footer is read once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # ---- staging tables ---------------------------------------------------------------
 
