@@ -117,13 +117,16 @@ def multiply_divide(a: Column, b: Column, denominator: Column) -> Column:
     Nearly all amounts are small enough for bigint arithmetic; the others take the same
     steps in decimals.
     """
-    small = (
-        F.abs(a.cast("double") * b.cast("double")) + F.abs(denominator.cast("double"))
-    ) < F.lit(4.0e18)
+    product = F.abs(a.cast("double") * b.cast("double"))
+    size = F.abs(denominator.cast("double"))
     wide = divide_half_away(
         a.cast("decimal(20,0)") * b.cast("decimal(14,0)"), denominator.cast("decimal(20,0)")
     )
-    return F.when(small, divide_half_away(a * b, denominator)).otherwise(wide)
+    return (
+        F.when(product + size < F.lit(4.0e18), divide_half_away(a * b, denominator))
+        .when(product > size * F.lit(9.0e18), F.raise_error(F.lit("quotient exceeds bigint")))
+        .otherwise(wide)
+    )
 
 
 def scaled(c: Column, digits: int) -> Column:

@@ -1,0 +1,390 @@
+"""Dimensions, facts and marts on small frames with awkward rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal as Dec
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import columns as C
+from ledgerloom.operators import dimensions as D
+from ledgerloom.operators import extensions, facts, marts
+
+ORDERS = (
+    "order_id long, order_number string, email string, source string, shipping_method string, "
+    "subtotal decimal(10,2), discount_amount decimal(10,2), refunded_amount decimal(10,2), "
+    "shipping decimal(10,2), taxes decimal(10,2), total decimal(10,2), financial_status string, "
+    "fulfillment_status string, risk_level string, created_at timestamp, paid_at timestamp, "
+    "fulfilled_at timestamp"
+)
+LINES = (
+    "order_id long, line_number long, lineitem_name string, lineitem_quantity int, "
+    "lineitem_price decimal(10,2), lineitem_discount decimal(10,2)"
+)
+SKUS = (
+    "internal_sku string, lineitem_name string, product_handle string, size_ml int, "
+    "recipe_id string, product_category string, is_active boolean"
+)
+MATERIALS = (
+    "material_id string, material_name string, ingredient_match string, category string, unit string, "
+    "cost_per_unit decimal(10,4), cost_per_ml decimal(10,4), has_known_cost boolean, supplier string"
+)
+RECIPES = (
+    "recipe_id string, recipe_name string, variant string, batch_size_ml int, "
+    "ingredient_match string, percent decimal(10,4), amount_ml decimal(10,4), material_id string, "
+    "recipe_line long"
+)
+CUSTOMERS = (
+    "customer_id long, email string, city string, province string, province_code string, "
+    "country string, country_code string, accepts_email_marketing boolean, "
+    "accepts_sms_marketing boolean"
+)
+
+
+def order(n, **values):
+    base = {
+        "order_id": n, "email": "a@x.com", "source": "web", "shipping_method": "Economy",
+        "subtotal": Dec("10.00"), "discount_amount": Dec(0), "refunded_amount": Dec(0),
+        "created_at": dt.datetime(2025, 3, n % 28 + 1, 12),
+    }
+    return base | values
+
+
+def line(n, number, name="oil", quantity=1, price="10.00", discount="0"):
+    return {
+        "order_id": n, "line_number": number, "lineitem_name": name, "lineitem_quantity": quantity,
+        "lineitem_price": price and Dec(price), "lineitem_discount": Dec(discount),
+    }
+
+
+@pytest.fixture(scope="module")
+def build(frame):
+    def make(orders, lines, skus=(), recipes=(), materials=()):
+        o, ls = frame(ORDERS, *orders), frame(LINES, *lines)
+        sku, rec, mat = frame(SKUS, *skus), frame(RECIPES, *recipes), frame(MATERIALS, *materials)
+        fact = facts.fact_order(o, ls, D.dim_shipping_method(o))
+        costs = facts.recipe_costs(rec, mat)
+        return fact, facts.fact_order_line(ls, fact, sku, costs), costs, sku
+
+    return make
+
+
+# ---- rounding -------------------------------------------------------------------------
+
+def test_divide_half_away(spark):
+    rows = [(a, d) for a in range(-12, 13) for d in (-4, -3, -2, -1, 1, 2, 3, 4, 7)]
+    df = spark.createDataFrame(rows, "a long, d long")
+    got = df.select("a", "d", C.divide_half_away(F.col("a"), F.col("d")).alias("q")).collect()
+    for r in got:
+        exact = Dec(r["a"]) / Dec(r["d"])
+        assert r["q"] == int(exact.quantize(Dec(1), rounding="ROUND_HALF_UP")), r
+    zero = df.limit(1).select(C.divide_half_away(F.col("a"), F.lit(0).cast("bigint")).alias("q"))
+    assert zero.first()["q"] is None
+
+
+def test_multiply_divide_beyond_bigint(spark):
+    big = 9_999_999_999
+    rows = [(big, big, 10_000_000_000), (-big, big, 20), (7, 3, 2), (big, big, -30)]
+    df = spark.createDataFrame(rows, "a long, b long, d long")
+    got = df.select(C.multiply_divide(F.col("a"), F.col("b"), F.col("d")).alias("q")).collect()
+    exact = [int((Dec(a) * b / d).quantize(Dec(1), rounding="ROUND_HALF_UP")) for a, b, d in rows]
+    assert [r["q"] for r in got] == exact
+    over = df.select(C.multiply_divide(F.col("a"), F.col("b"), F.lit(3).cast("bigint")).alias("q"))
+    with pytest.raises(PySparkException):
+        over.collect()
+
+
+# ---- discounts ------------------------------------------------------------------------
+
+def test_three_equal_lines(build):
+    _, lines, _, _ = build(
+        [order(1, discount_amount=Dec("1.00"))], [line(1, n, price="3.33") for n in (1, 2, 3)]
+    )
+    rows = lines.collect()
+    # Each share is rounded alone, as amounts are stored; they need not add up.
+    assert [r["allocated_order_discount"] for r in rows] == [Dec("0.33")] * 3
+    assert {r["net_line_revenue"] for r in rows} == {Dec("3.00")}
+
+
+def test_free_order_with_discount(build):
+    _, lines, _, _ = build([order(1, discount_amount=Dec("5"))], [line(1, 1, price="0.00")])
+    r = lines.first()
+    assert (r["allocated_order_discount"], r["net_line_revenue"]) == (0, 0)
+    assert (r["gross_margin"], r["margin_percent"], r["has_missing_cost"]) == (0, 100, True)
+
+
+def test_half_cent_goes_away_from_zero(build):
+    _, lines, _, _ = build(
+        [order(1, discount_amount=Dec("0.01"))], [line(1, 1, price="5.00"), line(1, 2, price="5.00")]
+    )
+    assert [r["allocated_order_discount"] for r in lines.collect()] == [Dec("0.01")] * 2
+
+
+def test_large_amounts(build):
+    _, lines, _, _ = build(
+        [order(1, discount_amount=Dec("99999999.99"))],
+        [line(1, 1, quantity=1000, price="99999999.99"), line(1, 2, quantity=3000, price="99999999.99")],
+    )
+    got = {r["line_number"]: r["allocated_order_discount"] for r in lines.collect()}
+    assert got == {1: Dec("25000000.00"), 2: Dec("74999999.99")}
+
+
+# ---- orders ---------------------------------------------------------------------------
+
+def test_order_without_lines(build):
+    fact, _, _, _ = build([order(1, discount_amount=Dec("2.00"))], [])
+    r = fact.first()
+    assert (r["gross_product_sales"], r["line_item_count"], r["unit_count"]) == (Dec("12.00"), 1, 1)
+
+
+def test_keys_of_orders(build, spark, frame):
+    orders = [
+        order(1, source="POS", shipping_method="Local Pickup"),
+        order(2, source="Mobile", shipping_method=None, email=""),
+        order(3, source=None, shipping_method="", email=None),
+        order(4, source="unknown", shipping_method="local pickup", email="A@X.com"),
+        order(5, created_at=None, subtotal=None),
+    ]
+    fact, _, _, _ = build(orders, [])
+    channel = {r["channel_key"]: r["channel_code"] for r in D.dim_channel(spark).collect()}
+    methods = D.dim_shipping_method(frame(ORDERS, *orders)).collect()
+    method = {r["shipping_method_key"]: r["shipping_method_code"] for r in methods}
+    rows = {r["order_id"]: r for r in fact.collect()}
+    assert [channel[rows[n]["channel_key"]] for n in range(1, 5)] == ["pos", "web", "web", "unknown"]
+    assert [method[rows[n]["shipping_method_key"]] for n in range(1, 6)] == [
+        "local_pickup", "economy", "economy", "local_pickup", "economy",
+    ]
+    assert rows[1]["customer_key"] == rows[4]["customer_key"] is not None
+    assert rows[2]["customer_key"] is None and rows[3]["customer_key"] is None
+    assert rows[1]["order_date_key"] == 20250302 and rows[5]["order_date_key"] is None
+    assert rows[5]["net_sales"] is None
+
+
+# ---- cost and margin ------------------------------------------------------------------
+
+def sku(code, name="oil", recipe="r", size=5, active=True):
+    return {"internal_sku": code, "lineitem_name": name, "recipe_id": recipe, "size_ml": size,
+            "is_active": active}
+
+
+def ingredient(n, material, amount=None, variant="final", size=5, recipe="r"):
+    return {"recipe_id": recipe, "variant": variant, "batch_size_ml": size, "recipe_line": n,
+            "ingredient_match": f"i{n}", "amount_ml": amount and Dec(amount), "material_id": material}
+
+
+MATERIAL_ROWS = [
+    {"material_id": "ml", "cost_per_ml": Dec("0.3333"), "has_known_cost": True},
+    {"material_id": "piece", "cost_per_unit": Dec("0.5"), "has_known_cost": True},
+    {"material_id": "unknown", "cost_per_ml": Dec("9"), "has_known_cost": False},
+    {"material_id": "null", "cost_per_ml": Dec("9"), "has_known_cost": None},
+]
+
+
+def test_ingredient_costs(build):
+    _, _, costs, _ = build([], [], [], [
+        ingredient(1, "ml", "0.3333"), ingredient(2, "ml"), ingredient(3, "piece"),
+        ingredient(4, "unknown", "1"), ingredient(5, "missing", "1"), ingredient(6, "null", "1"),
+        ingredient(7, "ml", "1", variant="draft"),
+    ], MATERIAL_ROWS)
+    rows = {r["recipe_line"]: r for r in costs.collect()}
+    assert set(rows) == {1, 2, 3, 4, 5, 6}
+    assert rows[1]["line_cost"] == Dec("0.1111")  # rounded to four places per ingredient
+    assert rows[2]["line_cost"] is None and rows[2]["has_known_cost"]
+    assert rows[3]["line_cost"] == Dec("0.5")
+    for n in (4, 5, 6):
+        assert rows[n]["line_cost"] == 0 and not rows[n]["has_known_cost"]
+    assert rows[5]["material_key"] is None
+
+
+def test_margins(build):
+    _, lines, _, _ = build(
+        [order(1), order(2, discount_amount=Dec("10.00")), order(3), order(4), order(5)],
+        [
+            line(1, 1, quantity=3, price="10.00"),
+            line(2, 1),                              # net 0
+            line(3, 1, quantity=0),                  # nothing to divide by
+            line(4, 1, name="no recipe", quantity=4, price="0.03"),
+            line(5, 1, discount="30.00"),            # net below 0
+        ],
+        [sku("s"), sku("t", name="no recipe", recipe="none")],
+        [ingredient(1, "piece"), ingredient(2, "ml")],
+        MATERIAL_ROWS,
+    )
+    rows = {r["order_id"]: r for r in lines.collect()}
+    assert (rows[1]["estimated_cogs"], rows[1]["gross_margin"]) == (Dec("0.5"), Dec("9.5"))
+    assert (rows[1]["margin_percent"], rows[1]["has_missing_cost"]) == (Dec("95"), False)
+    assert (rows[2]["gross_margin"], rows[2]["margin_percent"]) == (Dec("-0.5"), 0)
+    assert rows[3]["gross_margin"] is None and rows[3]["margin_percent"] == 0
+    assert (rows[4]["estimated_cogs"], rows[4]["gross_margin"]) == (0, Dec("0.03"))
+    assert (rows[4]["margin_percent"], rows[4]["has_missing_cost"]) == (100, True)
+    assert rows[4]["product_key"] is not None
+    assert (rows[5]["net_line_revenue"], rows[5]["margin_percent"]) == (Dec("-20"), 0)
+
+
+def test_two_skus_under_one_name_do_not_multiply_lines(build):
+    _, lines, _, _ = build(
+        [order(1)], [line(1, 1)], [sku("b", active=False), sku("z"), sku("a", active=False)]
+    )
+    rows = lines.collect()
+    assert len(rows) == 1
+    assert rows[0]["product_key"] == lines.select(F.md5(F.lit("z"))).first()[0]
+
+
+def test_cogs_rows_skip_lines_without_product(build, frame):
+    fact, lines, costs, skus = build(
+        [order(1)], [line(1, 1), line(1, 2, name="other")], [sku("s")],
+        [ingredient(1, "piece"), ingredient(2, "gone", "1")], MATERIAL_ROWS,
+    )
+    products = D.dim_product(skus, frame("handle string, vendor string, variant_price decimal(10,2)"))
+    cogs = facts.fact_cogs_estimate(lines, products, costs)
+    assert sorted(r["cogs_key"] for r in cogs.collect()) == ["1-1-1", "1-1-2"]
+    detail = marts.kpi_cogs_detail(products, lines, costs).collect()
+    assert [(r["total_cost"], r["avg_cost_per_unit"]) for r in detail] == [(Dec("0.5"), 0.5)]
+
+
+# ---- dimensions -----------------------------------------------------------------------
+
+def test_customers_ignore_case(frame):
+    orders = frame(
+        ORDERS,
+        order(3, email="Ann@X.com", subtotal=Dec("5"), refunded_amount=Dec("1")),
+        order(1, email="ann@x.com"), order(2, email="bob@x.com", subtotal=None), order(4, email=""),
+    )
+    profiles = frame(
+        CUSTOMERS,
+        {"customer_id": 9, "email": "ANN@x.com", "city": "late"},
+        {"customer_id": 2, "email": "ann@X.com", "city": "first", "accepts_email_marketing": True},
+    )
+    rows = {r["total_orders"]: r for r in D.dim_customer(orders, profiles).collect()}
+    assert set(rows) == {1, 2}
+    ann, bob = rows[2], rows[1]
+    assert (ann["customer_id"], ann["city"], ann["accepts_email_marketing"]) == (2, "first", True)
+    assert (ann["total_spent"], ann["customer_segment"]) == (Dec("14.00"), "returning")
+    assert ann["first_order_date"] == dt.date(2025, 3, 2)
+    assert (bob["total_spent"], bob["customer_segment"]) == (0, "new")
+    assert bob["customer_id"] is None and bob["accepts_sms_marketing"] is False
+
+
+def test_segments(spark):
+    df = spark.createDataFrame([(0,), (1,), (2,), (9,), (None,)], "n int")
+    assert [r[0] for r in df.select(D.segment(F.col("n"))).collect()] == [
+        "prospect", "new", "returning", "returning", "unknown",
+    ]
+
+
+def test_shipping_methods(frame):
+    both = frame(ORDERS, order(1, shipping_method="economy"), order(2, shipping_method="Economy"))
+    rows = D.dim_shipping_method(both).collect()
+    assert [(r["shipping_method_code"], r["shipping_method_name"]) for r in rows] == [("economy", "Economy")]
+    none = frame(ORDERS, order(1, shipping_method=""), order(2, shipping_method=None))
+    rows = D.dim_shipping_method(none).collect()
+    assert [(r["shipping_method_code"], r["is_local_delivery"]) for r in rows] == [("unknown", False)]
+
+
+def test_product_defaults(frame):
+    skus = frame(SKUS, sku("a") | {"product_handle": "h"}, sku("b") | {"product_handle": "none"},
+                 sku("c") | {"product_handle": "blank"})
+    shop = frame(
+        "handle string, vendor string, variant_price decimal(10,2)",
+        {"handle": "h", "vendor": "v", "variant_price": Dec("3")}, {"handle": "blank", "vendor": ""},
+    )
+    rows = {r["internal_sku"]: r for r in D.dim_product(skus, shop, "Own", Dec("7.5")).collect()}
+    assert (rows["a"]["vendor"], rows["a"]["variant_price"]) == ("v", 3)
+    assert (rows["b"]["vendor"], rows["b"]["variant_price"]) == ("Own", Dec("7.50"))
+    assert rows["c"]["vendor"] == ""  # blank text is a value
+
+
+def test_calendar(spark):
+    rows = {r["full_date"]: r for r in D.calendar(spark, dt.date(2024, 12, 28), dt.date(2025, 1, 5)).collect()}
+    assert len(rows) == 9
+    monday = rows[dt.date(2024, 12, 30)]
+    assert (monday["date_key"], monday["week_of_year"], monday["day_of_week"]) == (20241230, 1, 1)
+    assert (monday["day_name"], monday["month_name"], monday["is_weekend"]) == ("Monday", "December", False)
+    sunday = rows[dt.date(2025, 1, 5)]
+    assert (sunday["day_of_week"], sunday["is_weekend"], sunday["is_holiday"]) == (0, True, False)
+    assert (sunday["fiscal_year"], sunday["fiscal_quarter"]) == (2025, 1)
+
+
+def test_calendar_of_no_dates(spark):
+    assert D.calendar_of(spark.createDataFrame([], "d timestamp"), "d").count() == 0
+
+
+# ---- marts ----------------------------------------------------------------------------
+
+def test_marts_over_empty_facts(build, spark):
+    fact, _, _, _ = build([], [])
+    totals = marts.kpi_revenue_totals(fact).first()
+    assert (totals["total_orders"], totals["total_net_sales"], totals["overall_aov"]) == (0, None, 0)
+    days = D.calendar(spark, dt.date(2025, 1, 1), dt.date(2025, 1, 3))
+    daily = marts.kpi_sales_summary(days, fact).collect()
+    assert [(r["orders_count"], r["units_sold"], r["aov"]) for r in daily] == [(0, None, 0)] * 3
+
+
+def test_today_is_the_default_limit(build, spark):
+    fact, _, _, _ = build([], [])
+    today = dt.date.today()
+    days = D.calendar(spark, today - dt.timedelta(3), today + dt.timedelta(30))
+    assert marts.kpi_sales_summary(days, fact).count() in (4, 5)
+
+
+def test_new_and_returning_on_the_same_day(build, frame, spark):
+    rows = [order(1), order(2, created_at=dt.datetime(2025, 3, 2, 20)), order(3), order(4, email="")]
+    fact, _, _, _ = build(rows, [])
+    customers = D.dim_customer(frame(ORDERS, *rows), frame(CUSTOMERS))
+    days = D.calendar(spark, dt.date(2025, 1, 1), dt.date(2025, 12, 31))
+    kinds = {r["customer_type"]: r for r in marts.kpi_new_vs_returning(fact, customers, days).collect()}
+    assert (kinds["new"]["orders"], kinds["new"]["unique_customers"]) == (2, 1)
+    assert kinds["returning"]["orders"] == 1
+    cohorts = extensions.customer_cohorts(fact, customers).collect()
+    assert [(r["cohort_month"], r["months_since"], r["orders"]) for r in cohorts] == [
+        (dt.date(2025, 3, 1), 0, 3)
+    ]
+
+
+def test_failed_validation(build):
+    fact, _, _, _ = build(
+        [order(1, shipping=Dec(1), taxes=Dec(1), total=Dec("12.00")),
+         order(2, subtotal=Dec("9.98"), shipping=Dec(1), taxes=Dec(1), total=Dec("12.00")),
+         order(3, subtotal=Dec("9.99"), shipping=None)],
+        [line(1, 1), line(2, 1), line(3, 1)],
+    )
+    rows = {r["order_id"]: r for r in marts.validation_order_totals(fact).collect()}
+    verdicts = {n: (r["subtotal_validation"], r["total_validation"]) for n, r in rows.items()}
+    assert verdicts == {1: ("PASS", "PASS"), 2: ("FAIL", "FAIL"), 3: ("PASS", "FAIL")}
+    assert rows[2]["subtotal_diff"] == Dec("0.02")
+
+
+def test_weekly_trend(build, spark):
+    fact, _, _, _ = build(
+        [order(1, created_at=dt.datetime(2025, 3, 3, 1)), order(2, created_at=dt.datetime(2025, 3, 9, 23)),
+         order(3, created_at=dt.datetime(2025, 3, 17))],
+        [],
+    )
+    days = D.calendar(spark, dt.date(2025, 3, 3), dt.date(2025, 3, 23))
+    weekly = extensions.sales_by_period(days, fact, "week")
+    rows = extensions.week_over_week(weekly).orderBy("period_start").collect()
+    assert [(r["period_start"].day, r["orders_count"], r["net_sales"]) for r in rows] == [
+        (3, 2, Dec("20.00")), (10, 0, None), (17, 1, Dec("10.00")),
+    ]
+    assert rows[0]["previous_net_sales"] is None and rows[1]["previous_net_sales"] == 20
+    monthly = extensions.sales_by_period(days, fact, "month").collect()
+    assert [(r["orders_count"], r["units_sold"]) for r in monthly] == [(3, 3)]
+
+
+def test_ratios(frame):
+    ads = frame(
+        "campaign_name string, platform string, reach int, impressions int, amount_spent decimal(10,2), "
+        "link_clicks int, landing_page_views int, cpm decimal(10,4), cpc decimal(10,4), ctr decimal(10,4)",
+        {"campaign_name": "a", "impressions": 2000, "amount_spent": Dec(10), "link_clicks": 4},
+        {"campaign_name": "b", "impressions": 0, "amount_spent": Dec(0), "cpc": Dec("1.5")},
+    )
+    rows = {r["campaign_name"]: r for r in extensions.ad_ratios(ads).collect()}
+    assert (rows["a"]["cpm"], rows["a"]["cpc"], rows["a"]["ctr"]) == (5.0, 2.5, 0.2)
+    assert (rows["b"]["cpm"], rows["b"]["cpc"], rows["b"]["ctr"]) == (0.0, 1.5, 0.0)
+    revenue = frame("campaign_name string, revenue decimal(10,2)", {"campaign_name": "a", "revenue": Dec(25)},
+                    {"campaign_name": "b", "revenue": Dec(5)})
+    roas = {r["campaign_name"]: r["estimated_roas"] for r in marts.kpi_marketing_performance(ads, revenue).collect()}
+    assert roas == {"a": Dec("2.5"), "b": None}
