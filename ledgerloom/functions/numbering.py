@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 5_000_000
+from ledgerloom.functions.hotkeys import HOT_ROWS, hot_keys
+
 COPIES_PER_ROW = 100_000
 
 
@@ -38,13 +39,13 @@ def number_rows(
         window = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
 
-    hot_keys = df.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
-    if hot_keys.isEmpty():
+    hot = hot_keys(df, keys, hot_rows)
+    if hot.isEmpty():
         return numbered_whole(df)
     # At most rows / hot_rows keys are hot, so their list is small at any scale.
-    hot_keys = F.broadcast(hot_keys)
-    cold = numbered_whole(df.join(hot_keys, keys, "left_anti"))
-    hot = _number_from_counts(df.join(hot_keys, keys, "left_semi"), keys, levels, name)
+    hot = F.broadcast(hot)
+    cold = numbered_whole(df.join(hot, keys, "left_anti"))
+    hot = _number_from_counts(df.join(hot, keys, "left_semi"), keys, levels, name)
     return cold.unionByName(hot.select(*cold.columns))
 
 

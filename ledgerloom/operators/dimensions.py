@@ -204,7 +204,7 @@ def dim_shipping_method(orders: DataFrame) -> DataFrame:
         F.lower("shipping_method_name").contains("local").alias("is_local_delivery"),
     )
     code, name, local = UNKNOWN_METHOD
-    unknown = named.agg(F.count("*").alias("n")).where("n = 0").select(
+    unknown = methods.agg(F.count("*").alias("n")).where("n = 0").select(
         F.lit(code).alias("shipping_method_code"),
         F.lit(name).alias("shipping_method_name"),
         F.lit(local).alias("is_local_delivery"),

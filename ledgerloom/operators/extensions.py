@@ -52,11 +52,7 @@ def week_over_week(weekly: DataFrame) -> DataFrame:
 
 def customer_cohorts(fact_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Customers, orders and revenue by month of first order and months since then."""
-    orders = (
-        fact_orders.where("customer_key IS NOT NULL")
-        .select("customer_key", "order_date_key", "net_sales")
-        .join(dim_customers.select("customer_key", "first_order_date"), "customer_key")
-    )
+    orders = marts.orders_of_customers(fact_orders, dim_customers)
     order_month = F.floor(F.col("order_date_key") / 100)
     months = (
         (F.floor(order_month / 100) - F.year("first_order_date")) * 12

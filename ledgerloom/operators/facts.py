@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
+from ledgerloom.functions.hotkeys import HOT_ROWS, hot_keys, join_busy
 from ledgerloom.functions.numbering import first_per_key
 from ledgerloom.operators import dimensions as D
 from ledgerloom.operators.staging import order_line_key
@@ -93,7 +94,8 @@ def recipe_costs(recipes: DataFrame, materials: DataFrame) -> DataFrame:
     """Cost of each ingredient of one unit, for the recipe variant that is sold.
 
     An ingredient priced by volume costs amount times price (NULL without an amount),
-    packaging costs its piece price, and an unknown cost counts as 0.
+    packaging costs its piece price, and an unknown cost counts as 0. ``recipe_line`` is
+    carried along if the recipes are numbered.
     """
     material = materials.select(
         "material_id", "material_name", "category", "cost_per_ml", "cost_per_unit",
@@ -111,7 +113,7 @@ def recipe_costs(recipes: DataFrame, materials: DataFrame) -> DataFrame:
         .select(
             "recipe_id",
             F.col("batch_size_ml").alias("size_ml"),
-            "recipe_line",
+            *[c for c in recipes.columns if c == "recipe_line"],
             F.when(F.col("_found"), C.surrogate(F.col("material_id"))).alias("material_key"),
             "material_name",
             F.col("category").alias("material_category"),
@@ -168,8 +170,9 @@ def allocated_cents(line: Column, order_gross: Column, discount: Column) -> Colu
     return F.when(order_gross > 0, share).otherwise(F.lit(0).cast("bigint"))
 
 
-def _line_cents(lines: DataFrame, fact_orders: DataFrame) -> DataFrame:
+def _line_cents(lines: DataFrame, fact_orders: DataFrame, hot_rows: int) -> DataFrame:
     """Order lines with their amounts and their share of the order discount, in cents."""
+    busy = fact_orders.where(F.col("line_item_count") > hot_rows).select("order_id")
     orders = fact_orders.select(
         "order_id",
         "order_key",
@@ -177,7 +180,7 @@ def _line_cents(lines: DataFrame, fact_orders: DataFrame) -> DataFrame:
         C.scaled(F.col("gross_product_sales"), 2).alias("order_cents"),
         C.scaled(F.col("order_discount_amount"), 2).alias("discount_cents"),
     )
-    amounts = lines.join(orders, "order_id").select(
+    amounts = join_busy(lines, orders, ["order_id"], busy).select(
         "order_key",
         "order_id",
         "line_number",
@@ -208,22 +211,28 @@ def _line_amounts() -> list[Column]:
     ]
 
 
-def allocate_discounts(lines: DataFrame, fact_orders: DataFrame) -> DataFrame:
+def allocate_discounts(
+    lines: DataFrame, fact_orders: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Order lines with their share of the order discount, in proportion to gross revenue."""
-    return _line_cents(lines, fact_orders).select("lineitem_name", *_line_amounts())
+    return _line_cents(lines, fact_orders, hot_rows).select("lineitem_name", *_line_amounts())
 
 
 def fact_order_line(
-    lines: DataFrame, fact_orders: DataFrame, sku_map: DataFrame, costs: DataFrame
+    lines: DataFrame, fact_orders: DataFrame, products: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One row per order line with revenue, estimated cost and margin per unit.
 
-    ``costs`` is ``recipe_costs``. Cost depends on the product only, so it is summed per
-    product before it meets the lines. A line without a costed recipe costs 0, is flagged,
-    and has a margin of 100 percent.
+    ``products`` is ``product_costs``: cost depends on the product only, so it is summed
+    per product before it meets the lines. A line without a costed recipe costs 0, is
+    flagged, and has a margin of 100 percent.
     """
-    priced = _line_cents(lines, fact_orders).join(
-        product_costs(sku_map, costs), "lineitem_name", "left"
+    priced = join_busy(
+        _line_cents(lines, fact_orders, hot_rows),
+        products,
+        ["lineitem_name"],
+        hot_keys(lines, ["lineitem_name"], hot_rows),
+        "left",
     )
     # Margins are worked out in whole units of 1/10000. Each step is a projection of its
     # own, so that no step is computed twice.
@@ -271,11 +280,13 @@ def product_ingredients(dim_products: DataFrame, costs: DataFrame) -> DataFrame:
 
 
 def fact_cogs_estimate(
-    fact_lines: DataFrame, dim_products: DataFrame, costs: DataFrame
+    fact_lines: DataFrame, dim_products: DataFrame, costs: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """One row per order line and recipe ingredient."""
+    """One row per order line and recipe ingredient; ``costs`` of numbered recipes."""
     lines = fact_lines.where("product_key IS NOT NULL").select("order_line_key", "product_key")
-    return lines.join(product_ingredients(dim_products, costs), "product_key").select(
+    ingredients = product_ingredients(dim_products, costs)
+    hot = hot_keys(lines, ["product_key"], hot_rows)
+    return join_busy(lines, ingredients, ["product_key"], hot).select(
         F.concat_ws("-", "order_line_key", "recipe_line").alias("cogs_key"),
         "order_line_key",
         "product_key",

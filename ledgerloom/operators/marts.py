@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
+from ledgerloom.functions.hotkeys import HOT_ROWS, join_busy
 
 # ---- fixed values ---------------------------------------------------------------------
 
@@ -204,16 +205,29 @@ def kpi_customer_segments(dim_customers: DataFrame) -> DataFrame:
     )
 
 
+def orders_of_customers(
+    fact_orders: DataFrame, dim_customers: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Orders of known customers with the date of the customer's first order."""
+    orders = fact_orders.where("customer_key IS NOT NULL").select(
+        "customer_key", "order_date_key", "net_sales"
+    )
+    first = dim_customers.select("customer_key", "first_order_date")
+    busy = dim_customers.where(F.col("total_orders") > hot_rows).select("customer_key")
+    return join_busy(orders, first, ["customer_key"], busy)
+
+
 def kpi_new_vs_returning(
-    fact_orders: DataFrame, dim_customers: DataFrame, dim_date: DataFrame
+    fact_orders: DataFrame,
+    dim_customers: DataFrame,
+    dim_date: DataFrame,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Orders on the customer's first order date against all later ones."""
     is_new = F.col("first_order_date") == F.col("full_date")
-    orders = (
-        fact_orders.where("customer_key IS NOT NULL")
-        .select("customer_key", F.col("order_date_key").alias("date_key"), "net_sales")
-        .join(dim_customers.select("customer_key", "first_order_date"), "customer_key")
-        .join(dim_date.select("date_key", "full_date"), "date_key")
+    days = dim_date.select(F.col("date_key").alias("order_date_key"), "full_date")
+    orders = orders_of_customers(fact_orders, dim_customers, hot_rows).join(
+        days, "order_date_key"
     )
     return (
         orders.groupBy(F.when(is_new, "new").otherwise("returning").alias("customer_type"))

@@ -184,11 +184,9 @@ def stg_material_costs(raw: DataFrame, cast: C.Caster = C.typed) -> DataFrame:
     )
 
 
-def stg_recipes(
-    raw: DataFrame, cast: C.Caster = C.typed, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """One row per recipe ingredient, numbered inside the recipe."""
-    rows = raw.where(C.filled(F.col("recipe_id"))).select(
+def recipe_ingredients(raw: DataFrame, cast: C.Caster = C.typed) -> DataFrame:
+    """One row per recipe ingredient, not numbered: all that costing needs."""
+    return raw.where(C.filled(F.col("recipe_id"))).select(
         "recipe_id",
         "recipe_name",
         "variant",
@@ -198,8 +196,14 @@ def stg_recipes(
         cast(F.col("amount_ml"), C.RATE).alias("amount_ml"),
         "material_id",
     )
+
+
+def stg_recipes(
+    raw: DataFrame, cast: C.Caster = C.typed, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """One row per recipe ingredient, numbered inside the recipe."""
     return number_rows(
-        rows,
+        recipe_ingredients(raw, cast),
         ["recipe_id"],
         [["batch_size_ml", "variant"], ["ingredient_match", "material_id"]],
         "recipe_line",

@@ -155,11 +155,10 @@ def build_layers(
         ),
         month_from="order_date_key",
     )
+    products = star.save("product_cost", facts.product_costs(t["stg_product_sku_map"], costs))
     t["fact_order_line"] = star.save(
         "fact_order_line",
-        facts.fact_order_line(
-            t["stg_order_lines"], t["fact_order"], t["stg_product_sku_map"], costs
-        ),
+        facts.fact_order_line(t["stg_order_lines"], t["fact_order"], products),
         month_from="order_date_key",
     )
     t["fact_cogs_estimate"] = star.save(

@@ -43,6 +43,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Saves a round trip to the JVM for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Small local files would all be broadcast, which leaves single-task stages.
         .config("spark.sql.autoBroadcastJoinThreshold", "1MB")
         .config("spark.driver.bindAddress", "127.0.0.1")

@@ -57,18 +57,18 @@ class Shop:
     @cached_property
     def line_rows(self) -> DataFrame:
         """Order lines before numbering."""
-        price = _dec("l_extendedprice")
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            _text("#", "l_orderkey").alias("order_number"),
-            _text("PART-", "l_partkey").alias("lineitem_name"),
-            F.when(F.col("l_partkey") % 17 != 0, _text("SKU-", "l_partkey")).alias("lineitem_sku"),
-            F.col("l_quantity").cast("int").alias("lineitem_quantity"),
-            price.alias("lineitem_price"),
-            F.lit(None).cast(C.MONEY).alias("lineitem_compare_at_price"),
-            _dec(price * _dec("l_discount", "decimal(4,2)")).alias("lineitem_discount"),
-            F.col("l_linestatus").alias("lineitem_fulfillment_status"),
-            _text("Vendor ", "l_suppkey").alias("vendor"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "'#' || l_orderkey AS order_number",
+            "'PART-' || l_partkey AS lineitem_name",
+            "CASE WHEN l_partkey % 17 <> 0 THEN 'SKU-' || l_partkey END AS lineitem_sku",
+            "CAST(l_quantity AS INT) AS lineitem_quantity",
+            "CAST(l_extendedprice AS DECIMAL(10,2)) AS lineitem_price",
+            "CAST(NULL AS DECIMAL(10,2)) AS lineitem_compare_at_price",
+            "CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_discount AS DECIMAL(4,2))"
+            " AS DECIMAL(10,2)) AS lineitem_discount",
+            "l_linestatus AS lineitem_fulfillment_status",
+            "'Vendor ' || l_suppkey AS vendor",
         )
 
     @cached_property
@@ -78,78 +78,69 @@ class Shop:
     @cached_property
     def stg_orders(self) -> DataFrame:
         """Orders whose amounts follow from their lines, with some that do not add up."""
-        key, customer = F.col("o_orderkey"), F.col("o_custkey")
-        orders = self.table("orders").join(
-            facts.order_line_summary(self.line_rows).withColumnRenamed("order_id", "o_orderkey"),
-            "o_orderkey",
-            "left",
+        gross = facts.order_line_summary(self.line_rows).select(
+            F.col("order_id").alias("o_orderkey"), "calculated_gross"
         )
-        priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-        created = F.col("o_orderdate").cast("timestamp")
-        urgent, finished = priority == "1-URGENT", status == "F"
-        email = F.when(key % 2 == 0, _text("BUYER", customer, "@EXAMPLE.COM")).otherwise(
-            _text("Buyer", customer, "@Example.com")
+        discounted = self.table("orders").join(gross, "o_orderkey", "left").selectExpr(
+            "*",
+            "CASE WHEN o_orderpriority = '1-URGENT' AND calculated_gross IS NOT NULL"
+            " THEN CAST(calculated_gross * CAST(0.05 AS DECIMAL(4,2)) AS DECIMAL(10,2))"
+            " ELSE CAST(0 AS DECIMAL(10,2)) END AS discount_amount",
         )
-        method = (
-            F.when(urgent, "Express Local")
-            .when(priority == "2-HIGH", "Local Delivery")
-            .when(priority == "3-MEDIUM", "Economy")
-            .when(priority == "5-LOW", "Standard")
+        priced = discounted.selectExpr(
+            "*",
+            "CASE WHEN o_orderkey % 50 = 0 OR calculated_gross IS NULL"
+            " THEN CAST(o_totalprice AS DECIMAL(10,2))"
+            " ELSE CAST(calculated_gross - discount_amount AS DECIMAL(10,2)) END AS subtotal",
         )
-        source = (
-            F.when(key % 5 == 0, "web")
-            .when(key % 5 == 1, "pos")
-            .when(key % 5 == 2, "API")
-            .when(key % 5 == 3, "Mobile App")
+        taxed = priced.selectExpr(
+            "*",
+            "CAST(subtotal * CAST(0.08 AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS taxes",
+            "CAST(IF(o_orderpriority IN ('1-URGENT', '2-HIGH'), 0, 4) AS DECIMAL(10,2)) AS shipping",
+            "CAST(o_orderdate AS TIMESTAMP) AS created_at",
+            "o_orderstatus = 'F' AS finished",
         )
-        half, tax_rate, off = (F.expr(f"CAST({x} AS DECIMAL(4,2))") for x in ("0.5", "0.08", "0.05"))
-        gross = F.col("calculated_gross")
-        own_price = (key % 50 == 0) | gross.isNull()
-        discount = F.when(urgent & gross.isNotNull(), _dec(gross * off)).otherwise(_dec(F.lit(0)))
-        orders = orders.withColumn("discount_amount", discount).withColumn(
-            "subtotal",
-            F.when(own_price, _dec("o_totalprice")).otherwise(_dec(gross - F.col("discount_amount"))),
-        )
-        orders = orders.withColumn("taxes", _dec(F.col("subtotal") * tax_rate)).withColumn(
-            "shipping", _dec(F.when(method.contains("Local"), 0).otherwise(4))
-        )
-        slip = F.when(key % 70 == 0, 1).otherwise(0)
-        city = F.concat(F.lit("City "), (customer % 100).cast("string"))
-        province = F.concat(F.lit("P"), (customer % 25).cast("string"))
-        zip_code = F.lpad((customer % 100000).cast("string"), 5, "0")
-        return orders.select(
-            key.alias("order_id"),
-            _text("#", key).alias("order_number"),
-            F.when(key % 31 != 0, email).otherwise("").alias("email"),
-            F.when(finished, "paid").when(status == "O", "pending").otherwise("partially_paid").alias(
-                "financial_status"
-            ),
-            F.when(finished, "fulfilled").otherwise("unfulfilled").alias("fulfillment_status"),
-            F.lit("USD").alias("currency"),
-            method.alias("shipping_method"),
-            F.when(key % 40 == 0, "High").otherwise("Low").alias("risk_level"),
-            source.alias("source"),
-            F.lit("Card").alias("payment_method"),
+        address = {
+            "city": "'City ' || (o_custkey % 100)",
+            "province": "'P' || (o_custkey % 25)",
+            "country": "'US'",
+            "zip": "lpad(CAST(o_custkey % 100000 AS STRING), 5, '0')",
+        }
+        return taxed.selectExpr(
+            "o_orderkey AS order_id",
+            "'#' || o_orderkey AS order_number",
+            "CASE WHEN o_orderkey % 31 = 0 THEN ''"
+            " WHEN o_orderkey % 2 = 0 THEN 'BUYER' || o_custkey || '@EXAMPLE.COM'"
+            " ELSE 'Buyer' || o_custkey || '@Example.com' END AS email",
+            "CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'pending'"
+            " ELSE 'partially_paid' END AS financial_status",
+            "IF(finished, 'fulfilled', 'unfulfilled') AS fulfillment_status",
+            "'USD' AS currency",
+            "CASE o_orderpriority WHEN '1-URGENT' THEN 'Express Local'"
+            " WHEN '2-HIGH' THEN 'Local Delivery' WHEN '3-MEDIUM' THEN 'Economy'"
+            " WHEN '5-LOW' THEN 'Standard' END AS shipping_method",
+            "IF(o_orderkey % 40 = 0, 'High', 'Low') AS risk_level",
+            "CASE o_orderkey % 5 WHEN 0 THEN 'web' WHEN 1 THEN 'pos' WHEN 2 THEN 'API'"
+            " WHEN 3 THEN 'Mobile App' END AS source",
+            "'Card' AS payment_method",
             *[
-                c.alias(f"{kind}_{name}")
+                f"{expression} AS {kind}_{name}"
                 for kind in ("billing", "shipping")
-                for name, c in (
-                    ("city", city), ("province", province), ("country", F.lit("US")), ("zip", zip_code),
-                )
+                for name, expression in address.items()
             ],
             "subtotal",
             "shipping",
             "taxes",
-            _dec(F.col("subtotal") + F.col("shipping") + F.col("taxes") + slip).alias("total"),
-            F.when(urgent, "RUSH5").alias("discount_code"),
+            "CAST(subtotal + shipping + taxes + IF(o_orderkey % 70 = 0, 1, 0) AS DECIMAL(10,2))"
+            " AS total",
+            "IF(o_orderpriority = '1-URGENT', 'RUSH5', NULL) AS discount_code",
             "discount_amount",
-            F.when(finished & (key % 20 == 0), _dec(F.col("subtotal") * half))
-            .otherwise(_dec(F.lit(0)))
-            .alias("refunded_amount"),
-            created.alias("created_at"),
-            F.when(finished, created).alias("paid_at"),
-            F.when(finished, created).alias("fulfilled_at"),
-            F.lit(None).cast("timestamp").alias("cancelled_at"),
+            "CAST(IF(finished AND o_orderkey % 20 = 0, subtotal * CAST(0.5 AS DECIMAL(4,2)), 0)"
+            " AS DECIMAL(10,2)) AS refunded_amount",
+            "created_at",
+            "IF(finished, created_at, NULL) AS paid_at",
+            "IF(finished, created_at, NULL) AS fulfilled_at",
+            "CAST(NULL AS TIMESTAMP) AS cancelled_at",
         )
 
     @cached_property
@@ -247,7 +238,7 @@ class Shop:
 
     @cached_property
     def stg_recipes(self) -> DataFrame:
-        return staging.stg_recipes(as_text(self.recipe_rows))
+        return staging.stg_recipes(self.raw_recipes)
 
     @cached_property
     def stg_customers(self) -> DataFrame:
@@ -414,7 +405,12 @@ class Shop:
 
     @cached_property
     def recipe_costs(self) -> DataFrame:
-        return facts.recipe_costs(self.stg_recipes, self.dim_material)
+        recipes = staging.recipe_ingredients(self.raw_recipes)
+        return facts.recipe_costs(recipes, self.stg_material_costs)
+
+    @cached_property
+    def numbered_costs(self) -> DataFrame:
+        return facts.recipe_costs(self.stg_recipes, self.stg_material_costs)
 
     @cached_property
     def fact_order(self) -> DataFrame:
@@ -422,13 +418,12 @@ class Shop:
 
     @cached_property
     def fact_order_line(self) -> DataFrame:
-        return facts.fact_order_line(
-            self.stg_order_lines, self.fact_order, self.stg_product_sku_map, self.recipe_costs
-        )
+        products = facts.product_costs(self.stg_product_sku_map, self.recipe_costs)
+        return facts.fact_order_line(self.stg_order_lines, self.fact_order, products)
 
     @cached_property
     def fact_cogs_estimate(self) -> DataFrame:
-        return facts.fact_cogs_estimate(self.fact_order_line, self.dim_product, self.recipe_costs)
+        return facts.fact_cogs_estimate(self.fact_order_line, self.dim_product, self.numbered_costs)
 
     @cached_property
     def fact_marketing_spend(self) -> DataFrame:

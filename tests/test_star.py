@@ -67,7 +67,8 @@ def build(frame):
         sku, rec, mat = frame(SKUS, *skus), frame(RECIPES, *recipes), frame(MATERIALS, *materials)
         fact = facts.fact_order(o, ls, D.dim_shipping_method(o))
         costs = facts.recipe_costs(rec, mat)
-        return fact, facts.fact_order_line(ls, fact, sku, costs), costs, sku
+        products = facts.product_costs(sku, costs)
+        return fact, facts.fact_order_line(ls, fact, products), costs, sku
 
     return make
 
