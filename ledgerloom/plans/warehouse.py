@@ -39,6 +39,8 @@ class WarehouseConfig:
     strict: bool = True
     # Exports whose quoted fields hold no line breaks can be split over tasks.
     multiline: bool = True
+    # Partition order facts by month, for readers that ask for a range of days.
+    monthly: bool = True
 
 
 def replace_table(
@@ -147,19 +149,20 @@ def build_layers(
     t |= {n: star.save(n, df) for n, df in dimension_tables(spark, t, config).items()}
 
     costs = facts.recipe_costs(t["stg_recipes"], t["dim_material"])
+    month_from = "order_date_key" if config.monthly else None
     t["fact_order"] = star.save(
         "fact_order",
         facts.fact_order(
             t["stg_orders"], t["stg_order_lines"], t["dim_shipping_method"],
             config.default_channel,
         ),
-        month_from="order_date_key",
+        month_from,
     )
     products = star.save("product_cost", facts.product_costs(t["stg_product_sku_map"], costs))
     t["fact_order_line"] = star.save(
         "fact_order_line",
         facts.fact_order_line(t["stg_order_lines"], t["fact_order"], products),
-        month_from="order_date_key",
+        month_from,
     )
     t["fact_cogs_estimate"] = star.save(
         "fact_cogs_estimate",
