@@ -24,11 +24,13 @@ def number_rows(
     levels: list[list[str]],
     name: str,
     hot_rows: int = HOT_ROWS,
+    first: str | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, ... inside each ``keys`` group, as bigint.
 
     Rows are ordered by the columns of ``levels``, then by all remaining columns, nulls
-    first, so the result is the same on every run.
+    first, so the result is the same on every run. ``first`` names a boolean column that
+    is true on one row per group and value of the first level.
     """
     listed = {*keys, *(c for level in levels for c in level)}
     rest = [c for c in df.columns if c not in listed]
@@ -36,8 +38,11 @@ def number_rows(
     order = [c for level in levels for c in level]
 
     def numbered_whole(rows: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
+        group = Window.partitionBy(*keys)
+        number = F.row_number().over(group.orderBy(*order)).cast("bigint")
+        start = F.rank().over(group.orderBy(*levels[0]))
+        added = {name: number} if first is None else {name: number, first: number == start}
+        return rows.withColumns(added)
 
     hot = hot_keys(df, keys, hot_rows)
     if hot.isEmpty():
@@ -45,12 +50,12 @@ def number_rows(
     # At most rows / hot_rows keys are hot, so their list is small at any scale.
     hot = F.broadcast(hot)
     cold = numbered_whole(df.join(hot, keys, "left_anti"))
-    hot = _number_from_counts(df.join(hot, keys, "left_semi"), keys, levels, name)
+    hot = _number_from_counts(df.join(hot, keys, "left_semi"), keys, levels, name, first)
     return cold.unionByName(hot.select(*cold.columns))
 
 
 def _number_from_counts(
-    df: DataFrame, keys: list[str], levels: list[list[str]], name: str
+    df: DataFrame, keys: list[str], levels: list[list[str]], name: str, first: str | None
 ) -> DataFrame:
     """Number rows by adding up, level by level, how many rows sort before them.
 
@@ -71,26 +76,33 @@ def _number_from_counts(
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        placed = counts if placed is None else _add_offset(counts, placed, parent)
+        if placed is None:
+            placed = counts.withColumn("_start", F.col("_before") + 1)
+        else:
+            placed = _add_offset(counts, placed, parent)
 
     # Copies of one row are written out in slices that are spread over tasks first.
     slices = placed.withColumn(
         "_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(COPIES_PER_ROW)))
     ).repartition(*keys, "_before", "_from")
     last = F.least(F.col("_from") + COPIES_PER_ROW, F.col("_n"))
-    return (
-        slices.withColumn("_copy", F.explode(F.sequence(F.col("_from") + 1, last)))
-        .withColumn(name, (F.col("_before") + F.col("_copy")).cast("bigint"))
-        .select(*df.columns, name)
-    )
+    number = (F.col("_before") + F.col("_copy")).cast("bigint")
+    added = [number.alias(name)]
+    if first is not None:
+        added.append((number == F.col("_start")).alias(first))
+    copies = slices.withColumn("_copy", F.explode(F.sequence(F.col("_from") + 1, last)))
+    return copies.select(*df.columns, *added)
 
 
 def _add_offset(counts: DataFrame, parents: DataFrame, on: list[str]) -> DataFrame:
-    base = parents.select(*[F.col(c).alias(f"_p_{c}") for c in on], F.col("_before").alias("_base"))
+    base = parents.select(
+        *[F.col(c).alias(f"_p_{c}") for c in on], F.col("_before").alias("_base"), "_start"
+    )
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in on])
     return counts.join(base, same).select(
         *[c for c in counts.columns if c != "_before"],
         (F.col("_before") + F.col("_base")).alias("_before"),
+        "_start",
     )
 
 

@@ -186,10 +186,10 @@ def customer_key(hashed: Column) -> Column:
 # ---- channels and shipping ------------------------------------------------------------
 
 def dim_channel(spark: SparkSession) -> DataFrame:
-    seeds = spark.createDataFrame(
-        CHANNELS, "channel_code string, channel_name string, channel_type string, is_online boolean"
-    )
-    return seeds.select(C.surrogate(F.col("channel_code")).alias("channel_key"), *seeds.columns)
+    names = ("channel_code", "channel_name", "channel_type", "is_online")
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in CHANNELS]
+    seeds = spark.range(1).select(F.inline(F.array(*rows)))
+    return seeds.select(C.surrogate(F.col("channel_code")).alias("channel_key"), *names)
 
 
 def dim_shipping_method(orders: DataFrame) -> DataFrame:

@@ -186,6 +186,7 @@ def _line_cents(lines: DataFrame, fact_orders: DataFrame, hot_rows: int) -> Data
         "line_number",
         "order_date_key",
         "lineitem_name",
+        *[c for c in lines.columns if c == "first_of_name"],
         F.col("lineitem_quantity").alias("quantity"),
         F.col("lineitem_price").alias("unit_price"),
         F.col("lineitem_discount").alias("line_discount"),
@@ -269,6 +270,7 @@ def fact_order_line(
         F.coalesce("unit_missing_cost", F.lit(True)).alias("has_missing_cost"),
         C.unscaled(F.col("margin_units"), 4, C.RATE_SUM).alias("gross_margin"),
         C.unscaled(F.col("percent_units"), 4, C.RATE_SUM).alias("margin_percent"),
+        *[c for c in lines.columns if c == "first_of_name"],
     )
 
 

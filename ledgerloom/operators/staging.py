@@ -86,13 +86,18 @@ def stg_order_lines(
 
 
 def number_lines(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``line_number`` and the line's key to order lines without them."""
+    """Add ``line_number`` and the line's key to order lines without them.
+
+    ``first_of_name`` is true on one line per order and line name; with it, counting the
+    orders of a product needs no distinct count over all lines.
+    """
     numbered = number_rows(
         rows,
         ["order_id"],
         [["lineitem_name"], ["lineitem_price", "lineitem_quantity", "lineitem_discount"]],
         "line_number",
         hot_rows,
+        first="first_of_name",
     )
     return numbered.withColumn("order_line_id", order_line_key())
 

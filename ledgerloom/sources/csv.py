@@ -107,7 +107,7 @@ def first_found(spark: SparkSession, paths: list[str], multiline: bool = True) -
 
 
 def empty(spark: SparkSession, names: list[str]) -> DataFrame:
-    return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in names))
+    return spark.range(0).select(*[F.lit("").alias(n) for n in names])
 
 
 def ads_columns(df: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 import sys
 import time
 
@@ -14,12 +13,6 @@ def _key(row):
     return tuple((v is not None, str(type(v)), v) for v in row)
 
 
-def _same(a, b) -> bool:
-    if isinstance(a, float) and isinstance(b, float):
-        return math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12)
-    return a == b
-
-
 def duck(folder: str):
     import duckdb
 
@@ -39,7 +32,7 @@ def differences(spark_df, con, sql: str, show: int = 3) -> list[str]:
     found = []
     for g, w in zip(got, want):
         for name, a, b in zip(names, g, w):
-            if not _same(a, b):
+            if a != b:
                 found.append(f"{name}: {a!r} expected {b!r} in {g}")
         if len(found) >= show:
             break

@@ -155,7 +155,8 @@ def test_shipping_methods_need_no_order_lines(spark):
 def test_profitability_combines_before_it_shuffles(spark):
     shop = Shop(spark, FOLDER)
     plan = initial_plan(marts.kpi_product_profitability(shop.dim_product, shop.fact_order_line))
-    assert "partial_sum" in plan
+    assert "partial_sum" in plan and "partial_count" in plan
+    assert "keys=[product_key" in plan and not re.search(r"keys=\[product_key#\d+, order_", plan)
 
 
 @pytest.mark.parametrize("build", [

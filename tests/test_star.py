@@ -313,6 +313,22 @@ def test_calendar_of_no_dates(spark):
     assert D.calendar_of(spark.createDataFrame([], "d timestamp"), "d").count() == 0
 
 
+def test_orders_of_a_product_with_and_without_the_mark(frame, build):
+    from ledgerloom.operators import staging
+
+    rows = [line(1, 0), line(1, 0, price="9.00"), line(1, 0, name="b"), line(2, 0), line(3, 0, name="b")]
+    lines = staging.number_lines(frame(LINES, *rows).drop("line_number"))
+    orders = frame(ORDERS, order(1), order(2), order(3))
+    fact = facts.fact_order(orders, lines, D.dim_shipping_method(orders))
+    skus = frame(SKUS, sku("s"), sku("t", name="b"))
+    costs = facts.recipe_costs(frame(RECIPES), frame(MATERIALS))
+    fact_lines = facts.fact_order_line(lines, fact, facts.product_costs(skus, costs))
+    products = D.dim_product(skus, frame("handle string, vendor string, variant_price decimal(10,2)"))
+    for df in (fact_lines, fact_lines.drop("first_of_name")):
+        got = marts.kpi_product_profitability(products, df).collect()
+        assert {r["internal_sku"]: r["orders_containing_product"] for r in got} == {"s": 2, "t": 2}
+
+
 # ---- marts ----------------------------------------------------------------------------
 
 def test_marts_over_empty_facts(build, spark):
