@@ -90,7 +90,9 @@ def fact_order(
 
 # ---- cost of goods --------------------------------------------------------------------
 
-def recipe_costs(recipes: DataFrame, materials: DataFrame) -> DataFrame:
+def recipe_costs(
+    recipes: DataFrame, materials: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Cost of each ingredient of one unit, for the recipe variant that is sold.
 
     An ingredient priced by volume costs amount times price (NULL without an amount),
@@ -107,9 +109,15 @@ def recipe_costs(recipes: DataFrame, materials: DataFrame) -> DataFrame:
         .when(known & F.col("cost_per_unit").isNotNull(), F.col("cost_per_unit"))
         .otherwise(F.lit(0))
     )
+    sold = recipes.where(F.col("variant") == COSTED_VARIANT)
     return (
-        recipes.where(F.col("variant") == COSTED_VARIANT)
-        .join(material.withColumn("_found", F.lit(True)), "material_id", "left")
+        join_busy(
+            sold,
+            material.withColumn("_found", F.lit(True)),
+            ["material_id"],
+            hot_keys(sold, ["material_id"], hot_rows),
+            "left",
+        )
         .select(
             "recipe_id",
             F.col("batch_size_ml").alias("size_ml"),
@@ -145,17 +153,17 @@ def sku_by_line_name(sku_map: DataFrame) -> DataFrame:
     )
 
 
-def product_costs(sku_map: DataFrame, costs: DataFrame) -> DataFrame:
+def product_costs(
+    sku_map: DataFrame, costs: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Per line name: the product it stands for and the cost of one unit."""
-    return (
-        sku_by_line_name(sku_map)
-        .join(unit_costs(costs), ["recipe_id", "size_ml"], "left")
-        .select(
-            "lineitem_name",
-            C.surrogate(F.col("internal_sku")).alias("product_key"),
-            "unit_cogs",
-            "unit_missing_cost",
-        )
+    recipe = ["recipe_id", "size_ml"]
+    hot = hot_keys(sku_map, recipe, hot_rows)
+    return join_busy(sku_by_line_name(sku_map), unit_costs(costs), recipe, hot, "left").select(
+        "lineitem_name",
+        C.surrogate(F.col("internal_sku")).alias("product_key"),
+        "unit_cogs",
+        "unit_missing_cost",
     )
 
 
@@ -274,11 +282,12 @@ def fact_order_line(
     )
 
 
-def product_ingredients(dim_products: DataFrame, costs: DataFrame) -> DataFrame:
-    """Costed ingredients of one unit of each product."""
-    return dim_products.select("product_key", "recipe_id", "size_ml").join(
-        costs, ["recipe_id", "size_ml"]
-    )
+def product_ingredients(
+    products: DataFrame, costs: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Costed ingredients of one unit of each product, next to the product's columns."""
+    recipe = ["recipe_id", "size_ml"]
+    return join_busy(products, costs, recipe, hot_keys(products, recipe, hot_rows))
 
 
 def fact_cogs_estimate(
@@ -286,7 +295,8 @@ def fact_cogs_estimate(
 ) -> DataFrame:
     """One row per order line and recipe ingredient; ``costs`` of numbered recipes."""
     lines = fact_lines.where("product_key IS NOT NULL").select("order_line_key", "product_key")
-    ingredients = product_ingredients(dim_products, costs)
+    products = dim_products.select("product_key", "recipe_id", "size_ml")
+    ingredients = product_ingredients(products, costs, hot_rows)
     hot = hot_keys(lines, ["product_key"], hot_rows)
     return join_busy(lines, ingredients, ["product_key"], hot).select(
         F.concat_ws("-", "order_line_key", "recipe_line").alias("cogs_key"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
 from ledgerloom.functions.hotkeys import HOT_ROWS, join_busy
+from ledgerloom.operators.facts import product_ingredients
 
 # ---- fixed values ---------------------------------------------------------------------
 
@@ -153,7 +154,7 @@ def kpi_product_profitability(dim_products: DataFrame, fact_lines: DataFrame) ->
 
 
 def kpi_cogs_detail(
-    dim_products: DataFrame, fact_lines: DataFrame, costs: DataFrame
+    dim_products: DataFrame, fact_lines: DataFrame, costs: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Use and cost of each material per product.
 
@@ -166,9 +167,11 @@ def kpi_cogs_detail(
         .groupBy("product_key")
         .agg(F.count("*").alias("lines"))
     )
-    used = dim_products.join(lines, "product_key").join(
-        costs.where("material_key IS NOT NULL"), ["recipe_id", "size_ml"]
+    known = costs.where("material_key IS NOT NULL")
+    products = dim_products.select(
+        "product_key", "internal_sku", "product_title", "recipe_id", "size_ml"
     )
+    used = product_ingredients(products, known, hot_rows).join(lines, "product_key")
 
     def total(column: str) -> Column:
         return F.sum(F.col(column) * F.col("lines"))
@@ -231,11 +234,14 @@ def kpi_new_vs_returning(
     dim_date: DataFrame,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Orders on the customer's first order date against all later ones."""
+    """Orders on the customer's first order date against all later ones.
+
+    A calendar has a few thousand days, so it is broadcast and no day's orders are moved.
+    """
     is_new = F.col("first_order_date") == F.col("full_date")
     days = dim_date.select(F.col("date_key").alias("order_date_key"), "full_date")
     orders = orders_of_customers(fact_orders, dim_customers, hot_rows).join(
-        days, "order_date_key"
+        F.broadcast(days), "order_date_key"
     )
     return (
         orders.groupBy(F.when(is_new, "new").otherwise("returning").alias("customer_type"))

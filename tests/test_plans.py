@@ -166,3 +166,45 @@ def test_profitability_combines_before_it_shuffles(spark):
 def test_unused_line_numbers_cost_nothing(spark, build):
     """Marts that do not show line numbers do not sort lines to number them."""
     assert "row_number() windowspecdefinition(order_id" not in initial_plan(build(Shop(spark, FOLDER)))
+
+
+def test_hot_recipe_material_and_handle_give_the_same_rows(spark):
+    """Half of all SKUs share a recipe and a shop product, half of all recipe rows a material."""
+    n = F.col("id")
+    skus = spark.range(400).select(
+        F.concat(F.lit("s"), n.cast("string")).alias("internal_sku"),
+        F.concat(F.lit("l"), n.cast("string")).alias("lineitem_name"),
+        F.concat(F.lit("h"), F.when(n % 2 == 0, 0).otherwise(n).cast("string")).alias("product_handle"),
+        F.lit(5).alias("size_ml"),
+        F.concat(F.lit("r"), F.when(n % 2 == 0, 0).otherwise(n % 9).cast("string")).alias("recipe_id"),
+        F.lit("c").alias("product_category"),
+        F.lit(True).alias("is_active"),
+    )
+    shop = spark.range(0, 400, 3).select(
+        F.concat(F.lit("h"), n.cast("string")).alias("handle"),
+        F.lit("v").alias("vendor"),
+        F.lit(1).cast("decimal(10,2)").alias("variant_price"),
+    )
+    recipes = spark.range(60).select(
+        F.concat(F.lit("r"), (n % 10).cast("string")).alias("recipe_id"), F.lit("final").alias("variant"),
+        F.lit(5).alias("batch_size_ml"), n.alias("recipe_line"), n.cast("string").alias("ingredient_match"),
+        F.lit(2).cast("decimal(10,4)").alias("amount_ml"),
+        F.concat(F.lit("m"), F.when(n % 2 == 0, 0).otherwise(n).cast("string")).alias("material_id"),
+    )
+    materials = spark.range(0, 60, 4).select(
+        F.concat(F.lit("m"), n.cast("string")).alias("material_id"), n.cast("string").alias("material_name"),
+        F.lit("c").alias("category"), n.cast("decimal(10,4)").alias("cost_per_ml"),
+        F.lit(None).cast("decimal(10,4)").alias("cost_per_unit"), F.lit(True).alias("has_known_cost"),
+    )
+
+    def same(whole, split):
+        assert whole.count() == split.count() > 0
+        assert whole.exceptAll(split).count() == 0
+
+    costs = facts.recipe_costs(recipes, materials)
+    same(costs, facts.recipe_costs(recipes, materials, 20))
+    same(facts.product_costs(skus, costs), facts.product_costs(skus, costs, 50))
+    products = D.dim_product(skus, shop)
+    same(products, D.dim_product(skus, shop, hot_rows=50))
+    few = products.select("product_key", "recipe_id", "size_ml")
+    same(facts.product_ingredients(few, costs), facts.product_ingredients(few, costs, 50))
