@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table, text_of
+from ledgerloom.llm.secret_automaton import BASE_RULES, find_secrets
 from ledgerloom.llm.sharding import interleaved_shards
 from ledgerloom.llm.url_cascade import judge_urls
 
@@ -19,6 +20,28 @@ URL_RULES = [
 ]
 
 
+def _joined_spans(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start, x.end)), ",")
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts of the base kinds, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_secrets(docs).drop("text")
+    kinds = [rule.kind for rule in BASE_RULES]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x.kind == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda x: x.kind.isin(*kinds))
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(_joined_spans(base), 256).alias("base_sha256"),
+        _joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the rules, through the cascades."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -47,6 +70,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_secret_scan": op4_secret_scan,
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
 }
