@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import table, text_of
 from ledgerloom.llm.secret_automaton import BASE_RULES, find_secrets
 from ledgerloom.llm.sharding import interleaved_shards
+from ledgerloom.llm.source_mixing import mix_sources
 from ledgerloom.llm.url_cascade import judge_urls
 
 URL_RULES = [
@@ -42,6 +43,22 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source: the words that the mix takes of each."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mix_sources(docs)
+    every = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows"))).alias("_row")
+    return mixed.select("*", every).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).cast("bigint").alias("taken"),
+        "source",
+        "copies",
+    )
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the rules, through the cascades."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -71,6 +88,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
+    "op7_source_mix": op7_source_mix,
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
 }
