@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table, text_of
+from ledgerloom.llm.html_content import extract_content
+from ledgerloom.llm.language_id import identify_languages, train_languages
+from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.secret_automaton import BASE_RULES, find_secrets
 from ledgerloom.llm.sharding import interleaved_shards
 from ledgerloom.llm.source_mixing import mix_sources
@@ -43,6 +47,32 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of 4096."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    digest = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    return packed.select(*digest, "sequence_tokens")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    # A null id has no checksum and is not held out.
+    docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    model = train_languages(docs.where(~F.col("held_out")))
+    return identify_languages(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected"
+    )
+
+
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_content(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source: the words that the mix takes of each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -87,7 +117,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
+    "op5_language_id": op5_language_id,
+    "op6_html_extract": op6_html_extract,
     "op7_source_mix": op7_source_mix,
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,

@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom.llm.common import free_names, small, stored
 
@@ -192,7 +193,7 @@ def _by_shard(
     copies = built.join(slices, F.col("shard") == F.col("_s")).select(
         F.col("shard").alias(s), "levels", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_slice")
     )
-    schema = hashed.schema.add(out, "boolean")
+    schema = StructType(list(hashed.schema.fields)).add(out, "boolean")
 
     def listed(part: pd.DataFrame, cascade: pd.DataFrame) -> pd.DataFrame:
         one, two = (part[c].to_numpy().view(np.uint64) for c in (a, b))
