@@ -170,7 +170,7 @@ def blocks_of(page: str) -> list[Block]:
 
 
 # The classifier: fixed weights of the evidence for content.
-BIAS, IN_GOOD, IN_BAD, OUTSIDE = -0.6, 3.0, -7.0, -3.0
+BIAS, IN_GOOD, IN_BAD, OUTSIDE = -0.4, 3.0, -7.0, -3.0
 LENGTH, LINKS, SENTENCE, PARAGRAPH, HEADING, LIST, RIGHTS = 0.9, -4.0, 0.6, 0.8, 0.2, -0.8, -3.0
 
 

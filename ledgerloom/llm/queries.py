@@ -16,6 +16,7 @@ from ledgerloom.llm.secret_automaton import BASE_RULES, find_secrets
 from ledgerloom.llm.sharding import interleaved_shards
 from ledgerloom.llm.source_mixing import mix_sources
 from ledgerloom.llm.url_cascade import judge_urls
+from ledgerloom.llm.vector_search import top_k
 
 URL_RULES = [
     ("block", "net", "/"),
@@ -47,6 +48,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best candidates of every vector whose id is divisible by 50."""
+    return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 50 == 0, 5)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens in sequences of 4096."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,6 +123,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_vector_search": op2_vector_search,
     "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
     "op5_language_id": op5_language_id,
@@ -127,6 +134,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_vector_search": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+        SELECT query_id, place::INTEGER AS "rank", vec_id, score FROM ranked WHERE place <= 5""",
     "op9_url_filter": """
         WITH parts AS (
             SELECT page_id,
