@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table, text_of
+from ledgerloom.llm.fingerprints import as_text, edited_text, fingerprint_documents, likeness, with_next
 from ledgerloom.llm.html_content import extract_content
 from ledgerloom.llm.language_id import identify_languages, train_languages
 from ledgerloom.llm.packing import pack_documents
@@ -48,6 +49,24 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, compared with each other and
+    with the next document's."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", text_of().alias("text"))
+    docs = with_next(fingerprint_documents(docs), "doc_id", ["text", "sketch"])
+    docs = docs.withColumn("edited", edited_text(F.col("text"), F.col("_next_text")))
+    docs = fingerprint_documents(docs, "edited", "edited_sketch")
+    return docs.select(
+        "doc_id",
+        F.char_length("text").cast("bigint").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_text(F.col("sketch")).alias("fingerprint"),
+        as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        likeness(F.col("sketch"), F.col("edited_sketch"), F.col("text") == F.col("edited")).alias("near_edited"),
+        likeness(F.col("sketch"), F.col("_next_sketch"), F.col("text") == F.col("_next_text")).alias("near_next"),
+    )
+
+
 def op2_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best candidates of every vector whose id is divisible by 50."""
     return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 50 == 0, 5)
@@ -123,6 +142,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_vector_search": op2_vector_search,
     "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
