@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import table, text_of
 from ledgerloom.llm.fingerprints import as_text, edited_text, fingerprint_documents, likeness, with_next
 from ledgerloom.llm.html_content import extract_content
+from ledgerloom.llm.jaccard_join import similar_documents
 from ledgerloom.llm.language_id import identify_languages, train_languages
 from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.secret_automaton import BASE_RULES, find_secrets
@@ -114,6 +115,11 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest one that similarity links can reach."""
+    return similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), 75)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the rules, through the cascades."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -149,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_html_extract": op6_html_extract,
     "op7_source_mix": op7_source_mix,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
 }
