@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import small, stored
+from ledgerloom.llm.common import free_names, small, stored
 
 SHINGLE_WORDS = 5
 SCALE = 8
@@ -91,27 +91,28 @@ def with_next(docs: DataFrame, id_column: str, carried: list[str], range_rows: i
     follows its last one. Equal ids go by the carried columns. Null ids come last; they share
     one range.
     """
+    span, of, head, visits, at = free_names(docs, "_range", "_of", "_head", "_visits", "_at")
     low, high, count = docs.select(F.min(id_column), F.max(id_column), F.count(id_column)).first()
     ranges = max(1, (count or 0) // range_rows)
     width = max(1.0, (float(high or 0) - float(low or 0) + 1) / ranges)
     # Rising ranges have falling ids.
     place = F.floor((F.lit(float(high or 0)) - F.col(id_column).cast("double")) / width)
-    placed = docs.withColumn("_range", F.coalesce(place, F.lit(ranges + 1).cast("bigint")))
-    heads = stored(placed.groupBy("_range").agg(F.max(id_column).alias("_head")), "ranges")
-    before = F.lag("_range").over(Window.orderBy("_range"))
-    final = F.max("_range").over(Window.partitionBy())
-    heads = heads.select(F.col("_range").alias("_of"), "_head", F.coalesce(before, final).alias("_visits"))
-    first = (F.col("_range") == F.col("_of")) & F.col(id_column).eqNullSafe(F.col("_head"))
-    stay = F.struct(F.col("_range").alias("range"), F.lit(False).alias("guest"))
-    visit = F.struct(F.col("_visits").alias("range"), F.lit(True).alias("guest"))
-    both = F.when(F.col("_visits").isNull(), F.array(stay)).otherwise(F.array(stay, visit))
-    rows = placed.join(small(heads), first, "left").select(*docs.columns, F.explode(both).alias("_at"))
-    order = Window.partitionBy("_at.range").orderBy(
-        "_at.guest", F.col(id_column).desc_nulls_last(), *[F.col(c) for c in carried]
+    placed = docs.withColumn(span, F.coalesce(place, F.lit(ranges + 1).cast("bigint")))
+    heads = stored(placed.groupBy(span).agg(F.max(id_column).alias(head)), "ranges")
+    before = F.lag(span).over(Window.orderBy(span))
+    final = F.max(span).over(Window.partitionBy())
+    heads = heads.select(F.col(span).alias(of), head, F.coalesce(before, final).alias(visits))
+    first = (F.col(span) == F.col(of)) & F.col(id_column).eqNullSafe(F.col(head))
+    stay = F.struct(F.col(span).alias("range"), F.lit(False).alias("guest"))
+    visit = F.struct(F.col(visits).alias("range"), F.lit(True).alias("guest"))
+    both = F.when(F.col(visits).isNull(), F.array(stay)).otherwise(F.array(stay, visit))
+    rows = placed.join(small(heads), first, "left").select(*docs.columns, F.explode(both).alias(at))
+    order = Window.partitionBy(f"{at}.range").orderBy(
+        f"{at}.guest", F.col(id_column).desc_nulls_last(), *[F.col(c) for c in carried]
     )
     # Column by column: a struct would be a second copy of the text in the exchange.
     following = [F.lead(c).over(order).alias(f"_next_{c}") for c in carried]
-    return rows.select("*", *following).where(~F.col("_at.guest")).drop("_at")
+    return rows.select("*", *following).where(~F.col(f"{at}.guest")).drop(at)
 
 
 def edited_text(text: Column, following: Column) -> Column:

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import small, stored
+from ledgerloom.llm.common import free_names, small, stored
 from ledgerloom.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -355,17 +355,18 @@ def one_of_each_group(docs: DataFrame, percent: int = 75, id_column: str = "doc_
     shingles and rows with a null id link with nothing and stay. Columns come through as they
     are.
     """
+    g, a, place = free_names(docs, "_gone", "_again", "_place")
     linked = similar_documents(docs, percent, id_column, text_column)
-    gone = linked.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = linked.where("doc_id <> component_id").select(F.col("doc_id").alias(g)).distinct()
     gone = small(stored(gone, "join-gone"))
-    kept = docs.join(gone, F.col(id_column).cast("bigint") == F.col("_gone"), "left_anti")
+    kept = docs.join(gone, F.col(id_column).cast("bigint") == F.col(g), "left_anti")
     # Repeated ids are few; only they are ranked.
-    again = docs.where(F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("_again")).count().where("count > 1")
-    again = stored(again.select("_again"), "join-again")
+    ids = docs.select(F.col(id_column).alias(a)).where(F.col(a).isNotNull())
+    again = stored(ids.groupBy(a).agg(F.count("*").alias("rows")).where("rows > 1").select(a), "join-again")
     if again.isEmpty():
         return kept
-    known = small(again)
-    single = kept.join(known, F.col(id_column) == F.col("_again"), "left_anti")
+    again = small(again)
+    single = kept.join(again, F.col(id_column) == F.col(a), "left_anti")
     order = Window.partitionBy(id_column).orderBy(F.xxhash64(text_column), text_column)
-    ranked = kept.join(known, F.col(id_column) == F.col("_again"), "left_semi").withColumn("_place", F.row_number().over(order))
-    return single.unionByName(ranked.where("_place = 1").drop("_place"))
+    ranked = kept.join(again, F.col(id_column) == F.col(a), "left_semi").withColumn(place, F.row_number().over(order))
+    return single.unionByName(ranked.where(F.col(place) == 1).drop(place))
