@@ -11,7 +11,8 @@ Documents link when their sets of five-word shingles have a Jaccard similarity o
    neighbours in the order are one key. A token that a similar set lacks breaks two such
    combinations and one that it has in addition breaks one, in all at most n / 2 of them
    where percent is 75; so with n / 2 - 2 (rare tokens) + 2 frequent tokens one is shared.
-3. Among the classes of a key the smallest is the leader. Each class is verified against its
+3. Candidate pairs whose sizes or parity bitmaps rule the similarity out are dropped. Among
+   the classes of a key the smallest is the leader. Each class is verified against its
    best leader, then against its other leaders in other components, and last, where a key
    still holds several components, every two classes of different components. Pairs inside a
    component are not needed: they can't change it. So a large group of near copies costs one
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import free_names, small, stored
@@ -88,12 +89,23 @@ def _set_name(tokens: np.ndarray) -> tuple[int, int]:
     return int(one), int(two)
 
 
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """A bitmap of two to four bits a token, as 64-bit numbers: whether a place has an odd
+    number of tokens. Two bitmaps differ in no more places than the sets do in tokens."""
+    size = 64
+    while size < 2 * len(tokens):
+        size *= 2
+    odd = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _describe(share: float):
-    """Names and sizes of sets (kind 0), and counts of tokens frequent in a block (kind 1)."""
+    """Names, sizes and bitmaps of sets (kind 0), and counts of tokens frequent in a block
+    (kind 1)."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = shingle_sets()
-        names = ["kind", "id", "n", "s1", "s2"]
+        names = ["kind", "id", "n", "s1", "s2", "bits"]
         block: dict[int, np.ndarray] = {}
         held = 0
 
@@ -102,7 +114,7 @@ def _describe(share: float):
             often = counts >= max(3, share / 2 * len(block))
             zero = np.zeros(often.sum(), dtype=np.int64)
             return pd.DataFrame(
-                {"kind": 1, "id": tokens[often].view(np.int64), "n": counts[often], "s1": zero, "s2": zero}
+                {"kind": 1, "id": tokens[often].view(np.int64), "n": counts[often], "s1": zero, "s2": zero, "bits": None}
             )
 
         for batch in batches:
@@ -110,7 +122,7 @@ def _describe(share: float):
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 tokens = of(text)
                 s1, s2 = _set_name(tokens) if len(tokens) else (0, 0)
-                rows.append((0, doc_id, len(tokens), s1, s2))
+                rows.append((0, doc_id, len(tokens), s1, s2, parity_bits(tokens)))
                 if len(tokens) and s1 not in block:
                     block[s1] = tokens
                     held += len(tokens)
@@ -247,12 +259,12 @@ def similar_documents(
     named = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     nameless = named.where("doc_id is null")
     named = named.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    schema = "kind int, id bigint, n bigint, s1 bigint, s2 bigint"
+    schema = "kind int, id bigint, n bigint, s1 bigint, s2 bigint, bits array<bigint>"
     found = stored(named.mapInPandas(_describe(share), schema), "join-sets")
-    sets = found.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "s1", "s2")
+    sets = found.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "s1", "s2", "bits")
 
     reps = sets.where("n > 0").groupBy("s1", "s2").agg(
-        F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("rows")
+        F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("rows"), F.first("bits").alias("bits")
     )
     reps = stored(reps, "join-classes")
     least = max(3, share / 2 * reps.count())
@@ -275,7 +287,7 @@ def similar_documents(
     first = heads.groupBy(F.col("key").alias("_key")).agg(F.min("leader").alias("a"))
     heads = heads.join(first, F.col("key") == F.col("_key")).select("a", F.col("leader").alias("b"))
     pairs = pairs.unionByName(heads).where("a <> b").groupBy("a", "b").agg(F.count("*").alias("keys"))
-    pairs = _of_like_size(pairs, reps, percent)
+    pairs = _possible(pairs, reps, percent)
 
     best = Window.partitionBy("b").orderBy(F.col("keys").desc(), "a")
     ranked = stored(pairs.withColumn("_rank", F.row_number().over(best)), "join-pairs")
@@ -298,7 +310,7 @@ def similar_documents(
         rest = left.join(right, (F.col("key") == F.col("_key")) & (F.col("of_a") < F.col("of_b")))
         rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         known = ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        rest = _of_like_size(rest.join(known, ["a", "b"], "left_anti"), reps, percent)
+        rest = _possible(rest.join(known, ["a", "b"], "left_anti"), reps, percent)
         rest = stored(rest.select("a", "b"), "join-rest")
         if not rest.isEmpty():
             links = links.unionByName(_verified(named, reps, rest, percent))
@@ -316,7 +328,7 @@ def similar_documents(
     result = sets.join(classes, same, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("_first", "doc_id").alias("component_id")
     )
-    counted = nameless.mapInPandas(_describe(share), schema).where("kind = 0")
+    counted = nameless.withColumn("doc_id", F.lit(None).cast("bigint")).mapInPandas(_describe(share), schema).where("kind = 0")
     return result.unionByName(
         counted.select(
             F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id")
@@ -324,15 +336,28 @@ def similar_documents(
     )
 
 
-def _of_like_size(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes allow the similarity."""
-    sizes = reps.groupBy("s1").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    sizes = small(stored(sizes, "join-sizes"), 0)
-    a = sizes.select(F.col("s1").alias("_sa"), F.col("least").alias("_la"), F.col("most").alias("_ma"))
-    b = sizes.select(F.col("s1").alias("_sb"), F.col("least").alias("_lb"), F.col("most").alias("_mb"))
-    sized = pairs.join(a, F.col("a") == F.col("_sa")).join(b, F.col("b") == F.col("_sb"))
-    fits = (100 * F.col("_mb") >= percent * F.col("_la")) & (100 * F.col("_ma") >= percent * F.col("_lb"))
-    return sized.where(fits).select(*pairs.columns)
+def _possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sizes and bitmaps allow the similarity: most chance neighbours go here.
+
+    With d different places, sets of n and m tokens share (n + m - d) / 2 at most.
+    """
+    a = reps.select(F.col("s1").alias("_sa"), F.col("n").alias("_na"), F.col("bits").alias("_ba"))
+    b = reps.select(F.col("s1").alias("_sb"), F.col("n").alias("_nb"), F.col("bits").alias("_bb"))
+    both = pairs.join(a, F.col("a") == F.col("_sa")).join(b, F.col("b") == F.col("_sb"))
+    like = 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
+
+    def folded(bits: Column, other: Column) -> Column:
+        # Bitmaps of like sizes are as long as each other or twice as long.
+        half = F.greatest(F.lit(1), (F.size(bits) / 2).cast("int"))
+        short = F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(bits) > F.size(other), short).otherwise(bits)
+
+    a, b = F.col("_ba"), F.col("_bb")
+    places = F.zip_with(folded(a, b), folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(places, F.lit(0), lambda x, y: x + y)
+    total = F.col("_na") + F.col("_nb")
+    near = (100 + percent) * (total - apart) >= 2 * percent * total
+    return both.where(like).where(near).select(*pairs.columns)
 
 
 def _components(links: DataFrame) -> DataFrame:
