@@ -11,7 +11,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(10,2)"
+MONEY = "decimal(18,2)"
 RATE = "decimal(10,4)"
 # Sums over an order, a customer or a product are wider than one row's money, so that a
 # key holding a large share of all rows cannot overflow. 18 digits still fit a long.

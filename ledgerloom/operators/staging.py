@@ -23,7 +23,7 @@ ORDER_TIMES = ["created_at", "paid_at", "fulfilled_at", "cancelled_at"]
 
 
 def _or(c: Column, value: int) -> Column:
-    return F.coalesce(c, F.lit(value).cast("decimal(10,2)"))
+    return F.coalesce(c, F.lit(value).cast(C.MONEY))
 
 
 def _first_present(df: DataFrame, *names: str) -> Column:
@@ -230,15 +230,15 @@ def stg_meta_ads(
     ]
     rows = raw.where(C.filled(F.col("campaign_name"))).select(
         "campaign_name",
-        number("reach", "int"),
+        number("reach", "bigint"),
         number("frequency", C.RATE),
-        number("impressions", "int"),
+        number("impressions", "bigint"),
         number("cpm", C.RATE),
         F.coalesce(*spend, F.lit(0).cast(C.MONEY)).alias("amount_spent"),
-        number("link_clicks", "int"),
+        number("link_clicks", "bigint"),
         number("cpc", C.RATE),
         number("ctr", C.RATE),
-        number("landing_page_views", "int"),
+        number("landing_page_views", "bigint"),
     )
     return _with_occurrence_key(rows, "campaign_name", "campaign_id", hot_rows)
 
@@ -250,8 +250,8 @@ def stg_gsc_daily(
     percent = cast(F.replace(F.col("ctr"), F.lit("%"), F.lit("")), "decimal(12,6)")
     rows = raw.where(C.filled(F.col("date"))).select(
         F.to_date("date", "yyyy-MM-dd").alias("date"),
-        cast(F.col("clicks"), "int").alias("clicks"),
-        cast(F.col("impressions"), "int").alias("impressions"),
+        cast(F.col("clicks"), "bigint").alias("clicks"),
+        cast(F.col("impressions"), "bigint").alias("impressions"),
         (percent / 100).cast(C.RATE).alias("ctr"),
         cast(F.col("position"), C.MONEY).alias("position"),
     )

@@ -30,6 +30,14 @@ _ORDER_TEXT = (
     "source payment_method billing_city billing_province billing_country billing_zip shipping_city "
     "shipping_province shipping_country shipping_zip discount_code"
 )
+_EXPORT = (
+    "s id name email source shipping_method financial_status fulfillment_status currency "
+    "risk_level payment_method billing_city billing_province billing_country billing_zip "
+    "shipping_city shipping_province shipping_country shipping_zip subtotal shipping taxes total "
+    "discount_code discount_amount refunded_amount created_at paid_at fulfilled_at cancelled_at "
+    "lineitem_name lineitem_sku lineitem_quantity lineitem_price lineitem_compare_at_price "
+    "lineitem_discount lineitem_fulfillment_status vendor"
+)
 _ORDER_FACT = (
     "i order_key order_id order_date_key line_item_count unit_count; "
     "s order_number customer_key channel_key shipping_method_key financial_status "
@@ -78,8 +86,8 @@ _SALES = (
 _CHECKS = "s table_name check_name; i violations"
 
 COLUMNS = {
-    "header_normalise": "s id name source lineitem_name lineitem_sku billing_zip",
-    "apostrophe_strip": "s id lineitem_name billing_zip shipping_zip",
+    "header_normalise": _EXPORT,
+    "apostrophe_strip": _EXPORT,
     "stg_orders_dedupe": "i order_id; " + _ORDER_TEXT + "; d subtotal shipping taxes total "
     "discount_amount refunded_amount; t created_at paid_at fulfilled_at cancelled_at",
     "stg_order_lines": "i order_id line_number lineitem_quantity; s order_line_id order_number "
@@ -242,7 +250,6 @@ def _unique_keys(shop: Shop) -> DataFrame:
         [
             quality.unique_key(getattr(shop, table), table, keys)
             for table, keys in schemas.UNIQUE_KEYS.items()
-            if table != "dim_channel"
         ]
     )
 
@@ -257,26 +264,22 @@ def _referential(shop: Shop) -> DataFrame:
 
 
 def _nulls_lengths(shop: Shop) -> DataFrame:
-    names = [
-        "stg_orders", "stg_order_lines", "stg_products", "stg_customers", "stg_product_sku_map",
-        "stg_material_costs", "stg_recipes", "stg_meta_ads",
-    ]
     return quality.union(
         [
-            quality.count_violations(df, name, quality.declared_checks(name))
-            for name, df in _tables(shop, names).items()
+            quality.count_violations(getattr(shop, name), name, quality.declared_checks(name))
+            for name in schemas.declared_tables()
         ]
     )
 
 
 def _pii(shop: Shop) -> DataFrame:
-    return quality.personal_data(
-        {
-            "fact_orders": exports.fact_orders(shop.fact_order),
-            "dim_customer": exports.dim_customer(shop.dim_customer),
-            "dim_product": exports.dim_product(shop.dim_product),
-        }
-    )
+    names = [
+        "fact_order", "fact_order_line", "dim_date", "dim_product", "dim_customer", "dim_channel",
+        "dim_shipping_method", "dim_material", "fact_marketing_spend", "fact_gsc_daily",
+    ]
+    tables = _tables(shop, names)
+    tables["kpi_revenue_totals"] = marts.kpi_revenue_totals(shop.fact_order)
+    return quality.personal_data(exports.all_exports(tables))
 
 
 def _rejected(shop: Shop) -> DataFrame:
@@ -292,7 +295,6 @@ def _weekly(shop: Shop) -> DataFrame:
 def _attributed(shop: Shop) -> DataFrame:
     revenue = (
         shop.table("events")
-        .where("event_type <> 'error'")
         .groupBy(F.col("event_type").alias("campaign_name"))
         .agg(F.sum(F.col("value").cast(C.MONEY) * 3).alias("revenue"))
     )

@@ -97,3 +97,8 @@ MAX_LENGTH = {
     },
     "stg_meta_ads": {"campaign_name": 500},
 }
+
+
+def declared_tables() -> list[str]:
+    """Tables with a NOT NULL or length rule."""
+    return list(dict.fromkeys([*NOT_NULL, *MAX_LENGTH]))

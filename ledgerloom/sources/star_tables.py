@@ -63,10 +63,10 @@ class Shop:
             "'PART-' || l_partkey AS lineitem_name",
             "CASE WHEN l_partkey % 17 <> 0 THEN 'SKU-' || l_partkey END AS lineitem_sku",
             "CAST(l_quantity AS INT) AS lineitem_quantity",
-            "CAST(l_extendedprice AS DECIMAL(10,2)) AS lineitem_price",
-            "CAST(NULL AS DECIMAL(10,2)) AS lineitem_compare_at_price",
-            "CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_discount AS DECIMAL(4,2))"
-            " AS DECIMAL(10,2)) AS lineitem_discount",
+            "CAST(l_extendedprice AS DECIMAL(18,2)) AS lineitem_price",
+            "CAST(NULL AS DECIMAL(18,2)) AS lineitem_compare_at_price",
+            "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))"
+            " AS DECIMAL(18,2)) AS lineitem_discount",
             "l_linestatus AS lineitem_fulfillment_status",
             "'Vendor ' || l_suppkey AS vendor",
         )
@@ -84,19 +84,19 @@ class Shop:
         discounted = self.table("orders").join(gross, "o_orderkey", "left").selectExpr(
             "*",
             "CASE WHEN o_orderpriority = '1-URGENT' AND calculated_gross IS NOT NULL"
-            " THEN CAST(calculated_gross * CAST(0.05 AS DECIMAL(4,2)) AS DECIMAL(10,2))"
-            " ELSE CAST(0 AS DECIMAL(10,2)) END AS discount_amount",
+            " THEN CAST(calculated_gross * CAST(0.05 AS DECIMAL(4,2)) AS DECIMAL(18,2))"
+            " ELSE CAST(0 AS DECIMAL(18,2)) END AS discount_amount",
         )
         priced = discounted.selectExpr(
             "*",
             "CASE WHEN o_orderkey % 50 = 0 OR calculated_gross IS NULL"
-            " THEN CAST(o_totalprice AS DECIMAL(10,2))"
-            " ELSE CAST(calculated_gross - discount_amount AS DECIMAL(10,2)) END AS subtotal",
+            " THEN CAST(o_totalprice AS DECIMAL(18,2))"
+            " ELSE CAST(calculated_gross - discount_amount AS DECIMAL(18,2)) END AS subtotal",
         )
         taxed = priced.selectExpr(
             "*",
-            "CAST(subtotal * CAST(0.08 AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS taxes",
-            "CAST(IF(o_orderpriority IN ('1-URGENT', '2-HIGH'), 0, 4) AS DECIMAL(10,2)) AS shipping",
+            "CAST(subtotal * CAST(0.08 AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS taxes",
+            "CAST(IF(o_orderpriority IN ('1-URGENT', '2-HIGH'), 0, 4) AS DECIMAL(18,2)) AS shipping",
             "CAST(o_orderdate AS TIMESTAMP) AS created_at",
             "o_orderstatus = 'F' AS finished",
         )
@@ -131,12 +131,12 @@ class Shop:
             "subtotal",
             "shipping",
             "taxes",
-            "CAST(subtotal + shipping + taxes + IF(o_orderkey % 70 = 0, 1, 0) AS DECIMAL(10,2))"
+            "CAST(subtotal + shipping + taxes + IF(o_orderkey % 70 = 0, 1, 0) AS DECIMAL(18,2))"
             " AS total",
             "IF(o_orderpriority = '1-URGENT', 'RUSH5', NULL) AS discount_code",
             "discount_amount",
             "CAST(IF(finished AND o_orderkey % 20 = 0, subtotal * CAST(0.5 AS DECIMAL(4,2)), 0)"
-            " AS DECIMAL(10,2)) AS refunded_amount",
+            " AS DECIMAL(18,2)) AS refunded_amount",
             "created_at",
             "IF(finished, created_at, NULL) AS paid_at",
             "IF(finished, created_at, NULL) AS fulfilled_at",
@@ -144,49 +144,52 @@ class Shop:
         )
 
     @cached_property
-    def stg_products(self) -> DataFrame:
+    def product_rows(self) -> DataFrame:
+        """A product export: some handles are blank, some come twice with another title."""
         part = F.col("p_partkey")
-        return self.table("part").where(part % 13 != 0).select(
-            C.surrogate(_text("part-", part)).alias("product_id"),
-            _text("part-", part).alias("handle"),
-            F.col("p_name").alias("title"),
+        copies = F.when(part % 31 == 0, F.array(F.lit(""), F.lit(" (old)"))).otherwise(F.array(F.lit("")))
+        return self.table("part").withColumn("copy", F.explode(copies)).select(
+            F.when(part % 13 == 0, "").otherwise(_text("part-", part)).alias("handle"),
+            F.concat("p_name", "copy").alias("title"),
             F.col("p_brand").alias("vendor"),
             F.col("p_type").alias("product_category"),
             F.col("p_type").alias("product_type"),
             F.lit("").alias("tags"),
             F.when(part % 17 != 0, _text("SKU-", part)).alias("variant_sku"),
-            _dec("p_retailprice").alias("variant_price"),
+            F.when(F.col("copy") == "", _dec("p_retailprice")).alias("variant_price"),
             F.lit(None).cast(C.MONEY).alias("variant_compare_at_price"),
-            F.col("p_size").alias("variant_inventory_qty"),
+            F.when(part % 41 != 0, F.col("p_size")).alias("variant_inventory_qty"),
             (part % 3 != 0).alias("is_published"),
             F.when(part % 3 != 0, "active").otherwise("draft").alias("status"),
         )
 
     @cached_property
-    def stg_product_sku_map(self) -> DataFrame:
-        """Most parts have a SKU, some have a second one under the same line name."""
+    def sku_rows(self) -> DataFrame:
+        """Most parts have a SKU, some a blank one, some a second one under the same line name."""
         part = F.col("p_partkey")
         spare = F.col("suffix") != ""
         suffixes = F.when(part % 29 == 0, F.array(F.lit(""), F.lit("-B"))).otherwise(F.array(F.lit("")))
-        rows = self.table("part").where(part % 17 != 0).withColumn("suffix", F.explode(suffixes))
+        rows = self.table("part").withColumn("suffix", F.explode(suffixes))
         return rows.select(
-            F.concat(_text("SKU-", part), F.col("suffix")).alias("internal_sku"),
+            F.when(part % 17 == 0, "").otherwise(F.concat(_text("SKU-", part), F.col("suffix"))).alias(
+                "internal_sku"
+            ),
             _text("PART-", part).alias("lineitem_name"),
             _text("part-", part).alias("product_handle"),
             F.col("p_size").alias("size_ml"),
-            F.when(part % 23 != 0, F.col("p_brand")).otherwise("").alias("recipe_id"),
+            F.when(part % 23 != 0, _text("REC-", part)).otherwise("").alias("recipe_id"),
             F.col("p_type").alias("product_category"),
             ((part % 10 != 0) & ~spare).alias("is_active"),
         )
 
     @cached_property
-    def stg_material_costs(self) -> DataFrame:
-        """The first ten suppliers stand for materials: a fixed number at any scale."""
+    def material_rows(self) -> DataFrame:
+        """Every supplier stands for a material; some have a blank id."""
         key = F.col("s_suppkey")
         balance = F.abs(_dec("s_acctbal", "decimal(12,2)"))
         piece = key % 3 == 0
-        return self.table("supplier").where(key < 10).select(
-            _text("MAT-", key).alias("material_id"),
+        return self.table("supplier").select(
+            F.when(key % 37 == 5, "").otherwise(_text("MAT-", key)).alias("material_id"),
             F.col("s_name").alias("material_name"),
             _text("ING-", key).alias("ingredient_match"),
             F.when(piece, "Packaging").otherwise("Oil").alias("category"),
@@ -203,18 +206,18 @@ class Shop:
 
     @cached_property
     def recipe_rows(self) -> DataFrame:
-        sizes = self.table("part").where("p_brand <> 'Brand#7'").select("p_brand", "p_size").distinct()
-        materials = self.stg_material_costs.select(
-            F.split_part("material_id", F.lit("-"), F.lit(2)).cast("int").alias("k")
-        )
-        known = sizes.withColumn("slot", F.col("p_size") % 5).join(
-            materials.withColumn("slot", F.col("k") % 5), "slot"
-        )
+        """Each part's own recipe: three ingredients from all suppliers, by arithmetic."""
+        suppliers = self.table("supplier").agg(F.count("*")).scalar()
+        k = F.pmod(F.col("p_partkey") * 3 + F.col("slot") * 7919, suppliers)
+        slots = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("slot")
+        known = self.table("part").select("p_partkey", "p_brand", "p_size", slots)
+        known = known.select("p_partkey", "p_brand", "p_size", k.cast("int").alias("k"))
         k = F.col("k")
         amount = F.when(k % 3 != 0, _dec((k % 8 + 1) * F.expr("CAST(0.25 AS DECIMAL(4,2))"), C.RATE))
+        # Recipes of one brand have a blank id.
         columns = [
-            F.col("p_brand").alias("recipe_id"),
-            _text("Recipe ", "p_brand").alias("recipe_name"),
+            F.when(F.col("p_brand") == "Brand#7", "").otherwise(_text("REC-", "p_partkey")).alias("recipe_id"),
+            _text("Recipe ", "p_partkey").alias("recipe_name"),
         ]
         final = known.select(
             *columns,
@@ -225,7 +228,7 @@ class Shop:
             amount.alias("amount_ml"),
             _text("MAT-", k).alias("material_id"),
         )
-        unlisted = sizes.where("p_size % 10 = 3").select(
+        unlisted = self.table("part").where("p_size % 10 = 3").select(
             *columns,
             F.lit("final").alias("variant"),
             F.col("p_size").alias("batch_size_ml"),
@@ -237,14 +240,11 @@ class Shop:
         return final.unionByName(unlisted)
 
     @cached_property
-    def stg_recipes(self) -> DataFrame:
-        return staging.stg_recipes(self.raw_recipes)
-
-    @cached_property
-    def stg_customers(self) -> DataFrame:
+    def customer_rows(self) -> DataFrame:
+        """Every customer; some profiles have a blank id."""
         key = F.col("c_custkey")
-        return self.table("customer").where(key % 9 != 0).select(
-            key.alias("customer_id"),
+        return self.table("customer").select(
+            F.when(key % 9 != 0, key).alias("customer_id"),
             F.lit("First").alias("first_name"),
             F.col("c_name").alias("last_name"),
             _text("buyer", key, "@example.com").alias("email"),
@@ -256,21 +256,41 @@ class Shop:
             F.lit("US").alias("country"),
             F.lit("US").alias("country_code"),
             F.lpad((key % 100000).cast("string"), 5, "0").alias("zip"),
-            F.abs(_dec("c_acctbal")).alias("total_spent"),
-            (key % 7).cast("int").alias("total_orders"),
+            F.when(key % 43 != 0, F.abs(_dec("c_acctbal"))).alias("total_spent"),
+            F.when(key % 47 != 0, (key % 7).cast("int")).alias("total_orders"),
         )
 
+    @cached_property
+    def stg_products(self) -> DataFrame:
+        return staging.stg_products(self.raw_products)
+
+    @cached_property
+    def stg_product_sku_map(self) -> DataFrame:
+        return staging.stg_product_sku_map(self.raw_product_sku_map)
+
+    @cached_property
+    def stg_material_costs(self) -> DataFrame:
+        return staging.stg_material_costs(self.raw_material_costs)
+
+    @cached_property
+    def stg_customers(self) -> DataFrame:
+        return staging.stg_customers(self.raw_customers)
+
+    @cached_property
+    def stg_recipes(self) -> DataFrame:
+        return staging.stg_recipes(self.raw_recipes)
+
     @cached_property
     def ad_rows(self) -> DataFrame:
         return (
             self.table("events")
             .groupBy(F.col("event_type").alias("campaign_name"))
             .agg(
-                F.count_distinct("user_id").cast("int").alias("reach"),
-                F.count("*").cast("int").alias("impressions"),
+                F.count_distinct("user_id").alias("reach"),
+                F.count("*").alias("impressions"),
                 F.sum(_dec("value")).alias("amount_spent"),
-                F.expr("CAST(count(*) DIV 7 AS INT)").alias("link_clicks"),
-                F.expr("CAST(count(*) DIV 11 AS INT)").alias("landing_page_views"),
+                F.expr("count(*) DIV 7").alias("link_clicks"),
+                F.expr("count(*) DIV 11").alias("landing_page_views"),
             )
         )
 
@@ -286,8 +306,8 @@ class Shop:
             self.table("events")
             .groupBy(F.to_date("ts").alias("date"))
             .agg(
-                clicks.cast("int").alias("clicks"),
-                F.count("*").cast("int").alias("impressions"),
+                clicks.alias("clicks"),
+                F.count("*").alias("impressions"),
                 _dec(basis * cent).alias("ctr_percent"),
                 _dec(position * cent).alias("position"),
             )
@@ -337,12 +357,11 @@ class Shop:
 
     @cached_property
     def raw_products(self) -> DataFrame:
-        df = self.stg_products.drop("product_id")
-        return as_text(df, {"product_type": "type", "is_published": "published"})
+        return as_text(self.product_rows, {"product_type": "type", "is_published": "published"})
 
     @cached_property
     def raw_customers(self) -> DataFrame:
-        df = self.stg_customers.drop("province", "country")
+        df = self.customer_rows.drop("province", "country")
         yes_no = {
             c: F.when(F.col(c), "yes").otherwise("no")
             for c in ("accepts_email_marketing", "accepts_sms_marketing")
@@ -352,11 +371,11 @@ class Shop:
 
     @cached_property
     def raw_product_sku_map(self) -> DataFrame:
-        return as_text(self.stg_product_sku_map)
+        return as_text(self.sku_rows)
 
     @cached_property
     def raw_material_costs(self) -> DataFrame:
-        return as_text(self.stg_material_costs)
+        return as_text(self.material_rows)
 
     @cached_property
     def raw_recipes(self) -> DataFrame:
