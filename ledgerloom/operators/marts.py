@@ -56,7 +56,12 @@ def kpi_sales_summary(
 ) -> DataFrame:
     """Sales per calendar day up to ``as_of`` (today), newest first; empty days stay."""
     limit = F.current_date() if as_of is None else F.lit(as_of)
-    daily = fact_orders.groupBy(F.col("order_date_key").alias("date_key")).agg(*sales_aggregates())
+    # The limit reaches the scan of the orders, and their partitions by month.
+    until = F.date_format(limit, "yyyyMMdd").cast("int")
+    orders = fact_orders.where(F.col("order_date_key") <= until)
+    if "order_month" in fact_orders.columns:
+        orders = orders.where(F.col("order_month") <= F.floor(until / 100))
+    daily = orders.groupBy(F.col("order_date_key").alias("date_key")).agg(*sales_aggregates())
     days = dim_date.where(F.col("full_date") <= limit)
     return (
         days.join(daily, "date_key", "left")
@@ -236,12 +241,12 @@ def kpi_new_vs_returning(
 ) -> DataFrame:
     """Orders on the customer's first order date against all later ones.
 
-    A calendar has a few thousand days, so it is broadcast and no day's orders are moved.
+    A calendar has a few thousand days; Spark sees its size and broadcasts it.
     """
     is_new = F.col("first_order_date") == F.col("full_date")
     days = dim_date.select(F.col("date_key").alias("order_date_key"), "full_date")
     orders = orders_of_customers(fact_orders, dim_customers, hot_rows).join(
-        F.broadcast(days), "order_date_key"
+        days, "order_date_key"
     )
     return (
         orders.groupBy(F.when(is_new, "new").otherwise("returning").alias("customer_type"))

@@ -248,8 +248,11 @@ def stg_gsc_daily(
 ) -> DataFrame:
     """Daily search figures; the click-through rate is stored as a fraction."""
     percent = cast(F.replace(F.col("ctr"), F.lit("%"), F.lit("")), "decimal(12,6)")
+    day = F.to_date("date", "yyyy-MM-dd")
+    if cast is C.typed_lenient:
+        day = F.try_to_date("date", "yyyy-MM-dd")
     rows = raw.where(C.filled(F.col("date"))).select(
-        F.to_date("date", "yyyy-MM-dd").alias("date"),
+        day.alias("date"),
         cast(F.col("clicks"), "bigint").alias("clicks"),
         cast(F.col("impressions"), "bigint").alias("impressions"),
         (percent / 100).cast(C.RATE).alias("ctr"),

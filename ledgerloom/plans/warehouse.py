@@ -13,6 +13,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom import schemas
 from ledgerloom.functions import columns as C
 from ledgerloom.operators import dimensions as D
 from ledgerloom.operators import exports, facts, marts, quality, staging
@@ -39,6 +40,8 @@ class WarehouseConfig:
     strict: bool = True
     # Exports whose quoted fields hold no line breaks can be split over tasks.
     multiline: bool = True
+    # Stop before the marts if a declared key of a stored table is not unique.
+    check_keys: bool = True
     # Partition order facts by month, for readers that ask for a range of days.
     monthly: bool = True
 
@@ -172,6 +175,13 @@ def build_layers(
         "fact_marketing_spend", facts.fact_marketing_spend(t["stg_meta_ads"])
     )
     t["fact_gsc_daily"] = star.save("fact_gsc_daily", facts.fact_gsc_daily(t["stg_gsc_daily"]))
+    if config.check_keys:
+        # Marts count rows where keys are unique, so a repeated key would count twice.
+        quality.require_clean(
+            quality.union(
+                [quality.unique_key(t[n], n, keys) for n, keys in schemas.UNIQUE_KEYS.items()]
+            )
+        )
     return t | mart_tables(t, config.as_of)
 
 

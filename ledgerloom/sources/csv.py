@@ -78,6 +78,8 @@ def read_export(spark: SparkSession, path: str | list[str], multiline: bool = Tr
         .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
+        # Files of one source must agree in their header; another order of columns is an error.
+        .option("enforceSchema", False)
         .csv(path)
     )
     return normalise(df)

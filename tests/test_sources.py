@@ -215,3 +215,18 @@ def test_search_days(frame):
     )
     rows = staging.stg_gsc_daily(df).collect()
     assert len(rows) == 1 and str(rows[0]["ctr"]) == "0.3333"
+
+
+def test_files_of_a_source_agree_in_their_header(spark, tmp_path):
+    (tmp_path / "a_1.csv").write_text("Id,Total\n1,2\n")
+    (tmp_path / "a_2.csv").write_text("Total,Id\n20,10\n")
+    with pytest.raises(Exception, match="header"):
+        csv.read_export(spark, [str(tmp_path / "a_1.csv"), str(tmp_path / "a_2.csv")]).collect()
+
+
+def test_lenient_load_takes_a_malformed_day_as_null(spark, frame):
+    schema = "date string, clicks string, impressions string, ctr string, position string"
+    raw = frame(schema, {"date": "2025-13-45", "clicks": "1", "impressions": "2", "ctr": "1%", "position": "3"})
+    assert [r["date"] for r in staging.stg_gsc_daily(raw, C.typed_lenient).collect()] == [None]
+    with pytest.raises(Exception):
+        staging.stg_gsc_daily(raw).collect()
