@@ -11,6 +11,9 @@ Documents link when their sets of five-word shingles have a Jaccard similarity o
    neighbours in the order are one key. A token that a similar set lacks breaks two such
    combinations and one that it has in addition breaks one, in all at most n / 2 of them
    where percent is 75; so with n / 2 - 2 (rare tokens) + 2 frequent tokens one is shared.
+   Prefixes are n / 8 keys longer than that, so a similar pair shares more than n / 8 keys of
+   the smaller set. Classes that share fewer keys with all others together are left out
+   before any pair is made, pairs that share fewer before they are looked at.
 3. Candidate pairs whose sizes or parity bitmaps rule the similarity out are dropped. Among
    the classes of a key the smallest is the leader. Each class is verified against its
    best leader, then against its other leaders in other components, and last, where a key
@@ -136,6 +139,11 @@ def _describe(share: float):
     return describe
 
 
+def spare(n: int) -> int:
+    """How many keys a set of n tokens has beyond the prefix that makes one key shared."""
+    return n // 8 if n >= 16 else 0
+
+
 def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     """Keys of a set: even numbers for single rare tokens, odd ones for combinations."""
     n = len(tokens)
@@ -147,12 +155,14 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nd
     else:
         rare, common = tokens, tokens[:0]
     one = np.uint64(1)
-    if len(rare) > lacks:
-        return rare[: lacks + 1] & ~one
+    more = spare(n)
+    if len(rare) > lacks + more:
+        return rare[: lacks + 1 + more] & ~one
     # With o shared tokens the set lacks n - o and meets m - o others, m the other's size;
     # o is at least r (n + m) / (1 + r) for r = percent / 100 and m at least r n.
     breaks = 2 * n * (100 - percent) // 100 - 2 * len(rare)
-    run = common[: breaks + 2]
+    # A shared rare token makes up for two broken combinations, so spare ones count half.
+    run = common[: max(0, breaks) + 2 + 2 * more]
     return np.concatenate([rare & ~one, _mixed(_mixed(run[:-1]) + run[1:]) | one])
 
 
@@ -277,11 +287,13 @@ def similar_documents(
     index = named.mapInPandas(_index(frequent, percent), "key bigint, sid bigint")
     combined = F.col("key") % 2 != 0
     index = index.withColumn("slice", F.when(combined, F.pmod("sid", F.lit(SLICES))).otherwise(0).cast("int"))
-    group = Window.partitionBy("key", "slice")
-    shared = index.select(
-        "key", "slice", "sid", F.min("sid").over(group).alias("leader"), F.max("sid").over(group).alias("last")
-    )
-    shared = stored(shared.where((F.col("leader") != F.col("last")) | combined).drop("last"), "join-keys")
+    shared = stored(_led(index), "join-keys")
+    counts = shared.groupBy(F.col("sid").alias("s1")).agg(F.count("*").alias("keys"))
+    sizes = reps.groupBy("s1").agg(F.min("n").alias("n"))
+    enough = counts.join(sizes, "s1").where(F.col("keys") > _spare(F.ceil(F.col("n") * percent / 100)))
+    enough = small(stored(enough.select(F.col("s1").alias("_s1"), F.col("n").cast("int").alias("size")), "join-enough"))
+    shared = shared.join(enough, F.col("sid") == F.col("_s1")).select("key", "slice", "sid", "size")
+    shared = stored(_led(shared, "size"), "join-keys")
     pairs = shared.select(F.col("leader").alias("a"), F.col("sid").alias("b"))
     heads = shared.where(combined).select("key", "leader").distinct()
     first = heads.groupBy(F.col("key").alias("_key")).agg(F.min("leader").alias("a"))
@@ -299,16 +311,22 @@ def similar_documents(
         of = _components(links)
 
     # What is left: two classes of a key, none of them its leader, in different components.
-    rows = shared.select("key", "sid").join(of, F.col("sid") == F.col("node"), "left")
-    rows = stored(rows.select("key", "sid", F.coalesce("component", "sid").alias("of")), "join-rest")
+    rows = shared.select("key", "sid", "size").join(of, F.col("sid") == F.col("node"), "left")
+    rows = stored(rows.select("key", "sid", "size", F.coalesce("component", "sid").alias("of")), "join-rest")
     open_ = rows.groupBy("key").agg(F.min("of").alias("_a"), F.max("of").alias("_b")).where("_a <> _b")
     rows = rows.join(stored(open_.select(F.col("key").alias("_key")), "join-open"), F.col("key") == F.col("_key")).drop("_key")
     rows = stored(rows, "join-rest")
     if not rows.isEmpty():
-        left = rows.select("key", F.col("sid").alias("a"), F.col("of").alias("of_a"))
-        right = rows.select(F.col("key").alias("_key"), F.col("sid").alias("b"), F.col("of").alias("of_b"))
-        rest = left.join(right, (F.col("key") == F.col("_key")) & (F.col("of_a") < F.col("of_b")))
-        rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        left = rows.select("key", F.col("sid").alias("a"), F.col("of").alias("of_a"), F.col("size").alias("na"))
+        right = rows.select(
+            F.col("key").alias("_key"), F.col("sid").alias("b"), F.col("of").alias("of_b"), F.col("size").alias("nb")
+        )
+        like = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+        rest = left.join(right, (F.col("key") == F.col("_key")) & (F.col("of_a") < F.col("of_b")) & like)
+        rest = rest.groupBy(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("na", "nb").alias("n")
+        ).agg(F.count("*").alias("keys"))
+        rest = rest.where(F.col("keys") > _spare(F.col("n"))).select("a", "b").distinct()
         known = ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         rest = _possible(rest.join(known, ["a", "b"], "left_anti"), reps, percent)
         rest = stored(rest.select("a", "b"), "join-rest")
@@ -336,6 +354,20 @@ def similar_documents(
     )
 
 
+def _spare(n: Column) -> Column:
+    return F.when(n >= 16, F.floor(n / 8)).otherwise(0)
+
+
+def _led(index: DataFrame, *more: str) -> DataFrame:
+    """Rows of keys that several classes share, with the smallest class as leader, and all rows
+    of combinations (their slices meet later)."""
+    group = Window.partitionBy("key", "slice")
+    led = index.select(
+        "key", "slice", "sid", *more, F.min("sid").over(group).alias("leader"), F.max("sid").over(group).alias("last")
+    )
+    return led.where((F.col("leader") != F.col("last")) | (F.col("key") % 2 != 0)).drop("last")
+
+
 def _possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and bitmaps allow the similarity: most chance neighbours go here.
 
