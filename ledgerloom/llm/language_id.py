@@ -34,9 +34,9 @@ class LanguageModel:
 
 
 def words_only(text: str) -> bytes:
-    """Lower-case words with single blanks around them; nothing but letters is left."""
+    """Lower-case words with single blanks around them; empty if there is no letter."""
     words = re.sub(r"[\W\d_]+", " ", text.lower()).strip()
-    return f" {words} ".encode() if words else b""
+    return f" {words} ".encode() if any(map(str.isalpha, words)) else b""
 
 
 def train_languages(
