@@ -43,6 +43,7 @@ FREQUENT_SHARE = 1 / 1000  # of all classes
 FREQUENT_TOKENS = 1 << 18  # at most so many are broadcast, the most frequent ones (2 MB)
 BLOCK_TOKENS = 4_000_000
 SLICES = 64
+_DESCRIBED = "kind int, id bigint, hash bigint, n bigint, s1 bigint, s2 bigint, bits array<bigint>"
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -108,7 +109,7 @@ def _describe(share: float):
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = shingle_sets()
-        names = ["kind", "id", "n", "s1", "s2", "bits"]
+        names = ["kind", "id", "hash", "n", "s1", "s2", "bits"]
         block: dict[int, np.ndarray] = {}
         held = 0
 
@@ -117,15 +118,23 @@ def _describe(share: float):
             often = counts >= max(3, share / 2 * len(block))
             zero = np.zeros(often.sum(), dtype=np.int64)
             return pd.DataFrame(
-                {"kind": 1, "id": tokens[often].view(np.int64), "n": counts[often], "s1": zero, "s2": zero, "bits": None}
+                {
+                    "kind": 1,
+                    "id": tokens[often].view(np.int64),
+                    "hash": zero,
+                    "n": counts[often],
+                    "s1": zero,
+                    "s2": zero,
+                    "bits": None,
+                }
             )
 
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc_id, hashed, text in zip(batch["doc_id"], batch["hash"], batch["text"], strict=True):
                 tokens = of(text)
                 s1, s2 = _set_name(tokens) if len(tokens) else (0, 0)
-                rows.append((0, doc_id, len(tokens), s1, s2, parity_bits(tokens)))
+                rows.append((0, doc_id, hashed, len(tokens), s1, s2, parity_bits(tokens)))
                 if len(tokens) and s1 not in block:
                     block[s1] = tokens
                     held += len(tokens)
@@ -204,19 +213,23 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int)
         sliced.select(F.col("a").alias("sid"), "a", "slice", F.lit(0).alias("role")).distinct()
     )
     need = need.groupBy("sid").agg(F.collect_list(F.struct("a", "slice", "role")).alias("places"))
-    need = need.join(reps.select("s1", "rep"), F.col("sid") == F.col("s1")).select("rep", "sid", "places")
-    need = small(stored(need, "join-need"))
-    texts = docs.join(need, docs["doc_id"] == need["rep"]).select("sid", "places", "text")
+    need = need.join(reps.select("s1", "rep", "rep_hash"), F.col("sid") == F.col("s1"))
+    need = small(stored(need.select("rep", "rep_hash", "sid", "places"), "join-need"))
+    same = (docs["doc_id"] == need["rep"]) & (docs["hash"] == need["rep_hash"])
+    texts = docs.join(need, same).select("sid", "places", "text")
     schema = "a bigint, slice int, role int, sid bigint, tokens binary"
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = shingle_sets()
+        of, done = shingle_sets(), set()
         for batch in batches:
             rows, size = [], 0
             for sid, places, text in zip(batch["sid"], batch["places"], batch["text"], strict=True):
                 tokens = of(text)
-                if _set_name(tokens)[0] != sid:  # another row with the same id
+                if sid in done or _set_name(tokens)[0] != sid:  # a repeated row, another text with these hashes
                     continue
+                if len(done) > 1_000_000:
+                    done.clear()
+                done.add(sid)
                 for p in places:
                     rows.append((p["a"], p["slice"], p["role"], sid, tokens.tobytes()))
                     size += tokens.nbytes
@@ -264,18 +277,39 @@ def similar_documents(
     id stand for their own texts; repeated rows agree; an empty table gives an empty table.
     Whole texts count, and sets are compared in full.
     """
-    if percent < 75:
-        raise ValueError("the bound on broken combinations holds from 75 percent on")
-    named = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    text = F.col(text_column)
+    named = docs.select(F.col(id_column).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("hash"))
     nameless = named.where("doc_id is null")
     named = named.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    schema = "kind int, id bigint, n bigint, s1 bigint, s2 bigint, bits array<bigint>"
-    found = stored(named.mapInPandas(_describe(share), schema), "join-sets")
-    sets = found.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "s1", "s2", "bits")
+    result = _linked(named, percent, share).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("first", "doc_id").alias("component_id")
+    )
+    nameless = nameless.withColumn("doc_id", F.lit(None).cast("bigint"))
+    counted = nameless.mapInPandas(_describe(share), _DESCRIBED).where("kind = 0")
+    return result.unionByName(
+        counted.select(
+            F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id")
+        )
+    )
+
+
+def _linked(named: DataFrame, percent: int, share: float) -> DataFrame:
+    """``doc_id, hash, n, first, component`` for each row of ``named`` (doc_id, text and its
+    hash, no null id): the smallest id that links can reach, null where it is the row's own,
+    and a name of the component. Links are between texts, so rows that share an id may lie in
+    different components."""
+    if percent < 75:
+        raise ValueError("the bound on broken combinations holds from 75 percent on")
+    found = stored(named.mapInPandas(_describe(share), _DESCRIBED), "join-sets")
+    sets = found.where("kind = 0").select(F.col("id").alias("doc_id"), "hash", "n", "s1", "s2", "bits")
 
     reps = sets.where("n > 0").groupBy("s1", "s2").agg(
-        F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("rows"), F.first("bits").alias("bits")
+        F.min(F.struct("doc_id", "hash")).alias("rep"),
+        F.min("n").alias("n"),
+        F.count("*").alias("rows"),
+        F.first("bits").alias("bits"),
     )
+    reps = reps.select("s1", "s2", F.col("rep.doc_id").alias("rep"), F.col("rep.hash").alias("rep_hash"), "n", "rows", "bits")
     reps = stored(reps, "join-classes")
     least = max(3, share / 2 * reps.count())
     often = found.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -333,24 +367,19 @@ def similar_documents(
         if not rest.isEmpty():
             links = links.unionByName(_verified(named, reps, rest, percent))
 
-    # From classes to documents: the smallest id of a class stands for it.
+    # From classes to documents. Components are of classes: one id may be in several.
+    joined = _components(links)
     ids = reps.select("s1", "rep")
-    linked = links.join(ids, F.col("a") == F.col("s1")).select("b", F.col("rep").alias("ra"))
-    linked = linked.join(ids, F.col("b") == F.col("s1")).select("ra", F.col("rep").alias("rb"))
-    joined = connected_components(linked, "ra", "rb")
-    classes = reps.join(joined, F.col("rep") == F.col("node"), "left").select(
-        F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), F.coalesce("component", "rep").alias("_first"), "rows", "node"
+    firsts = joined.join(ids, F.col("node") == F.col("s1")).groupBy("component").agg(F.min("rep").alias("first"))
+    joined = joined.join(firsts.withColumnRenamed("component", "_c"), F.col("component") == F.col("_c")).drop("_c")
+    classes = reps.join(joined, F.col("s1") == F.col("node"), "left").where("rows > 1 or node is not null")
+    classes = classes.select(
+        F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), F.coalesce("first", "rep").alias("first"), "component"
     )
-    classes = small(stored(classes.where("rows > 1 or node is not null").drop("rows", "node"), "join-named"))
+    classes = small(stored(classes, "join-named"))
     same = (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2"))
-    result = sets.join(classes, same, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("_first", "doc_id").alias("component_id")
-    )
-    counted = nameless.withColumn("doc_id", F.lit(None).cast("bigint")).mapInPandas(_describe(share), schema).where("kind = 0")
-    return result.unionByName(
-        counted.select(
-            F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id")
-        )
+    return sets.join(classes, same, "left").select(
+        "doc_id", "hash", "n", "first", F.coalesce("component", "s1").alias("component")
     )
 
 
@@ -406,24 +435,32 @@ def _across(pairs: DataFrame, of: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` without near copies: of each component the row with the smallest id stays.
+    """``docs`` without near copies: of each component one row stays, the one with the smallest
+    id (null last), then with the smallest hash of its text.
 
-    Of rows that share an id, the one whose text has the smallest hash stays. Rows without
-    shingles and rows with a null id link with nothing and stay. Columns come through as they
-    are.
+    Rows are told apart by their texts: an id that several texts share, or a null one, is no
+    link. Of rows that agree in id and text any one stays. Rows without shingles link with
+    nothing, and all of them stay. Columns come through as they are.
     """
-    g, a, place = free_names(docs, "_gone", "_again", "_place")
-    linked = similar_documents(docs, percent, id_column, text_column)
-    gone = linked.where("doc_id <> component_id").select(F.col("doc_id").alias(g)).distinct()
-    gone = small(stored(gone, "join-gone"))
-    kept = docs.join(gone, F.col(id_column).cast("bigint") == F.col(g), "left_anti")
-    # Repeated ids are few; only they are ranked.
-    ids = docs.select(F.col(id_column).alias(a)).where(F.col(a).isNotNull())
-    again = stored(ids.groupBy(a).agg(F.count("*").alias("rows")).where("rows > 1").select(a), "join-again")
-    if again.isEmpty():
-        return kept
-    again = small(again)
-    single = kept.join(again, F.col(id_column) == F.col(a), "left_anti")
-    order = Window.partitionBy(id_column).orderBy(F.xxhash64(text_column), text_column)
-    ranked = kept.join(again, F.col(id_column) == F.col(a), "left_semi").withColumn(place, F.row_number().over(order))
-    return single.unionByName(ranked.where(F.col(place) == 1).drop(place))
+    h, g, a, place = free_names(docs, "_hash", "_gone", "_again", "_place")
+    hashed = F.xxhash64(text_column)
+    number = F.col(id_column).cast("bigint")
+    named = docs.select(F.coalesce(number, hashed).alias("doc_id"), F.col(text_column).alias("text"), hashed.alias("hash"))
+    linked = _linked(named, percent, FREQUENT_SHARE).where("n > 0")
+    linked = linked.groupBy("hash").agg(F.min("component").alias("component"))
+    texts = docs.select(hashed.alias("_text"), number.alias("id")).groupBy("_text")
+    texts = texts.agg(F.min("id").alias("id"), F.count("*").alias("rows"))
+    texts = stored(linked.join(texts, F.col("hash") == F.col("_text")).drop("_text"), "join-texts")
+    best = texts.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "hash")).alias("best"))
+    best = best.select(F.col("component").alias("_of"), F.col("best.hash").alias("_best"))
+    fates = texts.join(best, F.col("component") == F.col("_of"))
+    fates = stored(fates.where("rows > 1 or hash <> _best").select("hash", (F.col("hash") == F.col("_best")).alias("stays")), "join-fates")
+
+    gone = small(fates.where("not stays").select(F.col("hash").alias(g)))
+    kept = docs.withColumn(h, hashed).join(gone, F.col(h) == F.col(g), "left_anti")
+    # Of texts with several rows one row stays; a rank cut to 1 leaves one row in each task.
+    again = small(fates.where("stays").select(F.col("hash").alias(a)))
+    single = kept.join(again, F.col(h) == F.col(a), "left_anti")
+    order = Window.partitionBy(h).orderBy(F.col(id_column).asc_nulls_last())
+    ranked = kept.join(again, F.col(h) == F.col(a), "left_semi").withColumn(place, F.row_number().over(order))
+    return single.unionByName(ranked.where(F.col(place) == 1).drop(place)).drop(h)

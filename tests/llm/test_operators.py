@@ -454,6 +454,20 @@ def test_join_of_odd_rows(spark, docs, empty):
     assert similar_documents(empty).count() == one_of_each_group(empty).count() == 0
 
 
+def test_rows_that_share_an_id(spark):
+    """An id is no link: rows go or stay by their texts."""
+    x, y, z = prose(31, 80), prose(32, 80), prose(33, 80)
+    rows = [(3, x + " end"), (5, x), (5, y), (9, y + " end"), (7, z), (7, prose(34, 80)), (7, None), (7, None), (7, " ")]
+    rows += [(None, prose(35, 80)), (None, prose(35, 80)), (None, prose(36, 80)), (None, z + " end"), (8, z)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    of = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in similar_documents(df.where("doc_id in (3, 9)")).collect()}
+    assert of == {(3, 77): 3, (9, 77): 9}
+    linked = Counter((r["doc_id"], r["component_id"]) for r in similar_documents(df.where("doc_id in (3, 5, 9)")).collect())
+    assert linked == Counter([(3, 3), (5, 3), (5, 5), (9, 5)])
+    kept = Counter(map(tuple, one_of_each_group(df).collect()))
+    assert kept == Counter([rows[0], rows[2], *rows[4:10], rows[11]])
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
