@@ -4,7 +4,9 @@ Each run of five words is hashed, and the hashes in the lowest ``1 / scale`` of
 are kept, all of them. The kept part of a document is thus a fair sample of its shingles at
 one rate for all documents. So the sketch of a union is the union of the sketches, and the
 share of a small document in a large one can be told from both sketches, however unequal
-they are. Everything here is made of built-in functions.
+they are. A document of at most ``WHOLE`` distinct shingles is too short for a sample: its
+sketch is whole, with all of them. Two whole sketches are compared as they are, otherwise
+both at the rate of the sample. Everything here is made of built-in functions.
 """
 
 from __future__ import annotations
@@ -15,7 +17,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import free_names, small, stored
 
 SHINGLE_WORDS = 5
-SCALE = 8
+SCALE = 2
+WHOLE = 64
+_SURE = 8  # a sample of more than 64 shingles has so few hashes in one of 10^9 cases
 _RANGE = 1 << 60
 
 
@@ -43,33 +47,58 @@ def shingle_hashes(text: Column, words: int = SHINGLE_WORDS) -> Column:
     return F.when(trimmed == "", F.array().cast("array<bigint>")).otherwise(all_runs)
 
 
+def _below(hashes: Column, scale: int) -> Column:
+    return F.filter(hashes, lambda h: h < _RANGE // scale)
+
+
+def _cut(hashes: Column, scale: int) -> Column:
+    # The hashes come into the lambda as one value, so that they are computed once.
+    return F.flatten(F.transform(F.array(hashes), lambda x: F.when(F.size(x) <= WHOLE, x).otherwise(_below(x, scale))))
+
+
 def sketch(text: Column, scale: int = SCALE, words: int = SHINGLE_WORDS) -> Column:
-    """The distinct hashes below ``2^60 / scale``, in order."""
-    return F.array_sort(F.array_distinct(F.filter(shingle_hashes(text, words), lambda h: h < _RANGE // scale)))
+    """The distinct hashes, in order: all if they are ``WHOLE`` at most, else those below
+    ``2^60 / scale``."""
+    return F.array_sort(_cut(F.array_distinct(shingle_hashes(text, words)), scale))
+
+
+def _whole(kept: Column, scale: int) -> Column:
+    """Whether a sketch is whole. A whole one whose hashes all lie below the threshold counts
+    as a sample if it has more than a few."""
+    return (F.size(kept) <= _SURE) | (F.element_at(kept, -1) >= _RANGE // scale)
+
+
+def _alike(first: Column, second: Column, scale: int) -> tuple[Column, Column]:
+    """Both sketches at the same rate."""
+    whole = _whole(first, scale) & _whole(second, scale)
+    return tuple(F.when(whole, x).otherwise(_below(x, scale)) for x in (first, second))
 
 
-def merged(first: Column, second: Column) -> Column:
+def merged(first: Column, second: Column, scale: int = SCALE) -> Column:
     """The sketch of two documents together."""
-    return F.array_sort(F.array_union(first, second))
+    return F.array_sort(_cut(F.array_union(*_alike(first, second, scale)), scale))
 
 
-def containment(inner: Column, outer: Column) -> Column:
-    """Estimated share of the first document's shingles that are in the second; null if the
-    first sketch is empty."""
+def containment(inner: Column, outer: Column, scale: int = SCALE) -> Column:
+    """Estimated share of the first document's shingles that are in the second; null if none
+    of them can be looked up."""
+    inner, outer = _alike(inner, outer, scale)
     return F.size(F.array_intersect(inner, outer)) / F.nullif(F.size(inner), F.lit(0))
 
 
-def likeness(first: Column, second: Column, same_text: Column) -> Column:
-    """Estimated Jaccard similarity, 0 to 1. Two empty sketches tell nothing; then texts are
-    alike (1) if they are equal and not (0) otherwise."""
+def likeness(first: Column, second: Column, same_text: Column, scale: int = SCALE) -> Column:
+    """Jaccard similarity, 0 to 1: exact for two whole sketches, else estimated. Two empty
+    sketches are those of texts without words; they are alike (1) if they are equal and not
+    (0) otherwise."""
+    first, second = _alike(first, second, scale)
     common = F.size(F.array_intersect(first, second))
     both = F.size(first) + F.size(second) - common
     return F.when(both == 0, same_text.cast("double")).otherwise(common / both)
 
 
-def as_text(kept: Column, scale: int = SCALE) -> Column:
+def as_text(kept: Column) -> Column:
     """A sketch as text: the highest 48 bits of each hash, as eight characters of base 64."""
-    shift = max(0, (_RANGE // scale).bit_length() - 1 - 48)
+    shift = _RANGE.bit_length() - 1 - 48
     digits = F.transform(kept, lambda h: F.lpad(F.hex(F.shiftright(h, shift)), 12, "0"))
     return F.translate(F.base64(F.unhex(F.array_join(digits, ""))), "\r\n", "")
 

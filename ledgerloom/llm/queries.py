@@ -54,8 +54,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, compared with each other and
     with the next document's."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text_of().alias("text"))
-    docs = with_next(fingerprint_documents(docs), "doc_id", ["text", "sketch"])
+    # Sketches are made after the exchange, also the next text's: they don't compress.
+    docs = with_next(docs, "doc_id", ["text"])
     docs = docs.withColumn("edited", edited_text(F.col("text"), F.col("_next_text")))
+    docs = fingerprint_documents(fingerprint_documents(docs), "_next_text", "_next_sketch")
     docs = fingerprint_documents(docs, "edited", "edited_sketch")
     return docs.select(
         "doc_id",

@@ -124,6 +124,25 @@ def test_sketches_estimate_and_merge(spark):
     assert set(row["both"]) <= set(row["sb"]) and len(row["sb"]) - len(row["both"]) <= 4
 
 
+def test_likeness_of_short_texts(spark):
+    rng = random.Random(9)
+    pairs = []
+    for n in [*range(1, 31), 60, 64, 66, 68]:
+        for edits in (0, 1, 3):
+            words = prose(200 + n, n).split()
+            other = list(words)
+            for _ in range(edits):
+                other[rng.randrange(n)] = f"w{rng.randrange(50)}"
+            pairs.append((" ".join(words), "  ".join(other).upper()))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    df = fingerprint_documents(fingerprint_documents(df, "a", "sa"), "b", "sb")
+    rows = df.select("a", "b", "sa", likeness(df.sa, df.sb, df.a == df.b).alias("got")).collect()
+    assert len({tuple(r["sa"]) for r in rows}) == len({r["a"] for r in rows}) and all(r["sa"] for r in rows)
+    for r in rows:
+        a, b = shingles(r["a"]), shingles(r["b"])
+        assert r["got"] == jaccard(a, b) if len(a) < 64 and len(b) < 64 else abs(r["got"] - jaccard(a, b)) < 0.3
+
+
 # ---- 2 search -------------------------------------------------------------------------
 
 
