@@ -6,10 +6,13 @@ target. For that, two fractional documents meet and mass (words) moves from one
 in a random direction until one of them is decided, taken or not. Their words together stay
 the same, and every document keeps its expected value. One undecided document is left.
 
-This is done in a tree. Documents are dealt by hash to groups of bounded size, each of which
-decides all its documents but one of each source; those meet 64 groups at a time at the next
-level, until one group is left. There each source's last document goes to the nearer side, so
-that the words taken differ from the target by half a document at most.
+Repeated rows are one document here: of rows * rate copies the whole part is settled, and
+only what is left, less than one copy of one row, is rounded.
+
+This is done in a tree. Documents of a source are dealt by hash to groups of bounded size, each
+of which decides all its documents but one; those meet at the next level. A source that fits
+into one group is decided there, along with other such sources. Its last document goes to the
+nearer side, so that the words taken differ from the target by half a document at most.
 """
 
 from __future__ import annotations
@@ -22,7 +25,6 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import free_names, small, stored, text_of
 
 GROUP_ROWS = 4096
-FAN_IN = 64
 _TINY = 1e-12
 
 
@@ -96,11 +98,12 @@ def pivotal(p: list[float], mass: list[float], draws: list[float]) -> tuple[list
     return out, at, left
 
 
-_STATE = "_of bigint, _unit bigint, _mass double, _p double, _extra int, _group bigint, _key string"
+_STATE = "_of bigint, _unit bigint, _mass double, _p double, _extra int, _group bigint, _last boolean, _key string"
 
 
-def _reduce(seed: int, level: int, last: bool):
-    """One level: a group of undecided documents becomes at most one of each source."""
+def _reduce(seed: int, level: int):
+    """One level: a group of undecided documents becomes at most one of each source, and none
+    of a source that is here as a whole."""
 
     def decide(part: pd.DataFrame) -> pd.DataFrame:
         # A fixed order and draws that depend on the group alone: a repeated task agrees.
@@ -109,14 +112,14 @@ def _reduce(seed: int, level: int, last: bool):
         part = part.sort_values(order, ascending=[True, False, True, True], kind="stable", ignore_index=True)
         draws = np.random.default_rng([seed, level, int(part["_group"].iloc[0])]).random(len(part))
         extra, p = part["_extra"].to_numpy().copy(), part["_p"].to_numpy().copy()
-        mass, of = part["_mass"].to_numpy(), part["_of"].to_numpy()
+        mass, of, last = part["_mass"].to_numpy(), part["_of"].to_numpy(), part["_last"].to_numpy()
         edges = np.flatnonzero(np.diff(of)) + 1
         for a, b in zip([0, *edges], [*edges, len(part)], strict=True):
             got, at, left = pivotal(p[a:b].tolist(), mass[a:b].tolist(), draws[a:b].tolist())
             extra[a:b] = got
             if at >= 0:
                 p[a + at] = left
-                if last:
+                if last[a]:
                     extra[a + at] = int(left >= 0.5)
         part["_extra"], part["_p"] = extra, p
         return part
@@ -124,7 +127,30 @@ def _reduce(seed: int, level: int, last: bool):
     return decide
 
 
-def mix_sources(
+def mix_sources(docs: DataFrame, *args, **settings) -> DataFrame:
+    """What the mix takes of each document; the settings are those of ``_taken``.
+
+    One row per distinct (id, source, size, text) and number of copies: ``doc_id``, ``source``,
+    ``size``, ``text_hash`` (of the text; null has one of its own), ``rows`` (how many such rows
+    of ``docs`` get so many copies), ``source_size``, ``target`` and ``copies`` (0 to ``most``)
+    of each such row.
+
+    Defined results: null and blank texts have size 0 and count for nothing, they get the
+    whole part of their source's rate; a null source is a source; null ids are told apart by
+    their texts; copies of repeated rows differ by one at most; an empty table gives an empty
+    table. The same rows give the same mix on every run.
+    """
+    taken = _taken(docs, *args, **settings)
+    some = F.struct((F.col("rows") - F.col("_more")).alias("rows"), F.col("_each").alias("copies"))
+    others = F.struct(F.col("_more").alias("rows"), (F.col("_each") + 1).alias("copies"))
+    parts = F.explode(F.filter(F.array(some, others), lambda x: x.rows > 0)).alias("_part")
+    units = ["doc_id", "source", "size", "text_hash"]
+    return taken.select(*units, "source_size", "target", parts).select(
+        *units, F.col("_part.rows").alias("rows"), "source_size", "target", F.col("_part.copies").cast("int").alias("copies")
+    )
+
+
+def _taken(
     docs: DataFrame,
     size: Column | None = None,
     weights: tuple[float, ...] = (3, 1, 2),
@@ -134,18 +160,10 @@ def mix_sources(
     id_column: str = "doc_id",
     source_column: str = "source",
     text_column: str = "text",
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """What the mix takes of each document.
-
-    One row per distinct (id, source, size, text): ``doc_id``, ``source``, ``size``,
-    ``text_hash`` (of the text; null has one of its own), ``rows`` (how often it is in
-    ``docs``), ``source_size``, ``target`` and ``copies`` (0 to ``most``) of each such row.
-
-    Defined results: null and blank texts have size 0 and count for nothing, they get the
-    whole part of their source's rate; a null source is a source; null ids are told apart by
-    their texts; repeated rows are decided together; an empty table gives an empty table. The
-    same rows give the same mix on every run.
-    """
+    """One row per distinct (id, source, size, text): of its ``rows`` each gets ``_each``
+    copies, and ``_more`` of them get one more."""
     sizes = word_count(text_column) if size is None else size
     units = docs.select(
         F.col(id_column).alias("doc_id"),
@@ -154,7 +172,6 @@ def mix_sources(
         F.xxhash64(F.col(text_column)).alias("text_hash"),
     )
     units = stored(units.groupBy(*units.columns).agg(F.count("*").alias("rows")), "mix-units")
-    groups = max(1, -(-units.count() // GROUP_ROWS))
 
     totals = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     targets = source_targets(stored(totals, "mix-totals"), weights, share, most)
@@ -170,35 +187,52 @@ def mix_sources(
         F.xxhash64("doc_id", "text_hash", F.lit(seed)).alias("_unit"),
         F.concat_ws(":", "doc_id", "text_hash", "size").alias("_key"),
     )
-    rated = rated.withColumn("_whole", F.floor("_rate"))
+    # A document of size 0 moves no words: its rows get the whole part of the rate.
+    expected = F.col("rows") * F.when(F.col("size") > 0, F.col("_rate")).otherwise(F.floor("_rate"))
+    rated = rated.withColumn("_expected", expected).withColumn("_whole", F.floor("_expected"))
     state = rated.select(
         "_of",
         "_unit",
-        (F.col("size") * F.col("rows")).cast("double").alias("_mass"),
-        (F.col("_rate") - F.col("_whole")).alias("_p"),
+        F.col("size").cast("double").alias("_mass"),
+        (F.col("_expected") - F.col("_whole")).alias("_p"),
         F.lit(-1).alias("_extra"),
-        F.pmod("_unit", F.lit(groups)).alias("_group"),
+        F.lit(0).cast("bigint").alias("_group"),
+        F.lit(False).alias("_last"),
         "_key",
     )
     done, level = [], 0
     while True:
-        last = groups == 1
-        state = stored(state.groupBy("_group").applyInPandas(_reduce(seed, level, last), _STATE), "mix-level")
+        dealt = _dealt(state, level, group_rows)
+        state = stored(dealt.groupBy("_group").applyInPandas(_reduce(seed, level), _STATE), "mix-level")
         done.append(state.where("_extra >= 0"))
-        if last:
+        state, level = state.where("_extra < 0"), level + 1
+        if state.isEmpty():
             break
-        state = state.where("_extra < 0").withColumn("_group", F.expr(f"_group div {FAN_IN}"))
-        groups, level = -(-groups // FAN_IN), level + 1
     decided = done[0]
     for more in done[1:]:
         decided = decided.unionByName(more)
     decided = decided.select(*[F.col(c).alias(f"{c}_d") for c in ("_unit", "_of", "_key", "_extra")])
     same = (F.col("_unit") == F.col("_unit_d")) & (F.col("_of") == F.col("_of_d")) & (F.col("_key") == F.col("_key_d"))
-    return rated.join(decided, same).select(
-        *units.columns, "source_size", "target", (F.col("_whole") + F.col("_extra_d")).cast("int").alias("copies")
+    total = (F.col("_whole") + F.col("_extra_d")).cast("bigint").alias("_total")
+    return rated.join(decided, same).select(*units.columns, "source_size", "target", total).select(
+        "*", F.expr("_total div rows").alias("_each"), (F.col("_total") % F.col("rows")).alias("_more")
     )
 
 
+def _dealt(state: DataFrame, level: int, group_rows: int) -> DataFrame:
+    """``state`` in groups of about ``group_rows``: parts of one large source, or several
+    sources that are small enough to be decided as a whole."""
+    counts = state.groupBy(F.col("_of").alias("_source")).agg(F.count("*").alias("_n"))
+    counts = stored(counts, "mix-counts")
+    groups = max(1, -(-(counts.agg(F.sum("_n")).first()[0] or 0) // group_rows))
+    fits = F.col("_n") <= group_rows
+    part = F.pmod(F.xxhash64("_unit", F.lit(level)), F.ceil(F.col("_n") / group_rows))
+    group = F.when(fits, F.xxhash64(F.lit(-1), F.pmod(F.xxhash64("_of"), F.lit(groups)))).otherwise(F.xxhash64("_of", part))
+    met = state.join(small(counts), F.col("_of") == F.col("_source"))
+    names = [f.split()[0] for f in _STATE.split(", ")]
+    return met.withColumn("_group", F.shiftrightunsigned(group, 1)).withColumn("_last", fits).select(*names)
+
+
 def mixed_documents(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -207,18 +241,37 @@ def mixed_documents(
     **settings,
 ) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, with its own columns."""
-    taken = mix_sources(
-        docs, id_column=id_column, source_column=source_column, text_column=text_column, **settings
-    ).where("copies > 0")
-    names = free_names(docs, "_id", "_source", "_hash", "_copies")
-    i, s, h, n = names
-    taken = taken.select(*[F.col(a).alias(b) for a, b in zip(("doc_id", "source", "text_hash", "copies"), names, strict=True)])
-    hash_name, again = free_names(docs.select("*", *[F.lit(0).alias(x) for x in names]), "_text_hash", "_again")
+    taken = _taken(docs, id_column=id_column, source_column=source_column, text_column=text_column, **settings)
+    taken = stored(taken.where("_each > 0 or _more > 0"), "mix-taken")
+    names = free_names(docs, "_id", "_source", "_hash", "_copies", "_extra")
+    i, s, h, n, m = names
+    columns = ("doc_id", "source", "text_hash", "_each", "_more")
+    taken = taken.select(*[F.col(a).alias(b) for a, b in zip(columns, names, strict=True)])
+    hash_name, again, row, part, before = free_names(
+        docs.select("*", *[F.lit(0).alias(x) for x in names]), "_text_hash", "_again", "_row", "_part", "_before"
+    )
     hashed = docs.withColumn(hash_name, F.xxhash64(F.col(text_column)))
     same = (
         (F.col(hash_name) == F.col(h))
         & F.col(id_column).eqNullSafe(F.col(i))
         & F.col(source_column).eqNullSafe(F.col(s))
     )
-    repeated = F.explode(F.sequence(F.lit(1), F.col(n))).alias(again)
-    return hashed.join(taken, same).select(*docs.columns, repeated).drop(again)
+    even = hashed.join(taken.where(F.col(m) == 0), same).select(*docs.columns, n)
+    uneven = taken.where(F.col(m) > 0)
+    if not uneven.isEmpty():
+        # Repeated rows are numbered within the parts of a stored table, after those of earlier parts.
+        rows = hashed.join(small(uneven), same).withColumn(row, F.monotonically_increasing_id())
+        rows = stored(rows.withColumn(part, F.shiftright(row, 33)), "mix-repeated")
+        unit = [i, s, h]
+        earlier = Window.partitionBy(*unit).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+        counts = rows.groupBy(*unit, part).agg(F.count("*").alias("_rows"))
+        counts = counts.withColumn(before, F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+        numbers = rows.withColumn(again, F.row_number().over(Window.partitionBy(*unit, part).orderBy(row)))
+        l, r = numbers.alias("l"), counts.alias("r")
+        met = l.join(r, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*unit, part]])
+        more = (F.col(f"l.{again}") + F.col(f"r.{before}") <= F.col(f"l.{m}")).cast("bigint")
+        even = even.unionByName(
+            met.select(*[F.col(f"l.`{c}`") for c in docs.columns], (F.col(f"l.{n}") + more).alias(n)).where(F.col(n) > 0)
+        )
+    repeated = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(n))).alias(again)
+    return even.select(*docs.columns, repeated).drop(again)

@@ -413,6 +413,28 @@ def test_mixing(spark, folder, docs, empty):
     assert mix_sources(empty).count() == mixed_documents(empty).count() == 0
 
 
+def test_mixing_of_repeated_rows(spark):
+    """A third of a source is one repeated row, and another a copy without an id."""
+    rows = [(i, prose(i, 20 + i % 9), "a" if i % 2 else "b") for i in range(60)]
+    rows += [(1, prose(1, 21), "a")] * 31 + [(None, prose(77, 25), "b")] * 30 + [(100 + i, "one more", f"s{i}") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    for group_rows in (4096, 8):
+        mixed = mix_sources(df, group_rows=group_rows).collect()
+        by = defaultdict(list)
+        for r in mixed:
+            by[r["source"]].append(r)
+        for source, found in by.items():
+            assert sum(r["rows"] for r in found) == sum(x[2] == source for x in rows)
+            taken = sum(r["rows"] * r["copies"] * r["size"] for r in found)
+            assert abs(taken - found[0]["target"]) <= max(r["size"] for r in found) / 2 + 1e-6
+            assert all(0 <= r["copies"] <= 2 for r in found)
+    taken = Counter()
+    for r in mixed:
+        taken[(r["doc_id"], r["source"])] += r["rows"] * r["copies"]
+    got = Counter((r["doc_id"], r["source"]) for r in mixed_documents(df, group_rows=8).collect())
+    assert got == +taken
+
+
 # ---- 8 similarity join ----------------------------------------------------------------
 
 
