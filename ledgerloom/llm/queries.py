@@ -14,6 +14,7 @@ from ledgerloom.llm.html_content import extract_content
 from ledgerloom.llm.jaccard_join import similar_documents
 from ledgerloom.llm.language_id import identify_languages, train_languages
 from ledgerloom.llm.packing import pack_documents
+from ledgerloom.llm.piece_bpe import decode_documents, encode_documents
 from ledgerloom.llm.secret_automaton import BASE_RULES, find_secrets
 from ledgerloom.llm.sharding import interleaved_shards
 from ledgerloom.llm.source_mixing import mix_sources
@@ -149,6 +150,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, and the text that these are decoded to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    ids = encode_documents(docs, path).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        "ids",
+    )
+    return decode_documents(ids, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_vector_search": op2_vector_search,
@@ -160,6 +176,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
+    "op11_piece_codec": op11_piece_codec,
 }
 
 SQL: dict[str, str] = {
