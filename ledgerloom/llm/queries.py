@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.centroid_clustering import cluster_vectors
 from ledgerloom.llm.common import table, text_of
 from ledgerloom.llm.fingerprints import as_text, edited_text, fingerprint_documents, likeness, with_next
 from ledgerloom.llm.html_content import extract_content
@@ -165,6 +166,14 @@ def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after ten rounds with eight centroids."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return cluster_vectors(vectors).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_vector_search": op2_vector_search,
@@ -177,9 +186,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
     "op11_piece_codec": op11_piece_codec,
+    "op13_centroids": op13_centroids,
 }
 
+def _centroid_sql(rounds: int = 10) -> str:
+    """Rounds of assigning and moving, one pair of steps after the other."""
+    nearest = """a{i} AS MATERIALIZED (
+            SELECT vec_id, any_value(v) AS v,
+                   min((list_dot_product(v, v) - 2 * list_dot_product(v, m) + list_dot_product(m, m))::BIGINT * 8 + c) AS best
+            FROM kept, c{i} GROUP BY vec_id)"""
+    moved = """s{i} AS (
+            SELECT best % 8 AS c, unnest(v)::BIGINT AS x, generate_subscripts(v, 1) AS d FROM a{i}),
+        f{i} AS (SELECT c, d, sum(x)::BIGINT AS s, count(*) AS n FROM s{i} GROUP BY c, d),
+        c{j} AS MATERIALIZED (
+            SELECT c{i}.c, coalesce(any_value(g.m), any_value(c{i}.m)) AS m
+            FROM c{i} LEFT JOIN (
+                SELECT c, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY d) AS m FROM f{i} GROUP BY c) g
+            ON g.c = c{i}.c GROUP BY c{i}.c)"""
+    steps = [f.format(i=i, j=i + 1) for i in range(rounds) for f in (nearest, moved)] + [nearest.format(i=rounds)]
+    return f"""
+        WITH kept AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, v AS m
+            FROM kept ORDER BY 1 LIMIT 8),
+        {", ".join(steps)}
+        SELECT vec_id, (best % 8)::INTEGER AS cluster, best // 8 AS distance,
+               (sum(best // 8) OVER (PARTITION BY best % 8))::BIGINT AS cluster_inertia,
+               (sum(best // 8) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string(list_transform(m, lambda x: x::BIGINT), ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} ON c = best % 8"""
+
+
 SQL: dict[str, str] = {
+    "op13_centroids": _centroid_sql(),
     "op2_vector_search": """
         WITH usable AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
