@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.centroid_clustering import cluster_vectors
 from ledgerloom.llm.common import table, text_of
 from ledgerloom.llm.fingerprints import as_text, edited_text, fingerprint_documents, likeness, with_next
+from ledgerloom.llm.hard_negatives import hard_negatives
 from ledgerloom.llm.html_content import extract_content
 from ledgerloom.llm.jaccard_join import similar_documents
 from ledgerloom.llm.language_id import identify_languages, train_languages
@@ -166,6 +167,13 @@ def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five hardest negatives in the window of each positive of each anchor."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's cluster after ten rounds with eight centroids."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -186,6 +194,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
     "op11_piece_codec": op11_piece_codec,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_centroids": op13_centroids,
 }
 
@@ -222,6 +231,26 @@ def _centroid_sql(rounds: int = 10) -> str:
 
 
 SQL: dict[str, str] = {
+    "op12_hard_negatives": """
+        WITH usable AS MATERIALIZED (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        scored AS MATERIALIZED (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, list_dot_product(a.v, c.v)::BIGINT AS score
+            FROM usable a JOIN usable c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.v) = len(c.v)),
+        positive AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        placed AS (
+            SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+                   row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS place
+            FROM positive JOIN scored USING (anchor_id)
+            WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, place::INTEGER AS "rank", negative_id, positive_score, negative_score
+        FROM placed WHERE place <= 5""",
     "op13_centroids": _centroid_sql(),
     "op2_vector_search": """
         WITH usable AS (
