@@ -8,8 +8,9 @@ automaton over the vocabulary names the tokens that end at a place, a small tabl
 which pairs are compatible, and the ids follow from walking the last tokens backwards. The
 work grows with the length of the text and not with the number of merges.
 
-No token spans the place before a blank that follows another character, nor a character
-that is no token itself, so a text falls into units that are encoded alone. Short units come
+No token spans the place before a blank that follows another character, a character that is
+no token itself, or two characters that stand side by side in no piece. So a text falls into
+units that are encoded alone: blanks and the letters after them, or signs. Short units come
 again and again; their ids are kept, in a bounded number.
 """
 
@@ -18,7 +19,8 @@ from __future__ import annotations
 import itertools
 import re
 import struct
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -35,8 +37,9 @@ BLANK = "▁"
 UNKNOWN_TEXT = " ⁇ "
 NO_CHARACTER = "�"
 
-# Bounds of what one task keeps: units of up to KEPT_LENGTH characters, and pairs.
-KEPT_UNITS = 100_000
+# Bounds of what one task keeps: units of up to KEPT_LENGTH characters (in two halves), and
+# pairs.
+KEPT_UNITS = 200_000
 KEPT_LENGTH = 48
 KEPT_PAIRS = 250_000
 
@@ -126,13 +129,39 @@ class Encoder:
         for piece, i in self.ids.items():
             self.ends.add_word(piece, (len(piece), i))
         self.ends.make_automaton()
-        known = "".join(re.escape(p) for p in self.ids if len(p) == 1 and p != BLANK)
-        inner = any(BLANK in p.lstrip(BLANK) for p in self.ids)
-        # A unit: blanks and what follows up to the next blank; or one unknown character.
-        word = f"[{known}{BLANK}]+" if inner else f"{BLANK}*[{known}]+|{BLANK}+"
-        self.units = re.compile(f"{word}|.", re.DOTALL).findall
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.kept: dict[str, bytes] = {}
+        self.units = re.compile(self._unit_pattern(), re.DOTALL).findall
+        self.lengths = [len(p) for p in self.pieces]
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.pairs_kept = 0
+        self.kept = _Kept(self.unit_ids)
+
+    def _unit_pattern(self) -> str:
+        """Units as a pattern: blanks with a run of characters that pieces join to each other,
+        or with a single other one; blanks alone; one unknown character."""
+        group = {p: p for p in self.ids if len(p) == 1 and p != BLANK}
+
+        def root(c: str) -> str:
+            while group[c] != c:
+                group[c] = group[group[c]]
+                c = group[c]
+            return c
+
+        joined = set()
+        for piece in self.ids:
+            text = piece.lstrip(BLANK)
+            if BLANK in text:
+                return "(?s:.+)"  # pieces go on over blanks: a text is one unit
+            for a, b in zip(text, text[1:]):
+                if a in group and b in group:
+                    joined.add(a)
+                    group[root(a)] = root(b)
+        runs: dict[str, list[str]] = {}
+        for c in group:
+            runs.setdefault(root(c), []).append(re.escape(c))
+        several = [f"[{''.join(x)}]+" for r, x in runs.items() if len(x) > 1 or r in joined]
+        single = "".join(x[0] for r, x in runs.items() if len(x) == 1 and r not in joined)
+        word = "|".join([*sorted(several, key=len, reverse=True), *([f"[{single}]"] if single else [])])
+        return f"{BLANK}*(?:{word})|{BLANK}+|." if word else f"{BLANK}+|."
 
     def merged(self, text: str) -> list[str]:
         """The plain definition, for short texts: the best pair is merged, leftmost first,
@@ -146,58 +175,74 @@ class Encoder:
             at = joined.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, left: int, right: int) -> bool:
-        """Whether the two may be neighbours; -1 on the left is the start of a unit."""
-        found = self.pairs.get((left, right))
+    def neighbours(self, token: int) -> dict[int, bool]:
+        """What is known of the tokens after one; -1 is the start of a unit."""
+        found = self.pairs.get(token)
         if found is None:
-            pair = [self.pieces[i] for i in (left, right) if i >= 0]
-            found = self.merged("".join(pair)) == pair
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            self.pairs[left, right] = found
+            found = self.pairs[token] = {}
         return found
 
-    def unit_ids(self, unit: str) -> list[int]:
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether the two may be neighbours, worked out and remembered."""
+        pair = [self.pieces[i] for i in (left, right) if i >= 0]
+        if self.pairs_kept >= KEPT_PAIRS:
+            self.pairs.clear()
+            self.pairs_kept = 0
+        self.pairs_kept += 1
+        fits = self.neighbours(left)[right] = self.merged("".join(pair)) == pair
+        return fits
+
+    def unit_ids(self, unit: str) -> bytes:
         """Ids of one unit, from its table of last tokens."""
-        if len(unit) == 1 and unit not in self.ids:
-            return [self.bytes_[b] for b in unit.encode()]
-        last = [-1] * (len(unit) + 1)
-        pairs, compatible = self.pairs, self.compatible
+        size = len(unit)
+        if size == 1 and unit not in self.ids:
+            return array("i", [self.bytes_[b] for b in unit.encode()]).tobytes()
+        # Of the prefix that ends at each character: its last token, and what may follow that.
+        # The place before the first character is the one at the end of the lists.
+        last, after = [-1] * (size + 1), [None] * (size + 1)
+        after[-1] = self.neighbours(-1)
         for end, (length, i) in self.ends.iter(unit):
-            end += 1
-            if last[end] < 0:
-                before = last[end - length]
-                if before < 0 and end > length:
-                    continue
-                fits = pairs.get((before, i))
-                if compatible(before, i) if fits is None else fits:
-                    last[end] = i
-        ids, at = [], len(unit)
-        while at:
+            if after[end] is None and (known := after[end - length]) is not None:
+                fits = known.get(i)
+                if fits is None:
+                    fits = self.compatible(last[end - length], i)
+                if fits:
+                    last[end], after[end] = i, self.neighbours(i)
+        ids, at = [], size - 1
+        while at >= 0:
             i = last[at]
             if i < 0:
                 raise ValueError(f"no last token at {at} of {unit[:80]!r}")
             ids.append(i)
-            at -= len(self.pieces[i])
+            at -= self.lengths[i]
         ids.reverse()
-        return ids
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, 32 bits each."""
         if not text:
             return b""
         text = text.replace(" ", BLANK)
-        kept, out = self.kept, []
-        for unit in self.units(BLANK + text if self.model.blank_first else text):
-            ids = kept.get(unit)
-            if ids is None:
-                ids = np.array(self.unit_ids(unit), dtype=np.int32).tobytes()
-                if len(unit) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT_UNITS:
-                        kept.clear()
-                    kept[unit] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.kept.__getitem__, self.units(BLANK + text if self.model.blank_first else text)))
+
+
+class _Kept(dict):
+    """Values made from their keys and kept. When half of the room is used up, what was asked
+    for since the last time stays and the rest goes."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= KEPT_LENGTH:
+            if len(self) >= KEPT_UNITS // 2:
+                self.older = dict(self)
+                self.clear()
+            self[key] = found
+        return found
 
 
 # ---- ids to text ----------------------------------------------------------------------
@@ -316,7 +361,8 @@ def decode_documents(docs: DataFrame, model_path: str, ids_column: str = "ids",
         decoder = Decoder(model)
         for batch in batches:
             # Row by row: ids of a whole batch as Python numbers would take its size ten times.
-            texts = [decoder.decode(x.as_py()) if x.is_valid else None for x in batch.column(ids_column)]
+            lists = (x.values.to_numpy().tolist() if x.is_valid else None for x in batch.column(ids_column))
+            texts = [None if ids is None else decoder.decode(ids) for ids in lists]
             yield _with(batch, out, pa.array(texts, type=pa.string()))
 
     return docs.mapInArrow(decode, schema)
