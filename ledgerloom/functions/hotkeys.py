@@ -2,36 +2,75 @@
 
 A shuffle join sends all rows of a key to one task. Spark splits such a task at run time
 only where both join inputs come straight from an exchange, which they often do not. Here
-the few busy keys are joined by broadcast instead, and only all other rows are shuffled.
+the rows of a busy key are dealt to several slices, and the other side's rows of that key are
+repeated for each slice. Which keys are busy is part of the plan: no job runs while it is
+built, and a table without busy keys pays for one count per key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that a task handles without trouble.
-HOT_ROWS = 5_000_000
+# A key is busy if it holds more than this part of all rows: 1 / SHARES. So at most SHARES
+# keys are busy, whatever the size of the data, and their list can be broadcast.
+SHARES = 8192
+
+
+def rows_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+
+
+def busy_keys(counts: DataFrame, shares: int = SHARES) -> DataFrame:
+    """Keys with more than 1 / ``shares`` of all rows, and ``_rows``, ``_total``.
+
+    ``counts`` has one row per key, with its number of rows as ``_rows``.
+    """
+    total = counts.agg(F.sum("_rows").cast("decimal(38,0)").alias("_total")).scalar()
+    return counts.withColumn("_total", total).where(
+        F.col("_rows").cast("decimal(28,0)") * shares > F.col("_total")
+    )
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
+    """Equal keys, with NULL equal to NULL; on the right their names have a prefix."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{prefix}{c}"]) for c in keys])
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most rows / hot_rows of them."""
-    return df.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
+def prefixed(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({c: f"{prefix}{c}" for c in keys})
 
 
 def join_busy(
-    big: DataFrame, unique: DataFrame, keys: list[str], hot: DataFrame, how: str = "inner"
+    big: DataFrame,
+    unique: DataFrame,
+    keys: list[str],
+    spread: list[str],
+    how: str = "inner",
+    counts: DataFrame | None = None,
+    shares: int = SHARES,
 ) -> DataFrame:
-    """``big.join(unique, keys, how)``, with the rows of the ``hot`` keys kept in place.
+    """``big.join(unique, keys, how)``, with busy keys dealt to as many slices as they have shares.
 
-    ``unique`` has one row per key, or a few, so what is broadcast has about as many rows
-    as there are hot keys. A job over ``hot`` decides whether a split is needed at all.
+    ``unique`` has one row per key, or a few; at most two rows per share are added to it for
+    each of these. ``spread`` names columns of ``big`` whose hash deals the rows: they should
+    tell rows apart. Rows without a key find no partner and are dealt to all tasks. ``counts``
+    gives rows per key as ``rows_per_key`` does, where a cheaper way than counting is known.
     """
-    if hot.isEmpty():
-        return big.join(unique, keys, how)
-    hot = F.broadcast(hot)
-    busy = big.join(hot, keys, "left_semi").join(
-        F.broadcast(unique.join(hot, keys, "left_semi")), keys, how
+    busy = busy_keys(rows_per_key(big, keys) if counts is None else counts, shares)
+    share = F.ceil(F.col("_rows") * shares / F.col("_total"))
+    slices = F.broadcast(busy.select(*keys, F.least("_rows", share).cast("bigint").alias("_slices")))
+    dealt = F.xxhash64(*spread)
+    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
+    salt = (
+        F.when(no_key, F.pmod(dealt, F.lit(shares)))
+        .when(F.col("_slices").isNotNull(), F.pmod(dealt, F.col("_slices")))
+        .otherwise(F.lit(0).cast("bigint"))
     )
-    rest = big.join(hot, keys, "left_anti").join(unique, keys, how)
-    return rest.unionByName(busy)
+    last = F.coalesce("_slices", F.lit(1).cast("bigint")) - 1
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+    left = big.join(slices, keys, "left").withColumn("_slice", salt).drop("_slices")
+    right = unique.join(slices, keys, "left").withColumn("_slice", every).drop("_slices")
+    return left.join(right, [*keys, "_slice"], how).drop("_slice")

@@ -1,21 +1,22 @@
 """Row numbers inside groups that may be very large.
 
-A plain ``row_number`` sends a whole group to one task. Here groups above ``hot_rows``
-rows are numbered from pre-aggregated counts instead, so that no task ever receives the
-rows of such a group. Both ways give the same numbers. A job over the key columns alone
-decides first whether there is such a group, so that the usual case stays one window.
+A plain ``row_number`` sends a whole group to one task. Here a group that holds a large share
+of all rows is cut into ranges of its order. The borders are quantiles: rows of the group,
+picked by a hash of their values. A row's number is its number inside its range, plus the
+rows in earlier ranges, which are prefix sums over one count per range. All of it is one
+plan: nothing runs while it is built, and the same rows get the same numbers on every run.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.hotkeys import HOT_ROWS, hot_keys
+from ledgerloom.functions.hotkeys import SHARES, busy_keys, prefixed, rows_per_key, same_keys
 
 COPIES_PER_ROW = 100_000
+# Borders are searched in two steps: among every STRIDE-th one, then between two of these.
+STRIDE = 64
 
 
 def number_rows(
@@ -23,7 +24,7 @@ def number_rows(
     keys: list[str],
     levels: list[list[str]],
     name: str,
-    hot_rows: int = HOT_ROWS,
+    shares: int = SHARES,
     first: str | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, ... inside each ``keys`` group, as bigint.
@@ -31,79 +32,107 @@ def number_rows(
     Rows are ordered by the columns of ``levels``, then by all remaining columns, nulls
     first, so the result is the same on every run. ``first`` names a boolean column that
     is true on one row per group and value of the first level.
+
+    Groups with at most 1 / ``shares`` of all rows are one range each; so a window never
+    sees much more than that share, whatever a group holds.
     """
     listed = {*keys, *(c for level in levels for c in level)}
     rest = [c for c in df.columns if c not in listed]
-    levels = [*levels, rest] if rest else levels
-    order = [c for level in levels for c in level]
-
-    def numbered_whole(rows: DataFrame) -> DataFrame:
-        group = Window.partitionBy(*keys)
-        number = F.row_number().over(group.orderBy(*order)).cast("bigint")
-        start = F.rank().over(group.orderBy(*levels[0]))
-        added = {name: number} if first is None else {name: number, first: number == start}
-        return rows.withColumns(added)
-
-    hot = hot_keys(df, keys, hot_rows)
-    if hot.isEmpty():
-        return numbered_whole(df)
-    # At most rows / hot_rows keys are hot, so their list is small at any scale.
-    hot = F.broadcast(hot)
-    cold = numbered_whole(df.join(hot, keys, "left_anti"))
-    hot = _number_from_counts(df.join(hot, keys, "left_semi"), keys, levels, name, first)
-    return cold.unionByName(hot.select(*cold.columns))
-
-
-def _number_from_counts(
-    df: DataFrame, keys: list[str], levels: list[list[str]], name: str, first: str | None
+    order = [c for level in [*levels, rest] for c in level]
+    busy = prefixed(busy_keys(rows_per_key(df, keys), shares), keys, "_k_")
+    busy = F.broadcast(busy.select(*[f"_k_{c}" for c in keys], "_total"))
+    same = same_keys(df, busy, keys, "_k_")
+
+    group = Window.partitionBy(*keys).orderBy(*order)
+    added = {name: F.row_number().over(group).cast("bigint")}
+    if first is not None:
+        before = F.lag(F.struct(*levels[0])).over(group)
+        added[first] = before.isNull() | ~before.eqNullSafe(F.struct(*levels[0]))
+    whole = df.join(busy, same, "left_anti").withColumns(added)
+    large = df.join(busy, same).drop(*[f"_k_{c}" for c in keys])
+    ranged = _number_in_ranges(large, keys, order, levels[0], name, first, shares)
+    return whole.unionByName(ranged.select(*whole.columns))
+
+
+def _number_in_ranges(
+    large: DataFrame, keys: list[str], order: list[str], top: list[str], name: str, first: str | None, shares: int
 ) -> DataFrame:
-    """Number rows by adding up, level by level, how many rows sort before them.
+    """Number the rows of large groups; ``large`` has ``_total``, the size of the table.
 
-    Each window sees only the distinct values of one level under one prefix, with their
-    counts. Equal rows are one row with a count until the very end.
+    Equal rows have one place in the order: they are one row with a count until the end.
     """
-    distinct = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    prefix = list(keys)
-    placed = None
-    for level in levels:
-        parent, prefix = prefix, prefix + level
-        counts = distinct
-        if len(prefix) < len(df.columns):
-            counts = distinct.groupBy(*prefix).agg(F.sum("_n").alias("_n"))
-        earlier = (
-            Window.partitionBy(*parent)
-            .orderBy(*level)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        if placed is None:
-            placed = counts.withColumn("_start", F.col("_before") + 1)
-        else:
-            placed = _add_offset(counts, placed, parent)
+    columns = [c for c in large.columns if c != "_total"]
+    borders = range_borders(large, keys, order, shares)
+
+    # Rows in earlier ranges, and the last value of the first level among them.
+    counts = with_range(large.select(*keys, *order), borders, keys, order).groupBy(*keys, "_range")
+    found = [F.count("*").alias("_rows")]
+    if first is not None:
+        found.append(F.max(F.struct(*top)).alias("_top"))
+    earlier = Window.partitionBy(*keys).orderBy("_range")
+    sums = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.agg(*found).withColumn("_offset", F.coalesce(F.sum("_rows").over(sums), F.lit(0)))
+    kept = ["_range", "_offset"]
+    if first is not None:
+        offsets = offsets.withColumn("_last", F.lag("_top").over(earlier))
+        kept.append("_last")
+    offsets = F.broadcast(prefixed(offsets.select(*keys, *kept), [*keys, "_range"], "_o_"))
+
+    distinct = large.groupBy(*columns).agg(F.count("*").alias("_n"))
+    local = Window.partitionBy(*keys, "_range").orderBy(*order)
+    inside = F.sum("_n").over(local.rowsBetween(Window.unboundedPreceding, -1))
+    placed = with_range(distinct, borders, keys, order).withColumn("_inside", F.coalesce(inside, F.lit(0)))
+    if first is not None:
+        placed = placed.withColumn("_previous", F.lag(F.struct(*top)).over(local))
+    placed = placed.join(offsets, same_keys(placed, offsets, [*keys, "_range"], "_o_"))
+    placed = placed.withColumn("_before", F.col("_inside") + F.col("_offset"))
 
     # Copies of one row are written out in slices that are spread over tasks first.
-    slices = placed.withColumn(
-        "_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(COPIES_PER_ROW)))
-    ).repartition(*keys, "_before", "_from")
+    start = F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(COPIES_PER_ROW).cast("bigint"))
+    slices = placed.withColumn("_from", F.explode(start)).repartition(*keys, "_before", "_from")
     last = F.least(F.col("_from") + COPIES_PER_ROW, F.col("_n"))
-    number = (F.col("_before") + F.col("_copy")).cast("bigint")
-    added = [number.alias(name)]
-    if first is not None:
-        added.append((number == F.col("_start")).alias(first))
     copies = slices.withColumn("_copy", F.explode(F.sequence(F.col("_from") + 1, last)))
-    return copies.select(*df.columns, *added)
+    added = [(F.col("_before") + F.col("_copy")).cast("bigint").alias(name)]
+    if first is not None:
+        previous = F.coalesce("_previous", "_last")
+        opens = previous.isNull() | ~previous.eqNullSafe(F.struct(*top))
+        added.append(((F.col("_copy") == 1) & opens).alias(first))
+    return copies.select(*columns, *added)
 
 
-def _add_offset(counts: DataFrame, parents: DataFrame, on: list[str]) -> DataFrame:
-    base = parents.select(
-        *[F.col(c).alias(f"_p_{c}") for c in on], F.col("_before").alias("_base"), "_start"
-    )
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in on])
-    return counts.join(base, same).select(
-        *[c for c in counts.columns if c != "_before"],
-        (F.col("_before") + F.col("_base")).alias("_before"),
-        "_start",
+def range_borders(large: DataFrame, keys: list[str], order: list[str], shares: int) -> DataFrame:
+    """The quantiles that cut each group: about ``shares`` rows of all, those with a small hash.
+
+    ``large`` has ``_total``, the size of the whole table, so this list does not grow with it.
+    """
+    drawn = F.xxhash64(*order) / F.lit(2.0**64) + 0.5
+    picked = large.where(drawn * F.col("_total").cast("double") < shares)
+    borders = (
+        picked.select(*keys, F.struct(*order).alias("_place"))
+        .distinct()
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list("_place")).alias("_borders"))
     )
+    every = F.filter("_borders", lambda _, i: i % STRIDE == 0)
+    return prefixed(borders.withColumn("_coarse", every), keys, "_b_")
+
+
+def with_range(rows: DataFrame, borders: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``rows`` with ``_range``, the number of their range inside their group."""
+    met = rows.join(F.broadcast(borders), same_keys(rows, borders, keys, "_b_"), "left")
+    ranged = met.withColumn("_range", _borders_up_to(F.struct(*order)))
+    return ranged.drop("_borders", "_coarse", *[f"_b_{c}" for c in keys])
+
+
+def _borders_up_to(place: Column) -> Column:
+    """How many of ``_borders`` are not above a place: the number of its range."""
+    def not_above(borders: Column) -> Column:
+        return F.size(F.filter(borders, lambda b: b <= place))
+
+    coarse = not_above(F.col("_coarse"))
+    start = (coarse - 1) * STRIDE
+    fine = not_above(F.slice(F.col("_borders"), start + 1, F.lit(STRIDE)))
+    return F.when(F.col("_borders").isNull() | (coarse == 0), F.lit(0)).otherwise(start + fine)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
-from ledgerloom.functions.hotkeys import HOT_ROWS, hot_keys, join_busy
+from ledgerloom.functions.hotkeys import SHARES, join_busy
 from ledgerloom.functions.numbering import first_per_key
 
 # ---- fixed values ---------------------------------------------------------------------
@@ -79,14 +79,14 @@ def dim_product(
     products: DataFrame,
     default_vendor: str = DEFAULT_VENDOR,
     default_price: Decimal = DEFAULT_PRICE,
-    hot_rows: int = HOT_ROWS,
+    shares: int = SHARES,
 ) -> DataFrame:
     """The SKU map, with vendor and price of the shop product where there is one."""
     shop = products.select(
         F.col("handle").alias("product_handle"), "vendor", "variant_price"
     )
-    hot = hot_keys(sku_map, ["product_handle"], hot_rows)
-    return join_busy(sku_map, shop, ["product_handle"], hot, "left").select(
+    joined = join_busy(sku_map, shop, ["product_handle"], ["internal_sku"], "left", shares=shares)
+    return joined.select(
         C.surrogate(F.col("internal_sku")).alias("product_key"),
         "internal_sku",
         "product_handle",

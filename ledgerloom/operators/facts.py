@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
-from ledgerloom.functions.hotkeys import HOT_ROWS, hot_keys, join_busy
+from ledgerloom.functions.hotkeys import SHARES, join_busy, rows_per_key
 from ledgerloom.functions.numbering import first_per_key
 from ledgerloom.operators import dimensions as D
 from ledgerloom.operators.staging import order_line_key
@@ -91,7 +91,7 @@ def fact_order(
 # ---- cost of goods --------------------------------------------------------------------
 
 def recipe_costs(
-    recipes: DataFrame, materials: DataFrame, hot_rows: int = HOT_ROWS
+    recipes: DataFrame, materials: DataFrame, shares: int = SHARES
 ) -> DataFrame:
     """Cost of each ingredient of one unit, for the recipe variant that is sold.
 
@@ -115,8 +115,9 @@ def recipe_costs(
             sold,
             material.withColumn("_found", F.lit(True)),
             ["material_id"],
-            hot_keys(sold, ["material_id"], hot_rows),
+            recipes.columns,
             "left",
+            shares=shares,
         )
         .select(
             "recipe_id",
@@ -154,12 +155,14 @@ def sku_by_line_name(sku_map: DataFrame) -> DataFrame:
 
 
 def product_costs(
-    sku_map: DataFrame, costs: DataFrame, hot_rows: int = HOT_ROWS
+    sku_map: DataFrame, costs: DataFrame, shares: int = SHARES
 ) -> DataFrame:
     """Per line name: the product it stands for and the cost of one unit."""
     recipe = ["recipe_id", "size_ml"]
-    hot = hot_keys(sku_map, recipe, hot_rows)
-    return join_busy(sku_by_line_name(sku_map), unit_costs(costs), recipe, hot, "left").select(
+    skus = sku_by_line_name(sku_map)
+    counts = rows_per_key(sku_map, recipe)
+    joined = join_busy(skus, unit_costs(costs), recipe, ["lineitem_name"], "left", counts, shares)
+    return joined.select(
         "lineitem_name",
         C.surrogate(F.col("internal_sku")).alias("product_key"),
         "unit_cogs",
@@ -178,9 +181,8 @@ def allocated_cents(line: Column, order_gross: Column, discount: Column) -> Colu
     return F.when(order_gross > 0, share).otherwise(F.lit(0).cast("bigint"))
 
 
-def _line_cents(lines: DataFrame, fact_orders: DataFrame, hot_rows: int) -> DataFrame:
+def _line_cents(lines: DataFrame, fact_orders: DataFrame, shares: int) -> DataFrame:
     """Order lines with their amounts and their share of the order discount, in cents."""
-    busy = fact_orders.where(F.col("line_item_count") > hot_rows).select("order_id")
     orders = fact_orders.select(
         "order_id",
         "order_key",
@@ -188,7 +190,8 @@ def _line_cents(lines: DataFrame, fact_orders: DataFrame, hot_rows: int) -> Data
         C.scaled(F.col("gross_product_sales"), 2).alias("order_cents"),
         C.scaled(F.col("order_discount_amount"), 2).alias("discount_cents"),
     )
-    amounts = join_busy(lines, orders, ["order_id"], busy).select(
+    joined = join_busy(lines, orders, ["order_id"], ["line_number"], shares=shares)
+    amounts = joined.select(
         "order_key",
         "order_id",
         "line_number",
@@ -221,14 +224,14 @@ def _line_amounts() -> list[Column]:
 
 
 def allocate_discounts(
-    lines: DataFrame, fact_orders: DataFrame, hot_rows: int = HOT_ROWS
+    lines: DataFrame, fact_orders: DataFrame, shares: int = SHARES
 ) -> DataFrame:
     """Order lines with their share of the order discount, in proportion to gross revenue."""
-    return _line_cents(lines, fact_orders, hot_rows).select("lineitem_name", *_line_amounts())
+    return _line_cents(lines, fact_orders, shares).select("lineitem_name", *_line_amounts())
 
 
 def fact_order_line(
-    lines: DataFrame, fact_orders: DataFrame, products: DataFrame, hot_rows: int = HOT_ROWS
+    lines: DataFrame, fact_orders: DataFrame, products: DataFrame, shares: int = SHARES
 ) -> DataFrame:
     """One row per order line with revenue, estimated cost and margin per unit.
 
@@ -237,11 +240,13 @@ def fact_order_line(
     flagged, and has a margin of 100 percent.
     """
     priced = join_busy(
-        _line_cents(lines, fact_orders, hot_rows),
+        _line_cents(lines, fact_orders, shares),
         products,
         ["lineitem_name"],
-        hot_keys(lines, ["lineitem_name"], hot_rows),
+        ["order_id", "line_number"],
         "left",
+        rows_per_key(lines, ["lineitem_name"]),
+        shares,
     )
     # Margins are worked out in whole units of 1/10000. Each step is a projection of its
     # own, so that no step is computed twice.
@@ -283,22 +288,22 @@ def fact_order_line(
 
 
 def product_ingredients(
-    products: DataFrame, costs: DataFrame, hot_rows: int = HOT_ROWS
+    products: DataFrame, costs: DataFrame, shares: int = SHARES
 ) -> DataFrame:
     """Costed ingredients of one unit of each product, next to the product's columns."""
     recipe = ["recipe_id", "size_ml"]
-    return join_busy(products, costs, recipe, hot_keys(products, recipe, hot_rows))
+    return join_busy(products, costs, recipe, ["product_key"], shares=shares)
 
 
 def fact_cogs_estimate(
-    fact_lines: DataFrame, dim_products: DataFrame, costs: DataFrame, hot_rows: int = HOT_ROWS
+    fact_lines: DataFrame, dim_products: DataFrame, costs: DataFrame, shares: int = SHARES
 ) -> DataFrame:
     """One row per order line and recipe ingredient; ``costs`` of numbered recipes."""
     lines = fact_lines.where("product_key IS NOT NULL").select("order_line_key", "product_key")
     products = dim_products.select("product_key", "recipe_id", "size_ml")
-    ingredients = product_ingredients(products, costs, hot_rows)
-    hot = hot_keys(lines, ["product_key"], hot_rows)
-    return join_busy(lines, ingredients, ["product_key"], hot).select(
+    ingredients = product_ingredients(products, costs, shares)
+    joined = join_busy(lines, ingredients, ["product_key"], ["order_line_key"], shares=shares)
+    return joined.select(
         F.concat_ws("-", "order_line_key", "recipe_line").alias("cogs_key"),
         "order_line_key",
         "product_key",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
-from ledgerloom.functions.hotkeys import HOT_ROWS, join_busy
+from ledgerloom.functions.hotkeys import SHARES, join_busy
 from ledgerloom.operators.facts import product_ingredients
 
 # ---- fixed values ---------------------------------------------------------------------
@@ -159,7 +159,7 @@ def kpi_product_profitability(dim_products: DataFrame, fact_lines: DataFrame) ->
 
 
 def kpi_cogs_detail(
-    dim_products: DataFrame, fact_lines: DataFrame, costs: DataFrame, hot_rows: int = HOT_ROWS
+    dim_products: DataFrame, fact_lines: DataFrame, costs: DataFrame, shares: int = SHARES
 ) -> DataFrame:
     """Use and cost of each material per product.
 
@@ -176,7 +176,7 @@ def kpi_cogs_detail(
     products = dim_products.select(
         "product_key", "internal_sku", "product_title", "recipe_id", "size_ml"
     )
-    used = product_ingredients(products, known, hot_rows).join(lines, "product_key")
+    used = product_ingredients(products, known, shares).join(lines, "product_key")
 
     def total(column: str) -> Column:
         return F.sum(F.col(column) * F.col("lines"))
@@ -222,22 +222,22 @@ def kpi_customer_segments(dim_customers: DataFrame) -> DataFrame:
 
 
 def orders_of_customers(
-    fact_orders: DataFrame, dim_customers: DataFrame, hot_rows: int = HOT_ROWS
+    fact_orders: DataFrame, dim_customers: DataFrame, shares: int = SHARES
 ) -> DataFrame:
     """Orders of known customers with the date of the customer's first order."""
     orders = fact_orders.where("customer_key IS NOT NULL").select(
-        "customer_key", "order_date_key", "net_sales"
+        "customer_key", "order_id", "order_date_key", "net_sales"
     )
     first = dim_customers.select("customer_key", "first_order_date")
-    busy = dim_customers.where(F.col("total_orders") > hot_rows).select("customer_key")
-    return join_busy(orders, first, ["customer_key"], busy)
+    counts = dim_customers.select("customer_key", F.col("total_orders").alias("_rows"))
+    return join_busy(orders, first, ["customer_key"], ["order_id"], counts=counts, shares=shares)
 
 
 def kpi_new_vs_returning(
     fact_orders: DataFrame,
     dim_customers: DataFrame,
     dim_date: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    shares: int = SHARES,
 ) -> DataFrame:
     """Orders on the customer's first order date against all later ones.
 
@@ -245,7 +245,7 @@ def kpi_new_vs_returning(
     """
     is_new = F.col("first_order_date") == F.col("full_date")
     days = dim_date.select(F.col("date_key").alias("order_date_key"), "full_date")
-    orders = orders_of_customers(fact_orders, dim_customers, hot_rows).join(
+    orders = orders_of_customers(fact_orders, dim_customers, shares).join(
         days, "order_date_key"
     )
     return (

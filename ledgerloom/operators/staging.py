@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
-from ledgerloom.functions.numbering import HOT_ROWS, first_per_key, number_rows
+from ledgerloom.functions.hotkeys import SHARES
+from ledgerloom.functions.numbering import first_per_key, number_rows
 
 PASS_THROUGH = [
     "email", "financial_status", "fulfillment_status", "currency", "shipping_method",
@@ -66,7 +67,7 @@ def stg_orders(raw: DataFrame, cast: C.Caster = C.typed) -> DataFrame:
 
 
 def stg_order_lines(
-    raw: DataFrame, cast: C.Caster = C.typed, hot_rows: int = HOT_ROWS
+    raw: DataFrame, cast: C.Caster = C.typed, shares: int = SHARES
 ) -> DataFrame:
     """One row per order line, numbered inside its order by line name."""
     rows = raw.where(C.filled(F.col("id")) & C.filled(F.col("lineitem_name"))).select(
@@ -82,10 +83,10 @@ def stg_order_lines(
         "vendor",
         cast(F.col("created_at"), "timestamp").alias("created_at"),
     )
-    return number_lines(rows, hot_rows)
+    return number_lines(rows, shares)
 
 
-def number_lines(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def number_lines(rows: DataFrame, shares: int = SHARES) -> DataFrame:
     """Add ``line_number`` and the line's key to order lines without them.
 
     ``first_of_name`` is true on one line per order and line name; with it, counting the
@@ -96,7 +97,7 @@ def number_lines(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         ["order_id"],
         [["lineitem_name"], ["lineitem_price", "lineitem_quantity", "lineitem_discount"]],
         "line_number",
-        hot_rows,
+        shares,
         first="first_of_name",
     )
     return numbered.withColumn("order_line_id", order_line_key())
@@ -204,7 +205,7 @@ def recipe_ingredients(raw: DataFrame, cast: C.Caster = C.typed) -> DataFrame:
 
 
 def stg_recipes(
-    raw: DataFrame, cast: C.Caster = C.typed, hot_rows: int = HOT_ROWS
+    raw: DataFrame, cast: C.Caster = C.typed, shares: int = SHARES
 ) -> DataFrame:
     """One row per recipe ingredient, numbered inside the recipe."""
     return number_rows(
@@ -212,12 +213,12 @@ def stg_recipes(
         ["recipe_id"],
         [["batch_size_ml", "variant"], ["ingredient_match", "material_id"]],
         "recipe_line",
-        hot_rows,
+        shares,
     )
 
 
 def stg_meta_ads(
-    raw: DataFrame, cast: C.Caster = C.typed, hot_rows: int = HOT_ROWS
+    raw: DataFrame, cast: C.Caster = C.typed, shares: int = SHARES
 ) -> DataFrame:
     """Advertising campaigns; spend comes from whichever spend column is there."""
     def number(name: str, type_name: str) -> Column:
@@ -240,11 +241,11 @@ def stg_meta_ads(
         number("ctr", C.RATE),
         number("landing_page_views", "bigint"),
     )
-    return _with_occurrence_key(rows, "campaign_name", "campaign_id", hot_rows)
+    return _with_occurrence_key(rows, "campaign_name", "campaign_id", shares)
 
 
 def stg_gsc_daily(
-    raw: DataFrame, cast: C.Caster = C.typed, hot_rows: int = HOT_ROWS
+    raw: DataFrame, cast: C.Caster = C.typed, shares: int = SHARES
 ) -> DataFrame:
     """Daily search figures; the click-through rate is stored as a fraction."""
     percent = cast(F.replace(F.col("ctr"), F.lit("%"), F.lit("")), "decimal(12,6)")
@@ -258,13 +259,13 @@ def stg_gsc_daily(
         (percent / 100).cast(C.RATE).alias("ctr"),
         cast(F.col("position"), C.MONEY).alias("position"),
     )
-    return _with_occurrence_key(rows, "date", "gsc_daily_id", hot_rows)
+    return _with_occurrence_key(rows, "date", "gsc_daily_id", shares)
 
 
-def _with_occurrence_key(df: DataFrame, column: str, key: str, hot_rows: int) -> DataFrame:
+def _with_occurrence_key(df: DataFrame, column: str, key: str, shares: int) -> DataFrame:
     """Key for tables whose natural key may repeat: the value and its occurrence."""
     rest = [c for c in df.columns if c != column]
-    numbered = number_rows(df, [column], [rest], "_occurrence", hot_rows)
+    numbered = number_rows(df, [column], [rest], "_occurrence", shares)
     return numbered.withColumn(
         key, C.surrogate(F.concat_ws("#", F.col(column).cast("string"), "_occurrence"))
     ).drop("_occurrence")

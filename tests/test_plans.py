@@ -7,9 +7,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.hotkeys import join_busy
+from ledgerloom.functions.hotkeys import busy_keys, join_busy, rows_per_key
 from ledgerloom.operators import dimensions as D
 from ledgerloom.operators import facts, marts, staging
+from ledgerloom.plans import queries
 from ledgerloom.sources.star_tables import Shop
 
 FOLDER = "/root/testdata/sf0.001"
@@ -58,33 +59,69 @@ def product_rows(spark):
     )
 
 
-def shuffle_keys(plan: str) -> int:
-    return len(re.findall(r"BroadcastHashJoin|SortMergeJoin", plan))
+def same(whole, split) -> None:
+    assert whole.count() == split.count() > 0
+    assert whole.exceptAll(split).count() == split.exceptAll(whole).count() == 0
 
 
-def test_hot_order_and_hot_product_give_the_same_lines(spark):
+@pytest.mark.parametrize("shares", [6, 50, 10**5])
+def test_hot_order_and_hot_product_give_the_same_lines(spark, shares):
     lines, products = skewed_lines(spark), product_rows(spark)
     orders = orders_of(lines)
-    whole = facts.fact_order_line(lines, orders, products)
-    split = facts.fact_order_line(lines, orders, products, hot_rows=1000)
-    assert shuffle_keys(initial_plan(split)) > shuffle_keys(initial_plan(whole))
+    whole = facts.fact_order_line(lines, orders, products, shares=1)
     assert whole.count() == LINES
-    assert whole.exceptAll(split).count() == split.exceptAll(whole).count() == 0
+    same(whole, facts.fact_order_line(lines, orders, products, shares=shares))
 
 
-def test_hot_lines_do_not_move(spark):
-    """Lines of a hot key meet their order and product by broadcast, without an exchange."""
+def test_busy_keys_are_bounded_by_shares(spark):
     lines = skewed_lines(spark)
-    hot = spark.createDataFrame([(0,)], "order_id long")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for shares in (2, 6, 100, 10**6):
+        busy = busy_keys(rows_per_key(lines, ["order_id"]), shares).collect()
+        assert len(busy) < shares and all(r["_rows"] * shares > LINES for r in busy)
+    assert [r["order_id"] for r in busy_keys(rows_per_key(lines, ["order_id"]), 6).collect()] == [0]
+    assert busy_keys(rows_per_key(lines.limit(0), ["order_id"])).collect() == []
+
+
+def test_rows_of_a_hot_key_are_dealt_to_many_tasks(spark):
+    """No task of the join receives more than a few shares of the lines; rows without a key
+    are dealt as well."""
+    lines = skewed_lines(spark).withColumn("order_id", F.when(F.col("order_id") != 7, F.col("order_id")))
+    lines = lines.withColumn("order_id", F.when(F.col("line_number") % 2 == 0, F.col("order_id")))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        joined = join_busy(lines, orders_of(lines), ["order_id"], hot)
-        busy = initial_plan(joined).split("LeftSemi")[0].rsplit("BroadcastHashJoin", 2)
+        orders = orders_of(lines.where("order_id IS NOT NULL"))
+        joined = join_busy(lines, orders, ["order_id"], ["line_number", "lineitem_name"], "left", shares=64)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < LINES / 16 * 3
+        assert "SortMergeJoin" in initial_plan(joined)
+        same(lines.join(orders, "order_id", "left").select(*joined.columns), joined)
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "SortMergeJoin" in busy[0]      # all other rows
-    assert "Exchange hash" not in busy[1]  # rows of the hot order
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def jobs_started_by(spark, work) -> int:
+    spark.sparkContext.setJobGroup("plans", "building plans")
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("plans"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", list(queries.BUILDERS))
+def test_no_job_runs_while_a_plan_is_built(spark, name):
+    shop = Shop(spark, FOLDER)
+    for table in ("region nation customer supplier part orders lineitem events").split():
+        shop.table(table)  # reading footers is a job of its own
+    assert jobs_started_by(spark, lambda: queries.BUILDERS[name](shop)) == 0
 
 
 def test_hot_customer_gives_the_same_counts(spark):
@@ -102,8 +139,8 @@ def test_hot_customer_gives_the_same_counts(spark):
         (F.lit(20250101) + n).cast("int").alias("date_key"),
         F.date_add(F.lit("2025-01-01").cast("date"), n.cast("int")).alias("full_date"),
     )
-    whole = marts.kpi_new_vs_returning(orders, customers, days).orderBy("customer_type").collect()
-    split = marts.kpi_new_vs_returning(orders, customers, days, hot_rows=500)
+    whole = marts.kpi_new_vs_returning(orders, customers, days, shares=1).orderBy("customer_type").collect()
+    split = marts.kpi_new_vs_returning(orders, customers, days, shares=12)
     assert split.orderBy("customer_type").collect() == whole
     assert sum(r["orders"] for r in whole) == LINES * 3 // 5
 
@@ -118,8 +155,8 @@ def test_hot_product_gives_the_same_cost_rows(spark):
         *[F.lit(1).cast("decimal(10,4)").alias(c) for c in ("amount_ml", "cost_per_ml", "line_cost")],
         F.lit(True).alias("has_known_cost"),
     )
-    whole = facts.fact_cogs_estimate(fact, dim, costs)
-    split = facts.fact_cogs_estimate(fact, dim, costs, hot_rows=1000)
+    whole = facts.fact_cogs_estimate(fact, dim, costs, shares=1)
+    split = facts.fact_cogs_estimate(fact, dim, costs, shares=6)
     assert whole.count() == split.count() > LINES
     assert whole.exceptAll(split).count() == 0
 
@@ -159,13 +196,10 @@ def test_profitability_combines_before_it_shuffles(spark):
     assert "keys=[product_key" in plan and not re.search(r"keys=\[product_key#\d+, order_", plan)
 
 
-@pytest.mark.parametrize("build", [
-    lambda s: marts.kpi_revenue_totals(s.fact_order),
-    lambda s: marts.kpi_cogs_detail(s.dim_product, s.fact_order_line, s.recipe_costs),
-])
-def test_unused_line_numbers_cost_nothing(spark, build):
-    """Marts that do not show line numbers do not sort lines to number them."""
-    assert "row_number() windowspecdefinition(order_id" not in initial_plan(build(Shop(spark, FOLDER)))
+def test_unused_line_numbers_cost_nothing(spark):
+    """Totals of orders do not sort lines to number them."""
+    plan = initial_plan(marts.kpi_revenue_totals(Shop(spark, FOLDER).fact_order))
+    assert "row_number() windowspecdefinition(order_id" not in plan
 
 
 def test_hot_recipe_material_and_handle_give_the_same_rows(spark):
@@ -197,14 +231,13 @@ def test_hot_recipe_material_and_handle_give_the_same_rows(spark):
         F.lit(None).cast("decimal(10,4)").alias("cost_per_unit"), F.lit(True).alias("has_known_cost"),
     )
 
-    def same(whole, split):
-        assert whole.count() == split.count() > 0
-        assert whole.exceptAll(split).count() == 0
-
-    costs = facts.recipe_costs(recipes, materials)
-    same(costs, facts.recipe_costs(recipes, materials, 20))
-    same(facts.product_costs(skus, costs), facts.product_costs(skus, costs, 50))
-    products = D.dim_product(skus, shop)
-    same(products, D.dim_product(skus, shop, hot_rows=50))
+    costs = facts.recipe_costs(recipes, materials, shares=1)
+    same(costs, facts.recipe_costs(recipes, materials, 3))
+    same(costs, facts.recipe_costs(recipes, materials, 10**4))
+    whole = facts.product_costs(skus, costs, shares=1)
+    same(whole, facts.product_costs(skus, costs, 8))
+    products = D.dim_product(skus, shop, shares=1)
+    same(products, D.dim_product(skus, shop, shares=8))
+    same(products, D.dim_product(skus, shop, shares=10**4))
     few = products.select("product_key", "recipe_id", "size_ml")
-    same(facts.product_ingredients(few, costs), facts.product_ingredients(few, costs, 50))
+    same(facts.product_ingredients(few, costs, 1), facts.product_ingredients(few, costs, 8))
