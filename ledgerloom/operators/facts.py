@@ -181,8 +181,11 @@ def allocated_cents(line: Column, order_gross: Column, discount: Column) -> Colu
     return F.when(order_gross > 0, share).otherwise(F.lit(0).cast("bigint"))
 
 
-def _line_cents(lines: DataFrame, fact_orders: DataFrame, shares: int) -> DataFrame:
+def _line_cents(
+    lines: DataFrame, fact_orders: DataFrame, shares: int, counted: DataFrame | None
+) -> DataFrame:
     """Order lines with their amounts and their share of the order discount, in cents."""
+    counts = rows_per_key(lines if counted is None else counted, ["order_id"])
     orders = fact_orders.select(
         "order_id",
         "order_key",
@@ -190,7 +193,7 @@ def _line_cents(lines: DataFrame, fact_orders: DataFrame, shares: int) -> DataFr
         C.scaled(F.col("gross_product_sales"), 2).alias("order_cents"),
         C.scaled(F.col("order_discount_amount"), 2).alias("discount_cents"),
     )
-    joined = join_busy(lines, orders, ["order_id"], ["line_number"], shares=shares)
+    joined = join_busy(lines, orders, ["order_id"], ["line_number"], "inner", counts, shares)
     amounts = joined.select(
         "order_key",
         "order_id",
@@ -224,28 +227,38 @@ def _line_amounts() -> list[Column]:
 
 
 def allocate_discounts(
-    lines: DataFrame, fact_orders: DataFrame, shares: int = SHARES
+    lines: DataFrame,
+    fact_orders: DataFrame,
+    shares: int = SHARES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Order lines with their share of the order discount, in proportion to gross revenue."""
-    return _line_cents(lines, fact_orders, shares).select("lineitem_name", *_line_amounts())
+    """Order lines with their share of the order discount, in proportion to gross revenue.
+
+    ``counted`` may be the same lines before they were numbered: rows per key are counted there.
+    """
+    return _line_cents(lines, fact_orders, shares, counted).select("lineitem_name", *_line_amounts())
 
 
 def fact_order_line(
-    lines: DataFrame, fact_orders: DataFrame, products: DataFrame, shares: int = SHARES
+    lines: DataFrame,
+    fact_orders: DataFrame,
+    products: DataFrame,
+    shares: int = SHARES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order line with revenue, estimated cost and margin per unit.
 
     ``products`` is ``product_costs``: cost depends on the product only, so it is summed
     per product before it meets the lines. A line without a costed recipe costs 0, is
-    flagged, and has a margin of 100 percent.
+    flagged, and has a margin of 100 percent. ``counted`` is as in ``allocate_discounts``.
     """
     priced = join_busy(
-        _line_cents(lines, fact_orders, shares),
+        _line_cents(lines, fact_orders, shares, counted),
         products,
         ["lineitem_name"],
         ["order_id", "line_number"],
         "left",
-        rows_per_key(lines, ["lineitem_name"]),
+        rows_per_key(lines if counted is None else counted, ["lineitem_name"]),
         shares,
     )
     # Margins are worked out in whole units of 1/10000. Each step is a projection of its
@@ -295,14 +308,27 @@ def product_ingredients(
     return join_busy(products, costs, recipe, ["product_key"], shares=shares)
 
 
+def lines_per_product(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Rows per product, counted by line name before names meet products."""
+    named = rows_per_key(lines, ["lineitem_name"]).join(products, "lineitem_name")
+    return named.where("product_key IS NOT NULL").groupBy("product_key").agg(F.sum("_rows").alias("_rows"))
+
+
 def fact_cogs_estimate(
-    fact_lines: DataFrame, dim_products: DataFrame, costs: DataFrame, shares: int = SHARES
+    fact_lines: DataFrame,
+    dim_products: DataFrame,
+    costs: DataFrame,
+    shares: int = SHARES,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per order line and recipe ingredient; ``costs`` of numbered recipes."""
+    """One row per order line and recipe ingredient; ``costs`` of numbered recipes.
+
+    ``counts`` may be ``lines_per_product``; without it lines are counted by product.
+    """
     lines = fact_lines.where("product_key IS NOT NULL").select("order_line_key", "product_key")
     products = dim_products.select("product_key", "recipe_id", "size_ml")
     ingredients = product_ingredients(products, costs, shares)
-    joined = join_busy(lines, ingredients, ["product_key"], ["order_line_key"], shares=shares)
+    joined = join_busy(lines, ingredients, ["product_key"], ["order_line_key"], "inner", counts, shares)
     return joined.select(
         F.concat_ws("-", "order_line_key", "recipe_line").alias("cogs_key"),
         "order_line_key",

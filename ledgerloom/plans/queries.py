@@ -321,7 +321,9 @@ BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "dim_material": lambda s: s.dim_material,
     "order_line_summary": lambda s: facts.order_line_summary(s.line_rows),
     "fact_order": lambda s: s.fact_order,
-    "discount_allocation": lambda s: facts.allocate_discounts(s.stg_order_lines, s.fact_order),
+    "discount_allocation": lambda s: facts.allocate_discounts(
+        s.stg_order_lines, s.fact_order, counted=s.line_rows
+    ),
     "fact_order_line": lambda s: s.fact_order_line,
     "fact_cogs_estimate": lambda s: s.fact_cogs_estimate,
     "line_margin": lambda s: s.fact_order_line,

@@ -435,14 +435,22 @@ class Shop:
     def fact_order(self) -> DataFrame:
         return facts.fact_order(self.stg_orders, self.line_rows, self.dim_shipping_method)
 
+    @cached_property
+    def product_costs(self) -> DataFrame:
+        return facts.product_costs(self.stg_product_sku_map, self.recipe_costs)
+
     @cached_property
     def fact_order_line(self) -> DataFrame:
-        products = facts.product_costs(self.stg_product_sku_map, self.recipe_costs)
-        return facts.fact_order_line(self.stg_order_lines, self.fact_order, products)
+        return facts.fact_order_line(
+            self.stg_order_lines, self.fact_order, self.product_costs, counted=self.line_rows
+        )
 
     @cached_property
     def fact_cogs_estimate(self) -> DataFrame:
-        return facts.fact_cogs_estimate(self.fact_order_line, self.dim_product, self.numbered_costs)
+        return facts.fact_cogs_estimate(
+            self.fact_order_line, self.dim_product, self.numbered_costs,
+            counts=facts.lines_per_product(self.line_rows, self.product_costs),
+        )
 
     @cached_property
     def fact_marketing_spend(self) -> DataFrame:
