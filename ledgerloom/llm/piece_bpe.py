@@ -20,6 +20,7 @@ import itertools
 import re
 import struct
 from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -39,9 +40,11 @@ NO_CHARACTER = "�"
 
 # Bounds of what one task keeps: units of up to KEPT_LENGTH characters (in two halves), and
 # pairs.
-KEPT_UNITS = 200_000
+KEPT_UNITS = 400_000
 KEPT_LENGTH = 48
 KEPT_PAIRS = 250_000
+# Rows that are worked on at a time, so that an Arrow batch isn't held several times over.
+SOME_ROWS = 512
 
 
 # ---- the model file -------------------------------------------------------------------
@@ -131,7 +134,8 @@ class Encoder:
         self.ends.make_automaton()
         self.units = re.compile(self._unit_pattern(), re.DOTALL).findall
         self.lengths = [len(p) for p in self.pieces]
-        self.pairs: dict[int, dict[int, bool]] = {}
+        # What is known of the tokens after each one; -1 is the start of a unit.
+        self.pairs: defaultdict[int, dict[int, bool]] = defaultdict(dict)
         self.pairs_kept = 0
         self.kept = _Kept(self.unit_ids)
 
@@ -175,13 +179,6 @@ class Encoder:
             at = joined.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def neighbours(self, token: int) -> dict[int, bool]:
-        """What is known of the tokens after one; -1 is the start of a unit."""
-        found = self.pairs.get(token)
-        if found is None:
-            found = self.pairs[token] = {}
-        return found
-
     def compatible(self, left: int, right: int) -> bool:
         """Whether the two may be neighbours, worked out and remembered."""
         pair = [self.pieces[i] for i in (left, right) if i >= 0]
@@ -189,7 +186,7 @@ class Encoder:
             self.pairs.clear()
             self.pairs_kept = 0
         self.pairs_kept += 1
-        fits = self.neighbours(left)[right] = self.merged("".join(pair)) == pair
+        fits = self.pairs[left][right] = self.merged("".join(pair)) == pair
         return fits
 
     def unit_ids(self, unit: str) -> bytes:
@@ -200,14 +197,15 @@ class Encoder:
         # Of the prefix that ends at each character: its last token, and what may follow that.
         # The place before the first character is the one at the end of the lists.
         last, after = [-1] * (size + 1), [None] * (size + 1)
-        after[-1] = self.neighbours(-1)
+        pairs = self.pairs
+        after[-1] = pairs[-1]
         for end, (length, i) in self.ends.iter(unit):
             if after[end] is None and (known := after[end - length]) is not None:
                 fits = known.get(i)
                 if fits is None:
                     fits = self.compatible(last[end - length], i)
                 if fits:
-                    last[end], after[end] = i, self.neighbours(i)
+                    last[end], after[end] = i, pairs[i]
         ids, at = [], size - 1
         while at >= 0:
             i = last[at]
@@ -328,13 +326,19 @@ def encode_documents(docs: DataFrame, model_path: str, text_column: str = "text"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model)
-        for batch in batches:
+        for batch in _some_rows(batches):
             found = [encoder.encode(text or "") for text in batch.column(text_column).to_pylist()]
             yield _with(batch, out, _lists(found))
 
     return docs.mapInArrow(encode, schema)
 
 
+def _some_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SOME_ROWS):
+            yield batch.slice(at, SOME_ROWS)
+
+
 def _lists(ids: list[bytes]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
     values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
@@ -359,8 +363,7 @@ def decode_documents(docs: DataFrame, model_path: str, ids_column: str = "ids",
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(model)
-        for batch in batches:
-            # Row by row: ids of a whole batch as Python numbers would take its size ten times.
+        for batch in _some_rows(batches):
             lists = (x.values.to_numpy().tolist() if x.is_valid else None for x in batch.column(ids_column))
             texts = [None if ids is None else decoder.decode(ids) for ids in lists]
             yield _with(batch, out, pa.array(texts, type=pa.string()))
