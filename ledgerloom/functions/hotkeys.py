@@ -9,9 +9,7 @@ built, and a table without busy keys pays for one count per key.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is busy if it holds more than this part of all rows: 1 / SHARES. So at most SHARES
@@ -20,27 +18,17 @@ SHARES = 8192
 
 
 def rows_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return df.groupBy(*keys).agg(F.expr("count(*) AS _rows"))
 
 
-def busy_keys(counts: DataFrame, shares: int = SHARES) -> DataFrame:
-    """Keys with more than 1 / ``shares`` of all rows, and ``_rows``, ``_total``.
+def busy_keys(counts: DataFrame, keys: list[str], shares: int = SHARES) -> DataFrame:
+    """``keys, _rows, _total`` of keys with more than 1 / ``shares`` of all rows.
 
     ``counts`` has one row per key, with its number of rows as ``_rows``.
     """
-    total = counts.agg(F.sum("_rows").cast("decimal(38,0)").alias("_total")).scalar()
-    return counts.withColumn("_total", total).where(
-        F.col("_rows").cast("decimal(28,0)") * shares > F.col("_total")
-    )
-
-
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
-    """Equal keys, with NULL equal to NULL; on the right their names have a prefix."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{prefix}{c}"]) for c in keys])
-
-
-def prefixed(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
-    return df.withColumnsRenamed({c: f"{prefix}{c}" for c in keys})
+    total = counts.selectExpr("CAST(sum(_rows) AS DOUBLE)").scalar()
+    found = counts.select(*keys, "_rows", total.alias("_total"))
+    return found.where(f"CAST(_rows AS DOUBLE) * {shares} > _total")
 
 
 def join_busy(
@@ -59,18 +47,20 @@ def join_busy(
     tell rows apart. Rows without a key find no partner and are dealt to all tasks. ``counts``
     gives rows per key as ``rows_per_key`` does, where a cheaper way than counting is known.
     """
-    busy = busy_keys(rows_per_key(big, keys) if counts is None else counts, shares)
-    share = F.ceil(F.col("_rows") * shares / F.col("_total"))
-    slices = F.broadcast(busy.select(*keys, F.least("_rows", share).cast("bigint").alias("_slices")))
-    dealt = F.xxhash64(*spread)
-    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
+    busy = busy_keys(rows_per_key(big, keys) if counts is None else counts, keys, shares)
+    share = f"least(_rows, ceil(CAST(_rows AS DOUBLE) * {shares} / _total)) AS _slices"
+    slices = F.broadcast(busy.selectExpr(*map(quoted, keys), share))
+    dealt = f"xxhash64({', '.join(map(quoted, spread))})"
+    no_key = " OR ".join(f"{quoted(c)} IS NULL" for c in keys)
     salt = (
-        F.when(no_key, F.pmod(dealt, F.lit(shares)))
-        .when(F.col("_slices").isNotNull(), F.pmod(dealt, F.col("_slices")))
-        .otherwise(F.lit(0).cast("bigint"))
+        f"CASE WHEN {no_key} THEN pmod({dealt}, {shares})"
+        f" WHEN _slices IS NOT NULL THEN pmod({dealt}, _slices) ELSE 0L END AS _slice"
     )
-    last = F.coalesce("_slices", F.lit(1).cast("bigint")) - 1
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
-    left = big.join(slices, keys, "left").withColumn("_slice", salt).drop("_slices")
-    right = unique.join(slices, keys, "left").withColumn("_slice", every).drop("_slices")
+    every = "explode(sequence(0L, coalesce(_slices, 1L) - 1)) AS _slice"
+    left = big.join(slices, keys, "left").selectExpr("* EXCEPT (_slices)", salt)
+    right = unique.join(slices, keys, "left").selectExpr("* EXCEPT (_slices)", every)
     return left.join(right, [*keys, "_slice"], how).drop("_slice")
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -9,10 +9,10 @@ plan: nothing runs while it is built, and the same rows get the same numbers on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.hotkeys import SHARES, busy_keys, prefixed, rows_per_key, same_keys
+from ledgerloom.functions.hotkeys import SHARES, busy_keys, quoted, rows_per_key
 
 COPIES_PER_ROW = 100_000
 # Borders are searched in two steps: among every STRIDE-th one, then between two of these.
@@ -36,103 +36,124 @@ def number_rows(
     Groups with at most 1 / ``shares`` of all rows are one range each; so a window never
     sees much more than that share, whatever a group holds.
     """
-    listed = {*keys, *(c for level in levels for c in level)}
-    rest = [c for c in df.columns if c not in listed]
-    order = [c for level in [*levels, rest] for c in level]
-    busy = prefixed(busy_keys(rows_per_key(df, keys), shares), keys, "_k_")
-    busy = F.broadcast(busy.select(*[f"_k_{c}" for c in keys], "_total"))
-    same = same_keys(df, busy, keys, "_k_")
-
-    group = Window.partitionBy(*keys).orderBy(*order)
-    added = {name: F.row_number().over(group).cast("bigint")}
+    cut = _Cut(df, keys, levels, shares)
+    window = f"OVER (PARTITION BY {cut.listed(keys)} ORDER BY {cut.listed(cut.order)})"
+    added = [f"CAST(row_number() {window} AS BIGINT) AS {quoted(name)}"]
     if first is not None:
-        before = F.lag(F.struct(*levels[0])).over(group)
-        added[first] = before.isNull() | ~before.eqNullSafe(F.struct(*levels[0]))
-    whole = df.join(busy, same, "left_anti").withColumns(added)
-    large = df.join(busy, same).drop(*[f"_k_{c}" for c in keys])
-    ranged = _number_in_ranges(large, keys, order, levels[0], name, first, shares)
-    return whole.unionByName(ranged.select(*whole.columns))
-
-
-def _number_in_ranges(
-    large: DataFrame, keys: list[str], order: list[str], top: list[str], name: str, first: str | None, shares: int
-) -> DataFrame:
-    """Number the rows of large groups; ``large`` has ``_total``, the size of the table.
-
-    Equal rows have one place in the order: they are one row with a count until the end.
-    """
-    columns = [c for c in large.columns if c != "_total"]
-    borders = range_borders(large, keys, order, shares)
-
-    # Rows in earlier ranges, and the last value of the first level among them.
-    counts = with_range(large.select(*keys, *order), borders, keys, order).groupBy(*keys, "_range")
-    found = [F.count("*").alias("_rows")]
-    if first is not None:
-        found.append(F.max(F.struct(*top)).alias("_top"))
-    earlier = Window.partitionBy(*keys).orderBy("_range")
-    sums = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.agg(*found).withColumn("_offset", F.coalesce(F.sum("_rows").over(sums), F.lit(0)))
-    kept = ["_range", "_offset"]
-    if first is not None:
-        offsets = offsets.withColumn("_last", F.lag("_top").over(earlier))
-        kept.append("_last")
-    offsets = F.broadcast(prefixed(offsets.select(*keys, *kept), [*keys, "_range"], "_o_"))
-
-    distinct = large.groupBy(*columns).agg(F.count("*").alias("_n"))
-    local = Window.partitionBy(*keys, "_range").orderBy(*order)
-    inside = F.sum("_n").over(local.rowsBetween(Window.unboundedPreceding, -1))
-    placed = with_range(distinct, borders, keys, order).withColumn("_inside", F.coalesce(inside, F.lit(0)))
-    if first is not None:
-        placed = placed.withColumn("_previous", F.lag(F.struct(*top)).over(local))
-    placed = placed.join(offsets, same_keys(placed, offsets, [*keys, "_range"], "_o_"))
-    placed = placed.withColumn("_before", F.col("_inside") + F.col("_offset"))
-
-    # Copies of one row are written out in slices that are spread over tasks first.
-    start = F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(COPIES_PER_ROW).cast("bigint"))
-    slices = placed.withColumn("_from", F.explode(start)).repartition(*keys, "_before", "_from")
-    last = F.least(F.col("_from") + COPIES_PER_ROW, F.col("_n"))
-    copies = slices.withColumn("_copy", F.explode(F.sequence(F.col("_from") + 1, last)))
-    added = [(F.col("_before") + F.col("_copy")).cast("bigint").alias(name)]
-    if first is not None:
-        previous = F.coalesce("_previous", "_last")
-        opens = previous.isNull() | ~previous.eqNullSafe(F.struct(*top))
-        added.append(((F.col("_copy") == 1) & opens).alias(first))
-    return copies.select(*columns, *added)
-
-
-def range_borders(large: DataFrame, keys: list[str], order: list[str], shares: int) -> DataFrame:
-    """The quantiles that cut each group: about ``shares`` rows of all, those with a small hash.
-
-    ``large`` has ``_total``, the size of the whole table, so this list does not grow with it.
-    """
-    drawn = F.xxhash64(*order) / F.lit(2.0**64) + 0.5
-    picked = large.where(drawn * F.col("_total").cast("double") < shares)
-    borders = (
-        picked.select(*keys, F.struct(*order).alias("_place"))
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list("_place")).alias("_borders"))
-    )
-    every = F.filter("_borders", lambda _, i: i % STRIDE == 0)
-    return prefixed(borders.withColumn("_coarse", every), keys, "_b_")
-
-
-def with_range(rows: DataFrame, borders: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """``rows`` with ``_range``, the number of their range inside their group."""
-    met = rows.join(F.broadcast(borders), same_keys(rows, borders, keys, "_b_"), "left")
-    ranged = met.withColumn("_range", _borders_up_to(F.struct(*order)))
-    return ranged.drop("_borders", "_coarse", *[f"_b_{c}" for c in keys])
-
-
-def _borders_up_to(place: Column) -> Column:
-    """How many of ``_borders`` are not above a place: the number of its range."""
-    def not_above(borders: Column) -> Column:
-        return F.size(F.filter(borders, lambda b: b <= place))
-
-    coarse = not_above(F.col("_coarse"))
-    start = (coarse - 1) * STRIDE
-    fine = not_above(F.slice(F.col("_borders"), start + 1, F.lit(STRIDE)))
-    return F.when(F.col("_borders").isNull() | (coarse == 0), F.lit(0)).otherwise(start + fine)
+        added.append(f"{cut.opens(f'lag({cut.top}) {window}')} AS {quoted(first)}")
+    whole = cut.met(df, cut.large, "left_anti").selectExpr("*", *added)
+    return whole.unionByName(cut.numbered(name, first))
+
+
+class _Cut:
+    """The plan that cuts large groups of a table into ranges."""
+
+    def __init__(self, df: DataFrame, keys: list[str], levels: list[list[str]], shares: int) -> None:
+        self.df, self.keys, self.shares = df, keys, shares
+        named = {*keys, *(c for level in levels for c in level)}
+        rest = [c for c in df.columns if c not in named]
+        self.order = [c for level in [*levels, rest] for c in level]
+        self.place = f"struct({self.listed(self.order)})"
+        self.top = f"struct({self.listed(levels[0])})"
+        # At most one group per share, with the number of all rows.
+        busy = busy_keys(rows_per_key(df, keys), keys, shares)
+        self.large = F.broadcast(busy.selectExpr(*self.renamed(), "_total"))
+
+    @staticmethod
+    def listed(columns: list[str]) -> str:
+        return ", ".join(map(quoted, columns))
+
+    def renamed(self) -> list[str]:
+        return [f"{quoted(c)} AS _k{i}" for i, c in enumerate(self.keys)]
+
+    def groups(self) -> list[str]:
+        return [f"_k{i}" for i in range(len(self.keys))]
+
+    def met(self, rows: DataFrame, groups: DataFrame, how: str) -> DataFrame:
+        """A join with one row per group; NULL keys are a group as well."""
+        same = " AND ".join(f"{quoted(c)} <=> _k{i}" for i, c in enumerate(self.keys))
+        return rows.join(groups, F.expr(same), how)
+
+    def opens(self, before: str) -> str:
+        """Whether a row is the first of its value: there is no row before, or another value."""
+        return f"({before} IS NULL OR NOT ({before} <=> {self.top}))"
+
+    def borders(self) -> DataFrame:
+        """The quantiles that cut each large group: its rows with a small hash.
+
+        About ``shares`` rows of the whole table are picked, so this list doesn't grow with it.
+        """
+        drawn = f"(xxhash64({self.listed(self.order)}) / pow(2D, 64) + 0.5D) * _total < {self.shares}"
+        picked = self.met(self.df, self.large, "inner").where(drawn)
+        places = picked.selectExpr(*self.groups(), f"{self.place} AS _place").distinct()
+        return places.groupBy(*self.groups()).agg(F.expr("array_sort(collect_list(_place)) AS _borders"))
+
+    def ranged(self, rows: DataFrame, borders: DataFrame) -> DataFrame:
+        """Rows of the groups of ``borders``, with ``_range``: how many borders are not above.
+
+        Every STRIDE-th border is asked first, then those up to the next one.
+        """
+        every = f"transform(sequence(0, size(_borders) - 1, {STRIDE}), i -> get(_borders, i))"
+        coarse = f"size(filter({every}, b -> b <= {self.place}))"
+        rows = self.met(rows, F.broadcast(borders), "inner").selectExpr(
+            "*", f"if(_borders IS NULL, 0, greatest(({coarse} - 1) * {STRIDE}, 0)) AS _start"
+        )
+        fine = f"size(filter(slice(_borders, _start + 1, {STRIDE}), b -> b <= {self.place}))"
+        return rows.selectExpr("* EXCEPT (_start)", f"if(_borders IS NULL, 0, _start + {fine}) AS _range")
+
+    def cuts(self) -> DataFrame:
+        """For each large group its borders, and of each range the number of rows in earlier
+        ones and the last value of the first level among these, as a map by range."""
+        groups = self.groups()
+        borders = self.borders()
+        borders = borders.selectExpr(*[f"{g} AS _b{g}" for g in groups], "_borders")
+        same = " AND ".join(f"{g} <=> _b{g}" for g in groups)
+        both = self.large.join(borders, F.expr(same), "left").select(*groups, "_borders")
+        counts = self.ranged(self.df.select(*self.keys, *self.order), both).groupBy(*groups, "_range")
+        counts = counts.agg(
+            F.expr("count(*) AS _rows"), F.expr(f"max({self.top}) AS _top"), F.expr("any_value(_borders) AS _borders")
+        )
+        window = f"OVER (PARTITION BY {', '.join(groups)} ORDER BY _range"
+        entry = counts.selectExpr(
+            *groups,
+            "_borders",
+            "_range",
+            f"struct(coalesce(sum(_rows) {window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS offset,"
+            f" lag(_top) {window}) AS last) AS _cut",
+        )
+        return entry.groupBy(*groups).agg(
+            F.expr("any_value(_borders) AS _borders"),
+            F.expr("map_from_entries(collect_list(struct(_range, _cut))) AS _ranges"),
+        )
+
+    def numbered(self, name: str, first: str | None) -> DataFrame:
+        """The rows of large groups with their numbers.
+
+        Equal rows have one place in the order: they are one row with a count until the end.
+        """
+        columns = [quoted(c) for c in self.df.columns]
+        distinct = self.met(self.df, self.large, "left_semi").groupBy(*self.df.columns).agg(F.expr("count(*) AS _n"))
+        window = f"OVER (PARTITION BY {self.listed(self.keys)}, _range ORDER BY {self.listed(self.order)}"
+        placed = self.ranged(distinct, self.cuts()).selectExpr(
+            *columns,
+            "_n",
+            "_ranges[_range] AS _cut",
+            f"coalesce(sum(_n) {window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _inside",
+            f"lag({self.top}) {window}) AS _previous",
+        )
+        # Copies of one row are written out in slices that are spread over tasks first.
+        slices = placed.selectExpr(
+            *columns,
+            "_n",
+            "_inside + _cut.offset AS _before",
+            "coalesce(_previous, _cut.last) AS _previous",
+            f"explode(sequence(0L, _n - 1, {COPIES_PER_ROW}L)) AS _from",
+        ).repartition(*self.keys, "_before", "_from")
+        copies = slices.selectExpr("*", f"explode(sequence(_from + 1, least(_from + {COPIES_PER_ROW}, _n))) AS _copy")
+        added = [f"CAST(_before + _copy AS BIGINT) AS {quoted(name)}"]
+        if first is not None:
+            added.append(f"_copy = 1 AND {self.opens('_previous')} AS {quoted(first)}")
+        return copies.selectExpr(*columns, *added)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:

@@ -91,13 +91,16 @@ def fact_order(
 # ---- cost of goods --------------------------------------------------------------------
 
 def recipe_costs(
-    recipes: DataFrame, materials: DataFrame, shares: int = SHARES
+    recipes: DataFrame,
+    materials: DataFrame,
+    shares: int = SHARES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Cost of each ingredient of one unit, for the recipe variant that is sold.
 
     An ingredient priced by volume costs amount times price (NULL without an amount),
     packaging costs its piece price, and an unknown cost counts as 0. ``recipe_line`` is
-    carried along if the recipes are numbered.
+    carried along if the recipes are numbered; ``counted`` may be the same ones before that.
     """
     material = materials.select(
         "material_id", "material_name", "category", "cost_per_ml", "cost_per_unit",
@@ -117,7 +120,8 @@ def recipe_costs(
             ["material_id"],
             recipes.columns,
             "left",
-            shares=shares,
+            rows_per_key(sold if counted is None else counted, ["material_id"]),
+            shares,
         )
         .select(
             "recipe_id",
@@ -301,11 +305,15 @@ def fact_order_line(
 
 
 def product_ingredients(
-    products: DataFrame, costs: DataFrame, shares: int = SHARES
+    products: DataFrame, costs: DataFrame, shares: int = SHARES, counted: DataFrame | None = None
 ) -> DataFrame:
-    """Costed ingredients of one unit of each product, next to the product's columns."""
+    """Costed ingredients of one unit of each product, next to the product's columns.
+
+    ``counted`` may be the SKU map: it has the recipes of the products, and is less work.
+    """
     recipe = ["recipe_id", "size_ml"]
-    return join_busy(products, costs, recipe, ["product_key"], shares=shares)
+    counts = rows_per_key(products if counted is None else counted, recipe)
+    return join_busy(products, costs, recipe, ["product_key"], "inner", counts, shares)
 
 
 def lines_per_product(lines: DataFrame, products: DataFrame) -> DataFrame:
@@ -320,14 +328,16 @@ def fact_cogs_estimate(
     costs: DataFrame,
     shares: int = SHARES,
     counts: DataFrame | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order line and recipe ingredient; ``costs`` of numbered recipes.
 
     ``counts`` may be ``lines_per_product``; without it lines are counted by product.
+    ``counted`` is as in ``product_ingredients``.
     """
     lines = fact_lines.where("product_key IS NOT NULL").select("order_line_key", "product_key")
     products = dim_products.select("product_key", "recipe_id", "size_ml")
-    ingredients = product_ingredients(products, costs, shares)
+    ingredients = product_ingredients(products, costs, shares, counted)
     joined = join_busy(lines, ingredients, ["product_key"], ["order_line_key"], "inner", counts, shares)
     return joined.select(
         F.concat_ws("-", "order_line_key", "recipe_line").alias("cogs_key"),

@@ -159,13 +159,17 @@ def kpi_product_profitability(dim_products: DataFrame, fact_lines: DataFrame) ->
 
 
 def kpi_cogs_detail(
-    dim_products: DataFrame, fact_lines: DataFrame, costs: DataFrame, shares: int = SHARES
+    dim_products: DataFrame,
+    fact_lines: DataFrame,
+    costs: DataFrame,
+    shares: int = SHARES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Use and cost of each material per product.
 
     Every line of a product has the same ingredients, so sums are recipe amounts times
     the number of lines; lines are never multiplied by ingredients. Amounts count once per
-    line, whatever its quantity.
+    line, whatever its quantity. ``counted`` may be the SKU map, to count its recipes.
     """
     lines = (
         fact_lines.where("product_key IS NOT NULL")
@@ -176,7 +180,7 @@ def kpi_cogs_detail(
     products = dim_products.select(
         "product_key", "internal_sku", "product_title", "recipe_id", "size_ml"
     )
-    used = product_ingredients(products, known, shares).join(lines, "product_key")
+    used = product_ingredients(products, known, shares, counted).join(lines, "product_key")
 
     def total(column: str) -> Column:
         return F.sum(F.col(column) * F.col("lines"))

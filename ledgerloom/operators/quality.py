@@ -159,14 +159,47 @@ def broken_references(
 
 
 def referential(tables: dict[str, DataFrame]) -> DataFrame:
-    """All declared references between the given tables."""
-    reports = []
-    for child, column, parent, parent_column in schemas.REFERENCES:
-        if child in tables and parent in tables:
-            broken = broken_references(tables[child], column, tables[parent], parent_column)
-            rows = broken.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))
-            reports.append(_report(rows, child, f"{column} without {parent}"))
-    return union(reports)
+    """All declared references between the given tables: rows whose value has no parent row.
+
+    Each table is read once, for all its references and all keys that others refer to. Its
+    values are stacked as (reference, value) with a count of child rows or the mark of a
+    parent row; one aggregation over all tables then tells which values have no parent.
+    """
+    known = [r for r in enumerate(schemas.REFERENCES) if r[1][0] in tables and r[1][2] in tables]
+    stacked = []
+    for name, df in tables.items():
+        entries = [(i, column, 0) for i, (child, column, _, _) in known if child == name]
+        entries += [(i, column, 1) for i, (_, _, parent, column) in known if parent == name]
+        if entries:
+            values = [
+                F.struct(
+                    F.lit(i).alias("reference"),
+                    F.col(column).cast("string").alias("value"),
+                    F.lit(parent).alias("parent"),
+                )
+                for i, column, parent in entries
+            ]
+            stacked.append(df.select(F.inline(F.array(*values))))
+    found = (
+        reduce(DataFrame.unionByName, stacked)
+        .where("value IS NOT NULL")
+        .groupBy("reference", "value")
+        .agg(F.count_if(F.col("parent") == 0).alias("rows"), F.max("parent").alias("parent"))
+    )
+    broken = found.groupBy("reference").agg(
+        F.sum(F.when(F.col("parent") == 0, F.col("rows")).otherwise(F.lit(0))).alias("broken")
+    )
+    # A reference between empty tables has no row above.
+    named = [
+        F.struct(F.lit(i).alias("reference"), F.lit(child).alias("table_name"),
+                 F.lit(f"{column} without {parent}").alias("check_name"))
+        for i, (child, column, parent, _) in known
+    ]
+    spark = next(iter(tables.values())).sparkSession
+    listed = spark.range(1).select(F.inline(F.array(*named)))
+    return listed.join(broken, "reference", "left").select(
+        "table_name", "check_name", F.coalesce("broken", F.lit(0)).cast("bigint").alias("violations")
+    )
 
 
 def unmapped_lines(lines: DataFrame, sku_map: DataFrame) -> DataFrame:

@@ -335,7 +335,7 @@ BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
         s.dim_product, s.fact_order_line
     ),
     "kpi_cogs_detail": lambda s: marts.kpi_cogs_detail(
-        s.dim_product, s.fact_order_line, s.recipe_costs
+        s.dim_product, s.fact_order_line, s.recipe_costs, counted=s.stg_product_sku_map
     ),
     "kpi_customer_segments": lambda s: marts.kpi_customer_segments(s.dim_customer),
     "kpi_new_vs_returning": lambda s: marts.kpi_new_vs_returning(

@@ -429,12 +429,21 @@ class Shop:
 
     @cached_property
     def numbered_costs(self) -> DataFrame:
-        return facts.recipe_costs(self.stg_recipes, self.stg_material_costs)
+        return facts.recipe_costs(
+            self.stg_recipes, self.stg_material_costs,
+            counted=staging.recipe_ingredients(self.raw_recipes),
+        )
 
     @cached_property
     def fact_order(self) -> DataFrame:
         return facts.fact_order(self.stg_orders, self.line_rows, self.dim_shipping_method)
 
+    @cached_property
+    def product_keys(self) -> DataFrame:
+        """Line names with the key of the product each stands for."""
+        names = facts.sku_by_line_name(self.stg_product_sku_map)
+        return names.select("lineitem_name", C.surrogate(F.col("internal_sku")).alias("product_key"))
+
     @cached_property
     def product_costs(self) -> DataFrame:
         return facts.product_costs(self.stg_product_sku_map, self.recipe_costs)
@@ -449,7 +458,8 @@ class Shop:
     def fact_cogs_estimate(self) -> DataFrame:
         return facts.fact_cogs_estimate(
             self.fact_order_line, self.dim_product, self.numbered_costs,
-            counts=facts.lines_per_product(self.line_rows, self.product_costs),
+            counts=facts.lines_per_product(self.line_rows, self.product_keys),
+            counted=self.stg_product_sku_map,
         )
 
     @cached_property

@@ -75,9 +75,9 @@ def test_group_of_distinct_names_falls_into_even_ranges(spark):
         F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
         F.format_string("name %05d", F.pmod(F.col("id") * 7919, F.lit(n))).alias("name"),
     )
-    large = df.where("k = -1").withColumn("_total", F.lit(n).cast("decimal(38,0)"))
-    borders = numbering.range_borders(large, ["k"], ["name"], shares)
-    sizes = [r["count"] for r in numbering.with_range(large, borders, ["k"], ["name"]).groupBy("_range").count().collect()]
+    cut = numbering._Cut(df, ["k"], [["name"]], shares)
+    assert [r["_k0"] for r in cut.large.collect()] == [-1]
+    sizes = [r["count"] for r in cut.ranged(df, cut.borders()).groupBy("_range").count().collect()]
     assert len(sizes) > shares / 3 / 2 and max(sizes) < 8 * n / shares
     numbered = number_rows(df, ["k"], [["name"]], "line", shares=shares)
     top = numbered.where("k = -1").agg(F.max("line"), F.count_distinct("line")).first()

@@ -76,10 +76,10 @@ def test_hot_order_and_hot_product_give_the_same_lines(spark, shares):
 def test_busy_keys_are_bounded_by_shares(spark):
     lines = skewed_lines(spark)
     for shares in (2, 6, 100, 10**6):
-        busy = busy_keys(rows_per_key(lines, ["order_id"]), shares).collect()
+        busy = busy_keys(rows_per_key(lines, ["order_id"]), ["order_id"], shares).collect()
         assert len(busy) < shares and all(r["_rows"] * shares > LINES for r in busy)
-    assert [r["order_id"] for r in busy_keys(rows_per_key(lines, ["order_id"]), 6).collect()] == [0]
-    assert busy_keys(rows_per_key(lines.limit(0), ["order_id"])).collect() == []
+    assert [r["order_id"] for r in busy_keys(rows_per_key(lines, ["order_id"]), ["order_id"], 6).collect()] == [0]
+    assert busy_keys(rows_per_key(lines.limit(0), ["order_id"]), ["order_id"]).collect() == []
 
 
 def test_rows_of_a_hot_key_are_dealt_to_many_tasks(spark):
