@@ -25,6 +25,12 @@ MUST_HAVE_ROWS = [
 ]
 
 
+# Checks that describe the shop's data: they are reported and stop nothing.
+REPORTED_ONLY = frozenset(
+    {"subtotal differs", "total differs", "line sum differs", "line name without SKU", "cost flag wrong"}
+)
+
+
 class QualityError(AssertionError):
     """At least one check found violations."""
 
@@ -122,6 +128,20 @@ def declared_checks(table: str) -> dict[str, Column]:
     return checks
 
 
+def row_checks(table: str) -> dict[str, Column]:
+    """Every check of a table that a single row decides; raw tables are called ``raw.<name>``."""
+    own = {
+        "raw.orders": raw_order_checks,
+        "stg_orders": staged_order_checks,
+        "stg_product_sku_map": sku_map_checks,
+        "fact_order": fact_order_checks,
+        "fact_order_line": fact_line_checks,
+        "dim_customer": customer_checks,
+    }
+    checks = own[table]() if table in own else {}
+    return {**checks, **declared_checks(table)}
+
+
 def rejected_values(raw: DataFrame, table: str, types: dict[str, str]) -> DataFrame:
     """Filled text values that a lenient load would turn into NULL."""
     return count_violations(
@@ -146,6 +166,46 @@ def unique_key(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     return _report(dupes, table, f"duplicate {', '.join(keys)}")
 
 
+def unique_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """Values that clash in the declared keys of the given tables, in two steps.
+
+    First all keys of all tables go through one aggregation as 64-bit hashes. A hash that
+    comes once is a key that comes once. Only keys under a hash that comes again are then
+    counted themselves, so that two keys with one hash are not taken for the same.
+    """
+    hashed = [
+        df.dropna(subset=schemas.UNIQUE_KEYS[name]).select(
+            F.lit(i).alias("t"), F.xxhash64(*schemas.UNIQUE_KEYS[name]).alias("h")
+        )
+        for i, (name, df) in enumerate(tables.items())
+    ]
+    again = union(hashed).groupBy("t", "h").agg(F.count("*").alias("n")).where("n > 1")
+    keys = [
+        df.dropna(subset=schemas.UNIQUE_KEYS[name]).select(
+            F.lit(i).alias("t"),
+            F.xxhash64(*schemas.UNIQUE_KEYS[name]).alias("h"),
+            F.to_json(F.struct(*schemas.UNIQUE_KEYS[name])).alias("key"),
+        )
+        for i, (name, df) in enumerate(tables.items())
+    ]
+    clashing = union(keys).join(again.select("t", "h"), ["t", "h"], "left_semi")
+    dupes = clashing.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
+    found = dupes.groupBy("t").agg(F.count("*").alias("found"))
+    named = [
+        F.struct(
+            F.lit(i).alias("t"),
+            F.lit(name).alias("table_name"),
+            F.lit(f"duplicate {', '.join(schemas.UNIQUE_KEYS[name])}").alias("check_name"),
+        )
+        for i, name in enumerate(tables)
+    ]
+    spark = next(iter(tables.values())).sparkSession
+    listed = spark.range(1).select(F.inline(F.array(*named)))
+    return listed.join(found, "t", "left").select(
+        "table_name", "check_name", F.coalesce("found", F.lit(0)).cast("bigint").alias("violations")
+    )
+
+
 def broken_references(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
@@ -261,40 +321,34 @@ def personal_data(exported: dict[str, DataFrame]) -> DataFrame:
 
 # ---- report ---------------------------------------------------------------------------
 
+def compared_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every check that compares rows: keys, references, sums over lines, flags, names."""
+    reports = [unique_keys({n: tables[n] for n in schemas.UNIQUE_KEYS if n in tables}), referential(tables)]
+    unmapped = unmapped_lines(tables["stg_order_lines"], tables["stg_product_sku_map"])
+    reports.append(_rows(unmapped, "stg_order_lines", "line name without SKU"))
+    gaps = line_sum_gaps(tables["fact_order"], tables["fact_order_line"])
+    reports.append(_rows(gaps, "fact_order", "line sum differs"))
+    flags = wrong_cost_flags(tables["fact_order_line"], tables["fact_cogs_estimate"])
+    reports.append(_rows(flags, "fact_order_line", "cost flag wrong"))
+    return union(reports)
+
+
+def exported_personal_data(exported: dict[str, DataFrame]) -> DataFrame:
+    found = personal_data(exported)
+    return found.withColumn("violations", F.col("violations") + F.col("forbidden_columns")).select(*REPORT_COLUMNS)
+
+
 def dq_report(
     raw: dict[str, DataFrame], tables: dict[str, DataFrame], exported: dict[str, DataFrame]
 ) -> DataFrame:
     """Every check over a built warehouse."""
     known = {**{f"raw.{k}": v for k, v in raw.items()}, **tables}
-    row_checks = {
-        "raw.orders": raw_order_checks(),
-        "stg_orders": staged_order_checks(),
-        "stg_product_sku_map": sku_map_checks(),
-        "fact_order": fact_order_checks(),
-        "fact_order_line": fact_line_checks(),
-        "dim_customer": customer_checks(),
-    }
     reports = [empty_tables({k: known[k] for k in MUST_HAVE_ROWS if k in known})]
     for table, df in known.items():
-        checks = {**row_checks.get(table, {}), **declared_checks(table)}
+        checks = row_checks(table)
         if checks:
             reports.append(count_violations(df, table, checks))
-        if table in schemas.UNIQUE_KEYS:
-            reports.append(unique_key(df, table, schemas.UNIQUE_KEYS[table]))
-    reports.append(referential(tables))
-    unmapped = unmapped_lines(tables["stg_order_lines"], tables["stg_product_sku_map"])
-    reports.append(_rows(unmapped, "stg_order_lines", "line name without SKU"))
-    gaps = line_sum_gaps(tables["fact_order"], tables["fact_order_line"])
-    reports.append(_rows(gaps, "fact_order", "line sum differs"))
-    flags = wrong_cost_flags(tables["fact_order_line"], tables["fact_cogs_estimate"])
-    reports.append(_rows(flags, "fact_order_line", "cost flag wrong"))
-    pii = personal_data(exported)
-    reports.append(
-        pii.withColumn("violations", F.col("violations") + F.col("forbidden_columns")).select(
-            *REPORT_COLUMNS
-        )
-    )
-    return union(reports)
+    return union([*reports, compared_rows(tables), exported_personal_data(exported)])
 
 
 def require_clean(report: DataFrame, allowed: set[str] | None = None) -> None:

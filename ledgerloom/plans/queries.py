@@ -246,12 +246,7 @@ def _tables(shop: Shop, names: list[str]) -> dict[str, DataFrame]:
 
 
 def _unique_keys(shop: Shop) -> DataFrame:
-    return quality.union(
-        [
-            quality.unique_key(getattr(shop, table), table, keys)
-            for table, keys in schemas.UNIQUE_KEYS.items()
-        ]
-    )
+    return quality.unique_keys(_tables(shop, list(schemas.UNIQUE_KEYS)))
 
 
 def _referential(shop: Shop) -> DataFrame:

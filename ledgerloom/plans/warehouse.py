@@ -1,7 +1,8 @@
 """The whole refresh: exports to raw, staging, star schema, marts and safe exports.
 
 Each layer is written as Parquet and read back, so a later layer starts from files
-instead of a long lineage, and the planner knows the size of every dimension.
+instead of a long lineage, and the planner knows the size of every dimension. Readers keep
+the former tables until all layers are written and their checks have passed.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom import schemas
 from ledgerloom.functions import columns as C
 from ledgerloom.operators import dimensions as D
 from ledgerloom.operators import exports, facts, marts, quality, staging
+from ledgerloom.plans.versions import Refresh, read_tables
 from ledgerloom.session import configure
+from ledgerloom.sources.csv import stamp
 from ledgerloom.sources.registry import SOURCES, ExportFolders, load_raw
 
 STEPS = ("load", "build", "all")
@@ -40,48 +42,28 @@ class WarehouseConfig:
     strict: bool = True
     # Exports whose quoted fields hold no line breaks can be split over tasks.
     multiline: bool = True
-    # Stop before the marts if a declared key of a stored table is not unique.
-    check_keys: bool = True
+    # Publish only if no check finds anything, but for those named.
+    gate: bool = True
+    allowed_checks: frozenset[str] = quality.REPORTED_ONLY
     # Partition order facts by month, for readers that ask for a range of days.
     monthly: bool = True
 
 
-def replace_table(
-    spark: SparkSession, df: DataFrame, path: str, month_from: str | None = None
-) -> DataFrame:
-    """Write a table over its former content and return it as read from the files.
-
-    ``month_from`` names a yyyymmdd column to partition by month. The rows of a month are
-    brought together first, in pieces of bounded size, so there is neither a file per task
-    and month nor one task per busy month.
-    """
-    if month_from is None:
-        df.write.mode("overwrite").parquet(path)
-    else:
-        month = F.floor(F.col(month_from) / 100).cast("int")
-        monthly = df.withColumn("order_month", month).hint("rebalance", "order_month")
-        monthly.write.mode("overwrite").partitionBy("order_month").parquet(path)
-    return spark.read.parquet(path)
-
-
-class _Layer:
-    def __init__(self, spark: SparkSession, root: str, name: str) -> None:
-        self.spark = spark
-        self.base = f"{root}/{name}"
-
-    def save(self, name: str, df: DataFrame, month_from: str | None = None) -> DataFrame:
-        return replace_table(self.spark, df, f"{self.base}/{name}", month_from)
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/{name}")
+LINE_ORDER = {
+    "fact_order": ["order_id"],
+    "fact_order_line": ["order_id", "line_number"],
+    "fact_cogs_estimate": ["order_line_key", "cogs_key"],
+}
 
 
 def load_layer(
-    spark: SparkSession, config: WarehouseConfig, use_sample: bool = False
+    refresh: Refresh, config: WarehouseConfig, use_sample: bool = False
 ) -> dict[str, DataFrame]:
-    layer = _Layer(spark, config.root, "raw")
-    raw = load_raw(spark, config.folders, use_sample, config.multiline)
-    return {name: layer.save(name, df) for name, df in raw.items()}
+    raw = load_raw(refresh.spark, config.folders, use_sample, config.multiline)
+    return {
+        name: refresh.save(f"raw/{name}", df, quality.row_checks(f"raw.{name}"), named=f"raw.{name}")
+        for name, df in raw.items()
+    }
 
 
 def staging_tables(raw: dict[str, DataFrame], strict: bool = True) -> dict[str, DataFrame]:
@@ -143,17 +125,21 @@ def mart_tables(t: dict[str, DataFrame], as_of: dt.date | None = None) -> dict[s
 
 
 def build_layers(
-    spark: SparkSession, config: WarehouseConfig, raw: dict[str, DataFrame]
+    refresh: Refresh, config: WarehouseConfig, raw: dict[str, DataFrame]
 ) -> dict[str, DataFrame]:
-    """Staging, dimensions and facts on disk, marts on top."""
-    staged = _Layer(spark, config.root, "staging")
-    star = _Layer(spark, config.root, "warehouse")
-    t = {n: staged.save(n, df) for n, df in staging_tables(raw, config.strict).items()}
-    t |= {n: star.save(n, df) for n, df in dimension_tables(spark, t, config).items()}
+    """Staging, dimensions and facts on disk."""
+
+    def save(layer: str, name: str, df: DataFrame, month_from: str | None = None) -> DataFrame:
+        checks = quality.row_checks(name)
+        return refresh.save(f"{layer}/{name}", df, checks, LINE_ORDER.get(name), month_from, name)
+
+    t = {n: save("staging", n, stamp(df)) for n, df in staging_tables(raw, config.strict).items()}
+    t |= {n: save("warehouse", n, df) for n, df in dimension_tables(refresh.spark, t, config).items()}
 
     costs = facts.recipe_costs(t["stg_recipes"], t["dim_material"])
     month_from = "order_date_key" if config.monthly else None
-    t["fact_order"] = star.save(
+    t["fact_order"] = save(
+        "warehouse",
         "fact_order",
         facts.fact_order(
             t["stg_orders"], t["stg_order_lines"], t["dim_shipping_method"],
@@ -161,28 +147,39 @@ def build_layers(
         ),
         month_from,
     )
-    products = star.save("product_cost", facts.product_costs(t["stg_product_sku_map"], costs))
-    t["fact_order_line"] = star.save(
+    products = save("warehouse", "product_cost", facts.product_costs(t["stg_product_sku_map"], costs))
+    t["fact_order_line"] = save(
+        "warehouse",
         "fact_order_line",
         facts.fact_order_line(t["stg_order_lines"], t["fact_order"], products),
         month_from,
     )
-    t["fact_cogs_estimate"] = star.save(
+    t["fact_cogs_estimate"] = save(
+        "warehouse",
         "fact_cogs_estimate",
         facts.fact_cogs_estimate(t["fact_order_line"], t["dim_product"], costs),
     )
-    t["fact_marketing_spend"] = star.save(
-        "fact_marketing_spend", facts.fact_marketing_spend(t["stg_meta_ads"])
+    t["fact_marketing_spend"] = save(
+        "warehouse", "fact_marketing_spend", facts.fact_marketing_spend(t["stg_meta_ads"])
     )
-    t["fact_gsc_daily"] = star.save("fact_gsc_daily", facts.fact_gsc_daily(t["stg_gsc_daily"]))
-    if config.check_keys:
-        # Marts count rows where keys are unique, so a repeated key would count twice.
-        quality.require_clean(
-            quality.union(
-                [quality.unique_key(t[n], n, keys) for n, keys in schemas.UNIQUE_KEYS.items()]
-            )
-        )
-    return t | mart_tables(t, config.as_of)
+    t["fact_gsc_daily"] = save("warehouse", "fact_gsc_daily", facts.fact_gsc_daily(t["stg_gsc_daily"]))
+    return t
+
+
+def refresh_report(refresh: Refresh, tables: dict[str, DataFrame], config: WarehouseConfig) -> DataFrame:
+    """What the checks of a refresh found: rows counted by the writes, and the checks that
+    compare rows, over the stored tables."""
+    counted = [*refresh.violations]
+    for name, entry in ((k.replace("raw/", "raw.").split("/")[-1], e) for k, e in refresh.entries.items()):
+        if name in quality.MUST_HAVE_ROWS and name in tables:
+            counted.append((name, "not empty", int(entry["rows"] == 0)))
+    schema = "table_name string, check_name string, violations bigint"
+    reports = [refresh.spark.createDataFrame(counted, schema)]
+    if "fact_order" in tables:
+        reports.append(quality.compared_rows(tables))
+        exported = exports.all_exports(tables | mart_tables(tables, config.as_of))
+        reports.append(quality.exported_personal_data(exported))
+    return quality.union(reports)
 
 
 def build_warehouse(
@@ -190,18 +187,38 @@ def build_warehouse(
 ) -> dict[str, DataFrame]:
     """Run the refresh: ``load`` reads the exports, ``build`` makes the other layers.
 
-    Returns every table by name, raw ones as ``raw.<name>``. Failures are raised.
+    Returns every table by name, raw ones as ``raw.<name>``. Failures are raised, and so is
+    what the checks find (``quality.QualityError``); then the former tables stay published.
     """
     if step not in STEPS:
         raise ValueError(f"step must be one of {STEPS}")
     configure(spark, config.timezone)
-    if step == "build":
-        layer = _Layer(spark, config.root, "raw")
-        raw = {spec.table: layer.read(spec.table) for spec in SOURCES}
-    else:
-        raw = load_layer(spark, config, use_sample)
-    tables = {f"raw.{name}": df for name, df in raw.items()}
-    return tables if step == "load" else tables | build_layers(spark, config, raw)
+    refresh = Refresh(spark, config.root)
+    try:
+        if step == "build":
+            raw = {spec.table: refresh.read(f"raw/{spec.table}") for spec in SOURCES}
+        else:
+            raw = load_layer(refresh, config, use_sample)
+        tables = {f"raw.{name}": df for name, df in raw.items()}
+        if step != "load":
+            tables |= build_layers(refresh, config, raw)
+        if config.gate:
+            quality.require_clean(refresh_report(refresh, tables, config), config.allowed_checks)
+        refresh.publish()
+    except BaseException:
+        refresh.discard()
+        raise
+    return tables if step == "load" else tables | mart_tables(tables, config.as_of)
+
+
+def read_warehouse(
+    spark: SparkSession, config: WarehouseConfig, version: int | None = None
+) -> dict[str, DataFrame]:
+    """The published tables, as ``build_warehouse`` returns them."""
+    stored = read_tables(spark, config.root, version)
+    tables = {k.replace("raw/", "raw.").split("/")[-1]: df for k, df in stored.items()}
+    tables.pop("product_cost", None)
+    return tables | mart_tables(tables, config.as_of) if "fact_order" in tables else tables
 
 
 def load_summary(t: dict[str, DataFrame]) -> DataFrame:
@@ -227,8 +244,11 @@ def load_summary(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def register_views(tables: dict[str, DataFrame], prefix: str = "") -> None:
-    """Make tables and marts available to ``spark.sql`` under their names."""
-    for name, df in tables.items():
+    """Make tables, marts and exports available to ``spark.sql``; exports as ``export_<name>``."""
+    named = dict(tables)
+    if "kpi_revenue_totals" in tables:
+        named |= {f"export_{name}": df for name, df in exports.all_exports(tables).items()}
+    for name, df in named.items():
         df.createOrReplaceTempView(prefix + name.replace(".", "_"))
 
 

@@ -162,3 +162,50 @@ def test_require_clean(frame):
     with pytest.raises(quality.QualityError, match="t: a \\(3\\)"):
         quality.require_clean(report)
     quality.require_clean(report, allowed={"a"})
+
+
+KEYED = "order_id long, handle string, internal_sku string, customer_id long"
+
+
+@pytest.mark.parametrize("one_hash", [False, True])
+def test_declared_keys_in_two_steps(frame, monkeypatch, one_hash):
+    """Keys that share a hash are told apart; NULL keys never clash."""
+    from pyspark.sql import functions as F
+
+    if one_hash:
+        monkeypatch.setattr(quality.F, "xxhash64", lambda *c: F.lit(7).cast("bigint"))
+    orders = frame(KEYED, *[{"order_id": n} for n in (1, 2, 2, 3, 3, 3, None, None)])
+    products = frame(KEYED, {"handle": "a"}, {"handle": "b"}, {"handle": None})
+    skus = frame(KEYED, {"internal_sku": "x"}, {"internal_sku": "x"}, {"internal_sku": "X"})
+    tables = {"stg_orders": orders, "stg_products": products, "stg_product_sku_map": skus}
+    report = quality.unique_keys(tables)
+    assert report.columns == quality.REPORT_COLUMNS
+    assert {(r["table_name"], r["check_name"]): r["violations"] for r in report.collect()} == {
+        ("stg_orders", "duplicate order_id"): 2,
+        ("stg_products", "duplicate handle"): 0,
+        ("stg_product_sku_map", "duplicate internal_sku"): 1,
+    }
+    for name, df in tables.items():
+        single = quality.unique_key(df, name, schemas.UNIQUE_KEYS[name]).first()
+        assert single["violations"] == {r["table_name"]: r["violations"] for r in report.collect()}[name]
+
+
+def test_references_are_counted_together(frame):
+    child = "order_id long, order_date_key int, customer_key string, channel_key string, shipping_method_key string"
+    orders = frame(child, {"order_id": 1, "order_date_key": 5, "customer_key": "a"},
+                   {"order_id": 2, "order_date_key": 6, "customer_key": "a"},
+                   {"order_id": 3, "order_date_key": 6, "customer_key": "b", "channel_key": "x"}, {"order_id": 4})
+    tables = {
+        "fact_order": orders,
+        "dim_date": frame("date_key int", {"date_key": 5}),
+        "dim_customer": frame("customer_key string", {"customer_key": "b"}),
+        "dim_channel": frame("channel_key string"),
+        "stg_orders": frame("order_id long", {"order_id": 1}),
+        "stg_order_lines": frame("order_id long", *[{"order_id": 9}] * 3, {"order_id": 1}),
+        "fact_gsc_daily": frame("date_key int"),
+    }
+    assert counts(quality.referential(tables)) == {
+        "order_id without stg_orders": 3, "order_date_key without dim_date": 2,
+        "customer_key without dim_customer": 2, "channel_key without dim_channel": 1,
+        "date_key without dim_date": 0,
+    }
