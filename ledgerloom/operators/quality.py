@@ -188,7 +188,7 @@ def unique_keys(tables: dict[str, DataFrame]) -> DataFrame:
         )
         for i, (name, df) in enumerate(tables.items())
     ]
-    clashing = union(keys).join(again.select("t", "h"), ["t", "h"], "left_semi")
+    clashing = union(keys).join(again.select("t", "h"), ["t", "h"])
     dupes = clashing.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
     found = dupes.groupBy("t").agg(F.count("*").alias("found"))
     named = [
