@@ -142,16 +142,46 @@ def row_checks(table: str) -> dict[str, Column]:
     return {**checks, **declared_checks(table)}
 
 
-def rejected_values(raw: DataFrame, table: str, types: dict[str, str]) -> DataFrame:
-    """Filled text values that a lenient load would turn into NULL."""
-    return count_violations(
-        raw,
-        table,
-        {
-            f"{c} is not {t}": C.filled(F.col(c)) & F.col(c).try_cast(t).isNull()
-            for c, t in types.items()
-        },
-    )
+def malformed(table: str, columns: list[str]) -> dict[str, Column]:
+    """For each typed column of a raw table, whether a filled value is not of its type.
+
+    ``table`` is a key of ``schemas.RAW_TYPES``, with or without ``raw.`` before it.
+    """
+    table = table.removeprefix("raw.")
+    found = {}
+    for c, type_name in schemas.RAW_TYPES.get(table, {}).items():
+        if c not in columns:
+            continue
+        text = F.col(c)
+        if c in schemas.WITH_CURRENCY_SIGN:
+            text = C.bare_amount(text)
+        if (table, c) in schemas.WITH_PERCENT_SIGN:
+            text = F.replace(text, F.lit("%"), F.lit(""))
+        # A day has one spelling; other types take what a cast takes.
+        value = F.try_to_date(text, "yyyy-MM-dd") if type_name == "date" else text.try_cast(type_name)
+        found[c] = C.filled(text) & value.isNull()
+    return found
+
+
+def rejected_values(raw: DataFrame, table: str) -> DataFrame:
+    """Filled text values that a lenient load would turn into NULL, in a single pass."""
+    types = schemas.RAW_TYPES[table.removeprefix("raw.")]
+    checks = {f"{c} is not {types[c]}": bad for c, bad in malformed(table, raw.columns).items()}
+    return count_violations(raw, table, checks)
+
+
+def reject_reasons(table: str, columns: list[str]) -> Column:
+    """Why a raw row can't be typed: ``column is not type: value`` each; NULL if it can."""
+    types = schemas.RAW_TYPES.get(table.removeprefix("raw."), {})
+    found = [
+        F.when(bad, F.concat(F.lit(f"{c} is not {types[c]}: "), F.col(c)))
+        for c, bad in malformed(table, columns).items()
+    ]
+    none = F.lit(None).cast("array<string>")
+    if not found:
+        return none
+    reasons = F.array_compact(F.array(*found))
+    return F.when(F.size(reasons) > 0, reasons).otherwise(none)
 
 
 # ---- keys -----------------------------------------------------------------------------

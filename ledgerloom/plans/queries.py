@@ -278,9 +278,10 @@ def _pii(shop: Shop) -> DataFrame:
 
 
 def _rejected(shop: Shop) -> DataFrame:
-    """Text columns of the order export that are not what a typed load would expect."""
-    types = {"id": "bigint", "subtotal": C.MONEY, "lineitem_quantity": "int", "lineitem_name": "int"}
-    return quality.rejected_values(shop.raw_orders, "raw.orders", types)
+    """Values of every raw table that are not what a typed load expects."""
+    return quality.union(
+        [quality.rejected_values(getattr(shop, f"raw_{name}"), f"raw.{name}") for name in schemas.RAW_TYPES]
+    )
 
 
 def _weekly(shop: Shop) -> DataFrame:

@@ -14,6 +14,35 @@ RAW_ADS = [
 ]
 RAW_SEARCH = ["date", "clicks", "impressions", "ctr", "position"]
 
+# ---- types that staging gives the text columns of the raw tables -----------------------
+
+_MONEY, _RATE = "decimal(18,2)", "decimal(10,4)"
+RAW_TYPES = {
+    "orders": {
+        "id": "bigint", "subtotal": _MONEY, "shipping": _MONEY, "taxes": _MONEY, "total": _MONEY,
+        "discount_amount": _MONEY, "refunded_amount": _MONEY, "created_at": "timestamp",
+        "paid_at": "timestamp", "fulfilled_at": "timestamp", "cancelled_at": "timestamp",
+        "lineitem_quantity": "int", "lineitem_price": _MONEY, "lineitem_compare_at_price": _MONEY,
+        "lineitem_discount": _MONEY,
+    },
+    "products": {
+        "variant_price": _MONEY, "variant_compare_at_price": _MONEY, "variant_inventory_qty": "int",
+    },
+    "customers": {"id": "bigint", "customer_id": "bigint", "total_spent": _MONEY, "total_orders": "int"},
+    "product_sku_map": {"size_ml": "int"},
+    "material_costs": {"cost_per_unit": _RATE, "cost_per_ml": _RATE},
+    "recipes": {"batch_size_ml": "int", "percent": _RATE, "amount_ml": _RATE},
+    "meta_ads": {
+        "reach": "bigint", "frequency": _RATE, "impressions": "bigint", "cpm": _RATE,
+        "link_clicks": "bigint", "cpc": _RATE, "ctr": _RATE, "landing_page_views": "bigint",
+        "amount_spent": _MONEY,
+    },
+    "gsc_daily": {"date": "date", "clicks": "bigint", "impressions": "bigint", "position": _MONEY, "ctr": _MONEY},
+}
+# Columns whose text is cleaned before it is typed.
+WITH_CURRENCY_SIGN = {"amount_spent", "amount_spent_usd"}
+WITH_PERCENT_SIGN = {("gsc_daily", "ctr")}
+
 # ---- keys -----------------------------------------------------------------------------
 
 UNIQUE_KEYS = {

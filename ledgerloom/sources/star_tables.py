@@ -338,10 +338,16 @@ class Shop:
         )
         text = text.withColumn("copy", F.explode(copies))
         bare, no_id = F.col("copy") == "bare", F.col("copy") == "no id"
+        order = F.col("id").cast("bigint")
         text = text.withColumns(
             {
                 "id": F.when(no_id, "").otherwise(F.col("id")),
-                "subtotal": F.when(bare, "").otherwise(F.col("subtotal")),
+                # A row without an id holds text where numbers and times should be.
+                "subtotal": F.when(bare, "").when(no_id & (order % 5 == 0), "n/a").otherwise(F.col("subtotal")),
+                "created_at": F.when(no_id & (order % 3 == 0), "not recorded")
+                .when(no_id & (order % 3 == 1), "")
+                .otherwise(F.col("created_at")),
+                "lineitem_quantity": F.when(no_id & (order % 2 == 0), "two").otherwise(F.col("lineitem_quantity")),
                 "lineitem_name": F.when(bare, "").otherwise(F.col("lineitem_name")),
                 "billing_zip": F.concat(F.lit("'"), "billing_zip"),
                 "shipping_zip": F.concat(F.lit("'"), "shipping_zip"),
@@ -381,10 +387,36 @@ class Shop:
     def raw_recipes(self) -> DataFrame:
         return as_text(self.recipe_rows)
 
+    @cached_property
+    def ad_export(self) -> DataFrame:
+        """An advertising export as it arrives: human headers, money with signs, some ratios."""
+        def rate(units: str) -> str:
+            return f"CAST(({units}) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,4))"
+
+        rated = "campaign_name NOT IN ('click', 'view')"
+        cents = "CAST(amount_spent * 100 AS BIGINT)"
+        text = as_text(
+            self.ad_rows.selectExpr(
+                "* EXCEPT (amount_spent)",
+                "concat('$', format_number(amount_spent, 2)) AS amount_spent",
+                rate("IF(reach > 0, impressions * 10000 DIV reach, NULL)") + " AS frequency",
+                rate(f"IF({rated}, {cents} * 100000 DIV impressions, NULL)") + " AS cpm",
+                rate(f"IF({rated} AND link_clicks > 0, {cents} * 100 DIV link_clicks, NULL)") + " AS cpc",
+                rate(f"IF({rated}, link_clicks * 1000000 DIV impressions, NULL)") + " AS ctr",
+            )
+        )
+        headers = {
+            "campaign_name": "Campaign name", "amount_spent": "Amount spent (USD)", "link_clicks": "Link clicks",
+            "cpm": "CPM (cost per 1,000 impressions)", "cpc": "CPC (cost per link click)",
+            "ctr": "CTR (link click-through rate)", "landing_page_views": "Landing page views",
+        }
+        return text.select(*[F.col(c).alias(headers.get(c, c.capitalize())) for c in text.columns])
+
     @cached_property
     def raw_meta_ads(self) -> DataFrame:
-        money = F.concat(F.lit("$"), F.format_number("amount_spent", 2))
-        return as_text(self.ad_rows.withColumn("amount_spent", money))
+        from ledgerloom.sources.csv import ads_columns, normalise
+
+        return ads_columns(normalise(self.ad_export))
 
     @cached_property
     def raw_gsc_daily(self) -> DataFrame:

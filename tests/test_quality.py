@@ -135,8 +135,25 @@ def test_declared_rules(frame):
 
 
 def test_rejected_values(frame):
-    df = frame("n string", {"n": "1"}, {"n": ""}, {"n": "1,000"}, {"n": "x"})
-    assert counts(quality.rejected_values(df, "t", {"n": "int"})) == {"n is not int": 2}
+    schema = "date string, clicks string, impressions string, position string, ctr string"
+    rows = [
+        {"date": "2025-01-02", "clicks": "3", "impressions": "9", "position": "1.5", "ctr": "33.3%"},
+        {"date": "2 Jan", "clicks": "", "impressions": "many", "position": None, "ctr": "-"},
+        {"date": "2025-02-30", "clicks": "1e", "impressions": "9", "position": "1.5", "ctr": "%"},
+    ]
+    df = frame(schema, *rows)
+    assert counts(quality.rejected_values(df, "raw.gsc_daily")) == {
+        "date is not date": 2, "clicks is not bigint": 1, "impressions is not bigint": 1,
+        "position is not decimal(18,2)": 0, "ctr is not decimal(18,2)": 1,
+    }
+    reasons = [r["why"] for r in df.select(quality.reject_reasons("gsc_daily", df.columns).alias("why")).collect()]
+    assert reasons[0] is None
+    assert reasons[1] == [
+        "date is not date: 2 Jan", "impressions is not bigint: many", "ctr is not decimal(18,2): -"
+    ]
+    assert reasons[2] == ["date is not date: 2025-02-30", "clicks is not bigint: 1e"]
+    other = df.select(quality.reject_reasons("discounts", df.columns).alias("why")).collect()
+    assert [r["why"] for r in other] == [None] * 3
 
 
 def test_empty_tables(frame):
