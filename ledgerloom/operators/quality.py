@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions import columns as C
 from ledgerloom.operators import exports, marts
+from ledgerloom.sources.records import SURPLUS
 
 REPORT_COLUMNS = ["table_name", "check_name", "violations"]
 
@@ -27,7 +28,10 @@ MUST_HAVE_ROWS = [
 
 # Checks that describe the shop's data: they are reported and stop nothing.
 REPORTED_ONLY = frozenset(
-    {"subtotal differs", "total differs", "line sum differs", "line name without SKU", "cost flag wrong"}
+    {
+        "subtotal differs", "total differs", "line sum differs", "line name without SKU",
+        "cost flag wrong", "set aside",
+    }
 )
 
 
@@ -177,6 +181,8 @@ def reject_reasons(table: str, columns: list[str]) -> Column:
         F.when(bad, F.concat(F.lit(f"{c} is not {types[c]}: "), F.col(c)))
         for c, bad in malformed(table, columns).items()
     ]
+    if SURPLUS in columns:
+        found.append(F.when(C.filled(F.col(SURPLUS)), F.concat(F.lit("more fields than headers: "), F.col(SURPLUS))))
     none = F.lit(None).cast("array<string>")
     if not found:
         return none

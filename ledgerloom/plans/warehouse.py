@@ -20,6 +20,7 @@ from ledgerloom.operators import exports, facts, marts, quality, staging
 from ledgerloom.plans.versions import Refresh, read_tables
 from ledgerloom.session import configure
 from ledgerloom.sources.csv import stamp
+from ledgerloom.sources.records import SURPLUS
 from ledgerloom.sources.registry import SOURCES, ExportFolders, load_raw
 
 STEPS = ("load", "build", "all")
@@ -40,7 +41,9 @@ class WarehouseConfig:
     default_channel: str = facts.DEFAULT_CHANNEL
     # False gives NULL for malformed values instead of stopping.
     strict: bool = True
-    # Exports whose quoted fields hold no line breaks can be split over tasks.
+    # Set aside raw rows with malformed values, as ``rejected.<name>``, and load the others.
+    quarantine: bool = False
+    # Exports whose quoted fields hold no line breaks are read without an exchange.
     multiline: bool = True
     # Publish only if no check finds anything, but for those named.
     gate: bool = True
@@ -49,6 +52,9 @@ class WarehouseConfig:
     monthly: bool = True
 
 
+REASONS = "reject_reasons"
+
+# Tables whose files are ranges of these columns.
 LINE_ORDER = {
     "fact_order": ["order_id"],
     "fact_order_line": ["order_id", "line_number"],
@@ -59,10 +65,32 @@ LINE_ORDER = {
 def load_layer(
     refresh: Refresh, config: WarehouseConfig, use_sample: bool = False
 ) -> dict[str, DataFrame]:
-    raw = load_raw(refresh.spark, config.folders, use_sample, config.multiline)
+    """Raw tables on disk. With ``quarantine`` each row says why it can't be typed, if so; one
+    write holds both kinds."""
+    tables = {}
+    for name, df in load_raw(refresh.spark, config.folders, use_sample, config.multiline).items():
+        checks = quality.row_checks(f"raw.{name}")
+        if SURPLUS in df.columns:
+            checks["more fields than headers"] = C.filled(F.col(SURPLUS))
+        if config.quarantine:
+            df = df.withColumn(REASONS, quality.reject_reasons(name, df.columns))
+            # What is set aside is no violation of what is loaded.
+            kept = F.col(REASONS).isNull()
+            checks = {check: kept & bad for check, bad in checks.items()} | {"set aside": ~kept}
+        tables[name] = refresh.save(f"raw/{name}", df, checks, named=f"raw.{name}")
+    return tables
+
+
+def accepted_rows(raw: DataFrame) -> DataFrame:
+    return raw.where(F.col(REASONS).isNull()).drop(REASONS) if REASONS in raw.columns else raw
+
+
+def rejected_rows(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Raw rows set aside, with their reasons, as ``rejected.<name>``."""
     return {
-        name: refresh.save(f"raw/{name}", df, quality.row_checks(f"raw.{name}"), named=f"raw.{name}")
+        f"rejected.{name}": df.where(F.col(REASONS).isNotNull())
         for name, df in raw.items()
+        if REASONS in df.columns
     }
 
 
@@ -199,7 +227,8 @@ def build_warehouse(
             raw = {spec.table: refresh.read(f"raw/{spec.table}") for spec in SOURCES}
         else:
             raw = load_layer(refresh, config, use_sample)
-        tables = {f"raw.{name}": df for name, df in raw.items()}
+        tables = {f"raw.{name}": df for name, df in raw.items()} | rejected_rows(raw)
+        raw = {name: accepted_rows(df) for name, df in raw.items()}
         if step != "load":
             tables |= build_layers(refresh, config, raw)
         if config.gate:
@@ -218,6 +247,7 @@ def read_warehouse(
     stored = read_tables(spark, config.root, version)
     tables = {k.replace("raw/", "raw.").split("/")[-1]: df for k, df in stored.items()}
     tables.pop("product_cost", None)
+    tables |= rejected_rows({k.removeprefix("raw."): df for k, df in tables.items() if k.startswith("raw.")})
     return tables | mart_tables(tables, config.as_of) if "fact_order" in tables else tables
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import columns as C
+from ledgerloom.sources import records
 
 logger = logging.getLogger(__name__)
 
@@ -67,15 +68,22 @@ def stamp(df: DataFrame) -> DataFrame:
     return df.withColumn("loaded_at", F.current_timestamp())
 
 
-def read_export(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+def read_export(
+    spark: SparkSession, path: str | list[str], multiline: bool = True, surplus: bool = False
+) -> DataFrame:
     """Read comma-separated exports with a header line, every column as text.
 
-    Quoted fields may hold line breaks, which keeps one file in one task. Exports that
-    never do can be read with ``multiline=False`` so that large files are split.
+    Quoted fields may hold line breaks; large files are split over tasks all the same (see
+    ``records``). With ``surplus``, what a row has beyond the header is in ``surplus_field``.
+    Exports without line breaks can be read with ``multiline=False``, which needs no exchange
+    and knows no surplus.
     """
+    if multiline:
+        df = records.read_records(spark, path)
+        named = normalise(df.toDF(*records.header_of(spark, path), records.SURPLUS))
+        return named if surplus else named.drop(records.SURPLUS)
     df = (
         spark.read.option("header", True)
-        .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
         # Files of one source must agree in their header; another order of columns is an error.
@@ -85,24 +93,28 @@ def read_export(spark: SparkSession, path: str | list[str], multiline: bool = Tr
     return normalise(df)
 
 
-def read_optional(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame | None:
+def read_optional(
+    spark: SparkSession, path: str | list[str], multiline: bool = True, surplus: bool = False
+) -> DataFrame | None:
     """Like ``read_export``, but None when the path is absent or holds no data rows."""
     try:
-        df = read_export(spark, path, multiline)
+        df = read_export(spark, path, multiline, surplus)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         logger.warning("no file at %s", path)
         return None
-    if not df.columns or df.isEmpty():
+    if not set(df.columns) - {records.SURPLUS} or df.isEmpty():
         logger.warning("no rows in %s", path)
         return None
     return df
 
 
-def first_found(spark: SparkSession, paths: list[str], multiline: bool = True) -> DataFrame | None:
+def first_found(
+    spark: SparkSession, paths: list[str], multiline: bool = True, surplus: bool = False
+) -> DataFrame | None:
     for path in paths:
-        df = read_optional(spark, path, multiline)
+        df = read_optional(spark, path, multiline, surplus)
         if df is not None:
             return df
     return None
@@ -115,5 +127,5 @@ def empty(spark: SparkSession, names: list[str]) -> DataFrame:
 def ads_columns(df: DataFrame) -> DataFrame:
     """Keep the known columns of an advertising export under their short names."""
     renamed = df.withColumnsRenamed({k: v for k, v in ADS_COLUMNS.items() if k in df.columns})
-    known = [c for c in schemas.RAW_ADS if c in renamed.columns]
+    known = [c for c in [*schemas.RAW_ADS, records.SURPLUS] if c in renamed.columns]
     return renamed.select(*known)

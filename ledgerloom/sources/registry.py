@@ -82,7 +82,7 @@ def _load(
     spark: SparkSession, spec: SourceSpec, folders: ExportFolders, use_sample: bool, multiline: bool
 ) -> DataFrame:
     paths = _candidates(spec, folders, use_sample)
-    df = csv.first_found(spark, paths, multiline)
+    df = csv.first_found(spark, paths, multiline, surplus=True)
     if df is None:
         if spec.required:
             raise csv.MissingSource(f"{spec.table}: no rows in any of {paths}")
