@@ -96,7 +96,9 @@ class Shop:
         taxed = priced.selectExpr(
             "*",
             "CAST(subtotal * CAST(0.08 AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS taxes",
-            "CAST(IF(o_orderpriority IN ('1-URGENT', '2-HIGH'), 0, 4) AS DECIMAL(18,2)) AS shipping",
+            # Some orders are paid back their shipping, some more than they cost.
+            "CAST(CASE WHEN o_orderkey % 97 = 0 THEN -4 WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 0"
+            " ELSE 4 END AS DECIMAL(18,2)) AS shipping",
             "CAST(o_orderdate AS TIMESTAMP) AS created_at",
             "o_orderstatus = 'F' AS finished",
         )
@@ -135,7 +137,8 @@ class Shop:
             " AS total",
             "IF(o_orderpriority = '1-URGENT', 'RUSH5', NULL) AS discount_code",
             "discount_amount",
-            "CAST(IF(finished AND o_orderkey % 20 = 0, subtotal * CAST(0.5 AS DECIMAL(4,2)), 0)"
+            "CAST(IF(finished AND o_orderkey % 20 = 0,"
+            " subtotal * CAST(IF(o_orderkey % 60 = 0, 1.5, 0.5) AS DECIMAL(4,2)), 0)"
             " AS DECIMAL(18,2)) AS refunded_amount",
             "created_at",
             "IF(finished, created_at, NULL) AS paid_at",
@@ -184,9 +187,9 @@ class Shop:
 
     @cached_property
     def material_rows(self) -> DataFrame:
-        """Every supplier stands for a material; some have a blank id."""
+        """Every supplier stands for a material; some have a blank id, some a negative price."""
         key = F.col("s_suppkey")
-        balance = F.abs(_dec("s_acctbal", "decimal(12,2)"))
+        balance = F.abs(_dec("s_acctbal", "decimal(12,2)")) * F.when(key % 41 == 0, -1).otherwise(1)
         piece = key % 3 == 0
         return self.table("supplier").select(
             F.when(key % 37 == 5, "").otherwise(_text("MAT-", key)).alias("material_id"),
@@ -241,16 +244,18 @@ class Shop:
 
     @cached_property
     def customer_rows(self) -> DataFrame:
-        """Every customer; some profiles have a blank id."""
+        """Every customer; some profiles have a blank id, some another's, some odd texts."""
         key = F.col("c_custkey")
         return self.table("customer").select(
-            F.when(key % 9 != 0, key).alias("customer_id"),
+            F.when(key % 9 != 0, F.when(key % 50 == 8, key - 1).otherwise(key)).alias("customer_id"),
             F.lit("First").alias("first_name"),
-            F.col("c_name").alias("last_name"),
+            F.when(key % 60 == 11, F.repeat("c_name", F.lit(8))).otherwise(F.col("c_name")).alias("last_name"),
             _text("buyer", key, "@example.com").alias("email"),
             (key % 2 == 0).alias("accepts_email_marketing"),
             (key % 3 == 0).alias("accepts_sms_marketing"),
-            F.concat(F.lit("City "), (key % 100).cast("string")).alias("city"),
+            F.when(key % 80 == 3, _text("c/o buyer", key, "@example.com"))
+            .otherwise(_text("City ", key % 100))
+            .alias("city"),
             _text("P", "c_nationkey").alias("province"),
             _text("P", "c_nationkey").alias("province_code"),
             F.lit("US").alias("country"),
