@@ -14,11 +14,14 @@ _OWN_FOLDER: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where the setting is missing (tests, one machine), one temporary folder per process.
+    Where the setting is missing, one temporary folder per process; only on a single machine,
+    since executors elsewhere would each write to a disk of their own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not _OWN_FOLDER:
         _OWN_FOLDER.append(tempfile.mkdtemp(prefix="ledgerloom-"))
     return f"file://{_OWN_FOLDER[0]}"
