@@ -156,15 +156,16 @@ def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces, and the text that these are decoded to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("piece_bpe_32k.model")
-    ids = encode_documents(docs, path).select(
+    # Ids take the place of the text, and the decoded text that of the ids: nothing that is
+    # not needed any more goes through the tasks' Python and back.
+    ids = encode_documents(docs, path, out="text").withColumnRenamed("text", "ids").select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         "ids",
     )
-    return decode_documents(ids, path).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    decoded = decode_documents(ids, path, out="ids").withColumnRenamed("ids", "decoded")
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
