@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable, Hashable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +50,19 @@ def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def worker_tool(key: Hashable, make: Callable):
+    """What ``make`` returns, kept by this Python worker for all tasks that ask for ``key``.
+
+    A worker keeps one tool at a time: the next operator's tool takes the place of the last
+    one's, so that caches of several operators never add up.
+    """
+    shelf = sys.modules.setdefault("_ledgerloom_tool", types.ModuleType("_ledgerloom_tool")).__dict__
+    if shelf.get("held_key") != key:
+        shelf.pop("held", None)
+        shelf["held"], shelf["held_key"] = make(), key
+    return shelf["held"]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -8,6 +8,7 @@ blocks, so that the dictionary counts for all of it and not only for its beginni
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
-from ledgerloom.llm.common import free_names, text_of
+from ledgerloom.llm.common import free_names, text_of, worker_tool
 
 UNKNOWN = "und"
 LEVEL = 12
@@ -101,19 +102,18 @@ def language_of(
     """A struct of ``lang_pred``, ``score`` and ``rejected`` for a text column."""
     names = list(model.dictionaries)
     usual = np.array([-model.rows[n] for n in names])
-    held: list = []
+    digest = hashlib.sha256(repr(sorted(model.dictionaries.items())).encode()).hexdigest()
 
     @F.pandas_udf(_RESULT)
     def classify(texts: pd.Series) -> pd.DataFrame:
-        if not held:
-            held.append(_sizes(model))
+        sizes = worker_tool(("languages", digest), lambda: _sizes(model))
         out = []
         for text in texts:
             reduced = words_only(text)
             if not reduced or not names:
                 out.append((UNKNOWN, 0.0, True))
                 continue
-            size = np.array(held[0](reduced))
+            size = np.array(sizes(reduced))
             order = np.lexsort((usual, size))  # equal sizes: the more usual language
             margin = 1.0 if len(names) == 1 else 1 - size[order[0]] / size[order[1]]
             rejected = margin < narrow and len(reduced) >= least_bytes

@@ -14,8 +14,6 @@ so every packing is a task of bounded size, and at most its last sequence is far
 
 from __future__ import annotations
 
-import sys
-import types
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.llm.common import free_names, stored, text_of
+from ledgerloom.llm.common import free_names, stored, text_of, worker_tool
 
 GROUP_PIECES = 8192
 KEPT_WORDS = 600_000
@@ -84,14 +82,13 @@ def text_encoder(path: str, end_id: int):
             text = text.encode().decode("latin-1").translate(letters)
         return _packed([t.id for t in model.tokenize(text)])
 
-    parts = Kept(part, KEPT_WORDS)
-
     def word(text: str) -> bytes:
         if text.isalpha():
-            return parts[text]
+            return part(text)
         if text[:-1].isalpha() and text[-1] in ".,":
-            return parts[text[:-1]] + parts[text[-1]]
-        return b"".join(map(parts.__getitem__, divide(text)))
+            return plain[text[:-1]] + plain[text[-1]]
+        pieces = divide(text)
+        return b"".join(map(plain.__getitem__, pieces)) if len(pieces) > 1 else b"".join(map(part, pieces))
 
     plain = Kept(word, KEPT_WORDS)
     other = Kept(lambda text: _packed(tokenizer.encode(text, add_special_tokens=False).ids), KEPT_WORDS)
@@ -104,14 +101,6 @@ def text_encoder(path: str, end_id: int):
     return ids
 
 
-def _worker_encoder(path: str, end_id: int):
-    """The encoder of this Python worker: it serves all tasks that the worker runs."""
-    shelf = sys.modules.setdefault("_ledgerloom_encoders", types.ModuleType("_ledgerloom_encoders"))
-    if (path, end_id) not in shelf.__dict__:
-        shelf.__dict__[path, end_id] = text_encoder(path, end_id)
-    return shelf.__dict__[path, end_id]
-
-
 def token_pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -131,7 +120,8 @@ def token_pieces(
     ) + (", ids array<int>" if keep_ids else "")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = _worker_encoder(tokenizer_path, end_id)
+        key = ("encoder", tokenizer_path, end_id)
+        ids_of = worker_tool(key, lambda: text_encoder(tokenizer_path, end_id))
         for batch in batches:
             rows = []
             for at, text in enumerate(batch["text"]):
