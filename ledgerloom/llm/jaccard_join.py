@@ -16,10 +16,12 @@ Documents link when their sets of five-word shingles have a Jaccard similarity o
    before any pair is made, pairs that share fewer before they are looked at.
 3. Candidate pairs whose sizes or parity bitmaps rule the similarity out are dropped. Among
    the classes of a key the smallest is the leader. Each class is verified against its
-   best leader, then against its other leaders in other components, and last, where a key
-   still holds several components, every two classes of different components. Pairs inside a
-   component are not needed: they can't change it. So a large group of near copies costs one
-   comparison for each member, and no pair that could join two components is left out.
+   best leader, then against its other leaders in other components. Where a key still holds
+   several components, every two classes of different components are compared by bitmaps
+   inside tasks; twice only each class's likest partner goes on, then all that can be. Pairs
+   inside a component are not needed: they can't change it. So a large group of near copies
+   costs one comparison for each member, and no pair that could join two components is left
+   out.
 
 Frequency decides about the size of the index only, never about results. It is counted over
 all documents by lossy counting: each task counts its shingles and reports those that reach
@@ -35,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import free_names, small, stored
+from ledgerloom.llm.common import free_names, small, stored, worker_tool
 from ledgerloom.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -43,6 +45,7 @@ FREQUENT_SHARE = 1 / 1000  # of all classes
 FREQUENT_TOKENS = 1 << 18  # at most so many are broadcast, the most frequent ones (2 MB)
 BLOCK_TOKENS = 4_000_000
 SLICES = 64
+BLOCK_CLASSES = 1024
 _DESCRIBED = "kind int, id bigint, hash bigint, n bigint, s1 bigint, s2 bigint, bits array<bigint>"
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -51,9 +54,11 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = value
         return value
 
 
@@ -108,7 +113,7 @@ def _describe(share: float):
     (kind 1)."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = shingle_sets()
+        of = worker_tool("shingles", shingle_sets)
         names = ["kind", "id", "hash", "n", "s1", "s2", "bits"]
         block: dict[int, np.ndarray] = {}
         held = 0
@@ -177,7 +182,7 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nd
 
 def _index(frequent: np.ndarray, percent: int):
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of, done = shingle_sets(), set()
+        of, done = worker_tool("shingles", shingle_sets), set()
         for batch in batches:
             keys, names = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
             for text in batch["text"]:
@@ -201,42 +206,45 @@ def _index(frequent: np.ndarray, percent: int):
 def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b: names of classes) that are similar.
 
-    The sets of all b of one a meet its set in slices of a few hundred, each set being sent
-    once for each of its pairs; a slice is a run of sorted rows and is never held.
+    The sets of all classes in question are made once and stored. The sets of all b of one a
+    meet its set in slices of a few hundred, each set being sent once for each of its pairs; a
+    slice is a run of sorted rows and is never held.
     """
-    sliced = pairs.join(
-        stored(pairs.groupBy(F.col("a").alias("_a")).agg(F.count("*").alias("_n")), "join-slices"), F.col("a") == F.col("_a")
-    )
+    counts = pairs.groupBy(F.col("a").alias("_a")).agg(F.count("*").alias("_n"))
+    sliced = pairs.join(stored(counts, "join-slices"), F.col("a") == F.col("_a"))
     count = F.least(F.lit(4096), F.ceil(F.col("_n") / 256))
     sliced = sliced.select("a", "b", F.pmod("b", count).cast("int").alias("slice"))
-    need = sliced.select(F.col("b").alias("sid"), "a", "slice", F.lit(1).alias("role")).unionByName(
-        sliced.select(F.col("a").alias("sid"), "a", "slice", F.lit(0).alias("role")).distinct()
+    places = sliced.select(F.col("b").alias("_sid"), "a", "slice", F.lit(1).alias("role")).unionByName(
+        sliced.select(F.col("a").alias("_sid"), "a", "slice", F.lit(0).alias("role")).distinct()
     )
-    need = need.groupBy("sid").agg(F.collect_list(F.struct("a", "slice", "role")).alias("places"))
-    need = need.join(reps.select("s1", "rep", "rep_hash"), F.col("sid") == F.col("s1"))
-    need = small(stored(need.select("rep", "rep_hash", "sid", "places"), "join-need"))
+    places = stored(places, "join-places")
+    need = places.select("_sid").distinct().join(reps.select("s1", "rep", "rep_hash"), F.col("_sid") == F.col("s1"))
+    need = small(stored(need.select("rep", "rep_hash", F.col("s1").alias("sid")), "join-need"))
     same = (docs["doc_id"] == need["rep"]) & (docs["hash"] == need["rep_hash"])
-    texts = docs.join(need, same).select("sid", "places", "text")
-    schema = "a bigint, slice int, role int, sid bigint, tokens binary"
+    texts = docs.join(need, same).select("sid", "text")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of, done = shingle_sets(), set()
+        of, done = worker_tool("shingles", shingle_sets), set()
         for batch in batches:
             rows, size = [], 0
-            for sid, places, text in zip(batch["sid"], batch["places"], batch["text"], strict=True):
+            for sid, text in zip(batch["sid"], batch["text"], strict=True):
                 tokens = of(text)
                 if sid in done or _set_name(tokens)[0] != sid:  # a repeated row, another text with these hashes
                     continue
                 if len(done) > 1_000_000:
                     done.clear()
                 done.add(sid)
-                for p in places:
-                    rows.append((p["a"], p["slice"], p["role"], sid, tokens.tobytes()))
-                    size += tokens.nbytes
+                rows.append((sid, tokens.tobytes()))
+                size += tokens.nbytes
                 if size > 16_000_000:
-                    yield pd.DataFrame(rows, columns=["a", "slice", "role", "sid", "tokens"])
+                    yield pd.DataFrame(rows, columns=["sid", "tokens"])
                     rows, size = [], 0
-            yield pd.DataFrame(rows, columns=["a", "slice", "role", "sid", "tokens"])
+            yield pd.DataFrame(rows, columns=["sid", "tokens"])
+
+    # Tasks that meet copies of a text each send its set: one of them stays.
+    made = texts.mapInPandas(sets, "sid bigint, tokens binary").groupBy("sid").agg(F.first("tokens").alias("tokens"))
+    made = stored(made, "join-tokens")
+    dealt = places.join(made, F.col("_sid") == F.col("sid")).select("a", "slice", "role", "sid", "tokens")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         leader, first = None, np.empty(0, dtype=np.uint64)
@@ -256,7 +264,7 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int)
                         found.append((a, sid))
             yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
-    dealt = texts.mapInPandas(sets, schema).repartition("a", "slice").sortWithinPartitions("a", "slice", "role")
+    dealt = dealt.repartition("a", "slice").sortWithinPartitions("a", "slice", "role")
     return stored(dealt.mapInPandas(compare, "a bigint, b bigint"), "join-links")
 
 
@@ -345,30 +353,17 @@ def _linked(named: DataFrame, percent: int, share: float) -> DataFrame:
         of = _components(links)
 
     # What is left: two classes of a key, none of them its leader, in different components.
-    rows = shared.select("key", "sid", "size").join(of, F.col("sid") == F.col("node"), "left")
-    rows = stored(rows.select("key", "sid", "size", F.coalesce("component", "sid").alias("of")), "join-rest")
-    open_ = rows.groupBy("key").agg(F.min("of").alias("_a"), F.max("of").alias("_b")).where("_a <> _b")
-    rows = rows.join(stored(open_.select(F.col("key").alias("_key")), "join-open"), F.col("key") == F.col("_key")).drop("_key")
-    rows = stored(rows, "join-rest")
-    if not rows.isEmpty():
-        left = rows.select("key", F.col("sid").alias("a"), F.col("of").alias("of_a"), F.col("size").alias("na"))
-        right = rows.select(
-            F.col("key").alias("_key"), F.col("sid").alias("b"), F.col("of").alias("of_b"), F.col("size").alias("nb")
-        )
-        like = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        rest = left.join(right, (F.col("key") == F.col("_key")) & (F.col("of_a") < F.col("of_b")) & like)
-        rest = rest.groupBy(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("na", "nb").alias("n")
-        ).agg(F.count("*").alias("keys"))
-        rest = rest.where(F.col("keys") > _spare(F.col("n"))).select("a", "b").distinct()
-        known = ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        rest = _possible(rest.join(known, ["a", "b"], "left_anti"), reps, percent)
-        rest = stored(rest.select("a", "b"), "join-rest")
+    known = ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # Each class meets its likest one of every key first: that joins most of what is near.
+    for best_only in (True, True, False):
+        rest = _unlike(_open_keys(shared, of), reps, percent, best_only).join(known, ["a", "b"], "left_anti")
+        rest = stored(rest, "join-rest")
         if not rest.isEmpty():
-            links = links.unionByName(_verified(named, reps, rest, percent))
+            links, known = links.unionByName(_verified(named, reps, rest, percent)), known.unionByName(rest)
+            of = _components(links)
 
     # From classes to documents. Components are of classes: one id may be in several.
-    joined = _components(links)
+    joined = of
     ids = reps.select("s1", "rep")
     firsts = joined.join(ids, F.col("node") == F.col("s1")).groupBy("component").agg(F.min("rep").alias("first"))
     joined = joined.join(firsts.withColumnRenamed("component", "_c"), F.col("component") == F.col("_c")).drop("_c")
@@ -397,6 +392,145 @@ def _led(index: DataFrame, *more: str) -> DataFrame:
     return led.where((F.col("leader") != F.col("last")) | (F.col("key") % 2 != 0)).drop("last")
 
 
+def _open_keys(shared: DataFrame, of: DataFrame) -> DataFrame:
+    """``key, sid, size, of, times`` for the keys whose classes lie in several components.
+
+    Keys with the same classes (the shingles of one passage) become one that counts ``times``:
+    they are told by the number of their classes and a sum over hashes of them.
+    """
+    rows = shared.select("key", "sid", "size").join(of, F.col("sid") == F.col("node"), "left")
+    rows = stored(rows.select("key", "sid", "size", F.coalesce("component", "sid").alias("of")), "join-placed")
+    # A sum of numbers below 2^54 can't overflow; two of them are as good as one of 108 bits.
+    one, two = (F.shiftrightunsigned(F.xxhash64("sid", F.lit(seed)), 10).cast("decimal(38,0)") for seed in (1, 2))
+    keys = rows.groupBy("key").agg(
+        F.min("of").alias("low"),
+        F.max("of").alias("high"),
+        F.count("*").alias("rows"),
+        F.sum(one).alias("one"),
+        F.sum(two).alias("two"),
+    )
+    keys = keys.where("low <> high").groupBy("rows", "one", "two")
+    keys = keys.agg(F.min("key").alias("_key"), F.count("*").alias("times"), F.max("rows").alias("in_key"))
+    keys = stored(keys.select("_key", "times", "in_key"), "join-open")
+    kept = rows.join(keys, F.col("key") == F.col("_key")).drop("_key")
+    return stored(kept, "join-open-rows")
+
+
+def _unlike(rows: DataFrame, reps: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """Pairs (a, b) of classes of one key, in different components, whose sizes, bitmaps and
+    number of shared keys allow the similarity.
+
+    All classes of a key are compared, but inside tasks and by bitmaps of a bit or two a token;
+    only pairs that pass become rows; with ``best_only`` each class's likest in a cell. A key of many classes is cut into blocks of ``BLOCK_CLASSES``
+    of them, each two of which are one cell: a task holds two blocks at a time.
+    """
+    words = F.col("bits")
+    half = (F.size(words) / 2).cast("int")
+    folded = F.zip_with(F.slice(words, F.lit(1), half), F.slice(words, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    short = reps.select(F.col("s1").alias("_s1"), F.when(F.size(words) > 1, folded).otherwise(words).alias("bits"))
+    needed = rows.select(F.col("sid").alias("_sid")).distinct()
+    short = stored(short.join(needed, F.col("_s1") == F.col("_sid"), "left_semi"), "join-bits")
+    rows = rows.join(short, F.col("sid") == F.col("_s1")).drop("_s1")
+    blocks = F.ceil(F.col("in_key") / BLOCK_CLASSES).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int"))
+    cells = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_other")
+    rows = rows.select("key", "sid", "size", "of", "times", "bits", "block", cells)
+    rows = rows.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
+    rows = rows.drop("_other").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    found = rows.mapInPandas(_compared(percent, best_only), "a bigint, b bigint, n bigint, times bigint")
+    found = found.groupBy("a", "b").agg(F.first("n").alias("n"), F.sum("times").alias("keys"))
+    if not best_only:  # a pair is the likest of some of its keys only
+        found = found.where(F.col("keys") > _spare(F.col("n")))
+    return found.select("a", "b")
+
+
+def _compared(percent: int, best_only: bool):
+    """Pairs of the rows of a cell that sizes and bitmaps allow. Rows come in the order of cells."""
+    numbers = ["block", "size", "of", "times", "sid"]
+
+    def matched(x: np.ndarray, one: np.ndarray, y: np.ndarray, other: np.ndarray, same: bool) -> Iterator[np.ndarray]:
+        """Rows of ``x`` with rows of ``y``, whose bitmaps are as long or twice as long."""
+        width = one.shape[1]
+        if other.shape[1] > width:
+            other = other[:, :width] ^ other[:, width:]
+        step = max(1, 1_000_000 // (len(y) * width))
+        for at in range(0, len(x), step):
+            part = x[at : at + step]
+            little, much = np.minimum.outer(part[:, 1], y[:, 1]), np.maximum.outer(part[:, 1], y[:, 1])
+            allowed = (part[:, 2, None] != y[:, 2]) & (100 * little >= percent * much)
+            if same:
+                allowed &= np.arange(len(y)) > np.arange(at, at + len(part))[:, None]
+            i, j = np.nonzero(allowed)
+            if not len(i):
+                continue
+            little, total = little[i, j], (little + much)[i, j]
+            # Unsigned: of negative numbers the bits of the absolute value would be counted.
+            apart = np.bitwise_count(one[at + i] ^ other[j]).sum(axis=1, dtype=np.int64)
+            near = (100 + percent) * (total - apart) >= 2 * percent * total
+            i, j, little, unlike = i[near], j[near], little[near], (apart / total)[near]
+            if best_only and len(i):
+                order = np.lexsort((unlike, i))
+                order = order[np.flatnonzero(np.diff(i[order], prepend=-1))]
+                i, j, little = i[order], j[order], little[order]
+            a, b = part[i, 4], y[j, 4]
+            yield np.stack([np.minimum(a, b), np.maximum(a, b), little, part[i, 3]], axis=1)
+
+    def of_width(rows: np.ndarray, bits: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        wide = np.fromiter(map(len, bits), dtype=np.int64, count=len(bits))
+        return {
+            w: (rows[wide == w], np.concatenate(bits[wide == w].tolist()).view(np.uint64).reshape(-1, w))
+            for w in np.unique(wide).tolist()
+        }
+
+    def cell(low: int, high: int, held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
+        rows = np.concatenate([r for r, _ in held])
+        bits = np.concatenate([b for _, b in held])
+        at = rows[:, 0]
+        left = of_width(rows[at == low], bits[at == low])
+        right = left if low == high else of_width(rows[at == high], bits[at == high])
+        for wide, x in left.items():
+            if wide in right:
+                yield from matched(*x, *right[wide], low == high)
+            if 2 * wide in right:
+                yield from matched(*x, *right[2 * wide], False)
+        if low != high:
+            for wide, y in right.items():
+                if 2 * wide in left:
+                    yield from matched(*y, *left[2 * wide], False)
+
+    def frame(found: list[np.ndarray]) -> pd.DataFrame:
+        """The pairs found so far, each once, with the sum of its times."""
+        out = pd.DataFrame(np.concatenate([np.empty((0, 4), dtype=np.int64), *found]), columns=["a", "b", "n", "times"])
+        return out.groupby(["a", "b", "n"], as_index=False)["times"].sum() if len(out) else out
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        found: list[np.ndarray] = []
+        at, size = None, 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            ids, rows = batch[["key", "low", "high"]].to_numpy(np.int64), batch[numbers].to_numpy(np.int64)
+            bits = batch["bits"].to_numpy()
+            cuts = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(batch)], strict=True):
+                here = tuple(ids[start].tolist())
+                if here != at:
+                    for pairs in cell(at[1], at[2], held) if held else ():
+                        found.append(pairs)
+                        size += len(pairs)
+                        if size >= 500_000:
+                            yield frame(found)
+                            found, size = [], 0
+                    held, at = [], here
+                held.append((rows[start:end], bits[start:end]))
+        if held:
+            found.extend(cell(at[1], at[2], held))
+        yield frame(found)
+
+    return compare
+
+
 def _possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and bitmaps allow the similarity: most chance neighbours go here.
 
