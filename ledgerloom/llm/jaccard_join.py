@@ -437,11 +437,11 @@ def _unlike(rows: DataFrame, reps: DataFrame, percent: int, best_only: bool) ->
     rows = rows.select("key", "sid", "size", "of", "times", "bits", "block", cells)
     rows = rows.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
     rows = rows.drop("_other").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    found = rows.mapInPandas(_compared(percent, best_only), "a bigint, b bigint, n bigint, times bigint")
-    found = found.groupBy("a", "b").agg(F.first("n").alias("n"), F.sum("times").alias("keys"))
-    if not best_only:  # a pair is the likest of some of its keys only
-        found = found.where(F.col("keys") > _spare(F.col("n")))
-    return found.select("a", "b")
+    lists = "a bigint, b array<bigint>, n array<bigint>, times array<bigint>"
+    found = rows.mapInPandas(_compared(percent, best_only), lists)
+    found = found.repartition("a").sortWithinPartitions("a")
+    # A pair is the likest of some of its keys only, so keys count where all pairs are told.
+    return found.mapInPandas(_merged(not best_only), "a bigint, b bigint")
 
 
 def _compared(percent: int, best_only: bool):
@@ -499,9 +499,11 @@ def _compared(percent: int, best_only: bool):
                     yield from matched(*y, *left[2 * wide], False)
 
     def frame(found: list[np.ndarray]) -> pd.DataFrame:
-        """The pairs found so far, each once, with the sum of its times."""
-        out = pd.DataFrame(np.concatenate([np.empty((0, 4), dtype=np.int64), *found]), columns=["a", "b", "n", "times"])
-        return out.groupby(["a", "b", "n"], as_index=False)["times"].sum() if len(out) else out
+        """The pairs found so far, as one list of partners for each class."""
+        rows = _summed(np.concatenate([np.empty((0, 4), dtype=np.int64), *found]))
+        first = np.flatnonzero(np.diff(rows[:, 0], prepend=rows[:1, 0] ^ 1))
+        lists = {name: np.split(rows[:, k], first[1:]) if len(rows) else [] for k, name in enumerate("abnt")}
+        return pd.DataFrame({"a": rows[first, 0], "b": lists["b"], "n": lists["n"], "times": lists["t"]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -531,6 +533,49 @@ def _compared(percent: int, best_only: bool):
     return compare
 
 
+def _summed(rows: np.ndarray) -> np.ndarray:
+    """Rows of (a, b, n, times), each pair once, in order, with the sum of its times."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    if not len(rows):
+        return rows
+    first = np.flatnonzero(np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
+    times = np.add.reduceat(rows[:, 3], first)
+    rows = rows[first]
+    rows[:, 3] = times
+    return rows
+
+
+def _merged(counted: bool):
+    """Each pair once, from sorted lists of partners; with ``counted`` those that share more keys
+    than are spare. One class's partners are held at a time."""
+
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []
+        last, size = None, 0
+
+        def told() -> np.ndarray:
+            rows = _summed(np.concatenate(held))
+            spares = np.where(rows[:, 2] >= 16, rows[:, 2] // 8, 0)
+            return rows[rows[:, 3] > spares, :2] if counted else rows[:, :2]
+
+        for batch in batches:
+            out = [np.empty((0, 2), dtype=np.int64)]
+            for a, b, n, times in zip(batch["a"], batch["b"], batch["n"], batch["times"], strict=True):
+                if a != last and held:
+                    out.append(told())
+                    held, size = [], 0
+                last, size = a, size + len(b)
+                held.append(np.stack([np.full(len(b), a), b, n, times], axis=1))
+                if size > 1_000_000:
+                    held = [_summed(np.concatenate(held))]
+                    size = 0
+            yield pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+        if held:
+            yield pd.DataFrame(told(), columns=["a", "b"])
+
+    return merged
+
+
 def _possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and bitmaps allow the similarity: most chance neighbours go here.
 
