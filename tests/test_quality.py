@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from decimal import Decimal as Dec
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators import exports, quality
@@ -171,6 +173,21 @@ def test_personal_data(frame):
         exports.whole(with_email, "t")
 
 
+def test_address_search_is_linear(frame):
+    """A text of one long word, without an @ or with one at its end, is not searched from each place."""
+    long = "a" * 400_000
+    cases = {
+        "me@here.com": True, "a@b.c": True, "x@@b.c": False, "a@.c": False, "a@b.": False, "@b.c": False,
+        "a @b.c": False, "a@b c.d": False, "a@b@c.d": True, "a@b..c": True, "": False, long: False,
+        long + "@": False, long + "@b.c": True,
+    }
+    df = frame("n int, t string", *[{"n": i, "t": t} for i, t in enumerate(cases)], {"n": len(cases)})
+    started = time.monotonic()
+    rows = df.select("n", quality.looks_like_address(F.col("t")).alias("found")).orderBy("n").collect()
+    assert [r["found"] for r in rows] == [*cases.values(), None]
+    assert time.monotonic() - started < 20
+
+
 def test_require_clean(frame):
     report = frame(
         "table_name string, check_name string, violations long",
