@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.hotkeys import busy_keys, join_busy, rows_per_key
+from ledgerloom.functions.hotkeys import busy_keys, find_busy, join_busy, rows_per_key
 from ledgerloom.operators import dimensions as D
 from ledgerloom.operators import facts, marts, staging
 from ledgerloom.plans import queries
@@ -169,6 +169,22 @@ def test_dedupe_cuts_groups_before_the_exchange(spark):
     assert re.search(r"Exchange hashpartitioning\(id.*\n.*WindowGroupLimit .*Partial", before_exchange)
 
 
+def test_repeated_orders_are_one_row_before_they_are_sorted(spark):
+    shop = Shop(spark, FOLDER)
+    plan = initial_plan(staging.stg_orders(shop.raw_orders))
+    assert re.search(r"HashAggregate\(keys=\[id#", plan[plan.index("Partial"):])
+    row = shop.raw_orders.where("id <> '' AND subtotal <> ''").limit(1)
+    repeated = row.unionByName(row).unionByName(row.withColumn("subtotal", F.lit("")))
+    assert staging.stg_orders(repeated).collect() == staging.stg_orders(row).collect()
+
+
+def test_export_writes_orders_before_they_meet_lines(spark):
+    """Orders become text and are repeated below the join with their lines."""
+    plan = initial_plan(Shop(spark, FOLDER).order_export)
+    assert re.search(r"Join \[order#\S+\], \[order#\S+\], LeftOuter", plan)
+    assert plan.index("LeftOuter") < plan.index("Generate explode") and plan.count("Generate explode") == 1
+
+
 def test_scans_read_needed_columns_only(spark, tmp_path):
     shop = Shop(spark, FOLDER)
     shop.fact_order.write.parquet(str(tmp_path / "fact_order"))
@@ -241,3 +257,26 @@ def test_hot_recipe_material_and_handle_give_the_same_rows(spark):
     same(products, D.dim_product(skus, shop, shares=10**4))
     few = products.select("product_key", "recipe_id", "size_ml")
     same(facts.product_ingredients(few, costs, 1), facts.product_ingredients(few, costs, 8))
+
+
+def test_busy_keys_are_found_by_bucket(spark):
+    """The same keys as by counting each, NULL among them; keys that come a few times are not shuffled."""
+    lines = skewed_lines(spark).withColumn("order_id", F.when(F.col("order_id") != 7, F.col("order_id")))
+    for keys in (["order_id"], ["order_id", "lineitem_name"]):
+        for shares in (6, 8192):
+            want = busy_keys(rows_per_key(lines, keys), keys, shares)
+            got = find_busy(lines, keys, shares)
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    many = spark.range(200_000).selectExpr("id % 100000 AS k")
+    within = find_busy(many, ["k"])
+    assert within.collect() == []
+    assert "_bucket" in initial_plan(join_busy(many, many.distinct(), ["k"], ["k"]))
+
+
+def test_facts_number_only_the_columns_they_use(spark):
+    shop = Shop(spark, FOLDER)
+    plan = initial_plan(shop.fact_order_line)
+    scans = re.findall(r"FileScan parquet \[([^]]*)\]", plan)
+    assert not any("l_suppkey" in s or "l_linestatus" in s for s in scans)
+    want = facts.fact_order_line(shop.stg_order_lines, shop.fact_order, shop.product_costs)
+    same(want, shop.fact_order_line)
