@@ -46,46 +46,68 @@ FREQUENT_TOKENS = 1 << 18  # at most so many are broadcast, the most frequent on
 BLOCK_TOKENS = 4_000_000
 SLICES = 64
 BLOCK_CLASSES = 1024
+FIRST_KEYS = 4  # of each class, where only its likest partner is looked for
 _DESCRIBED = "kind int, id bigint, hash bigint, n bigint, s1 bigint, s2 bigint, bits array<bigint>"
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 300_000:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _M1
     x = (x ^ (x >> np.uint64(27))) * _M2
     return x ^ (x >> np.uint64(31))
 
 
+_LONG = 64  # bytes; longer words are hashed one by one
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+# A number for each byte at each place of a word, none for white space behind it.
+_PLACED = _mixed(_mixed(np.arange(1, _LONG * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+_PLACED = np.where(_BLANK, np.uint64(0), _PLACED.reshape(_LONG, 256)).ravel()
+
+
+def _word_hashes(data: bytes) -> np.ndarray:
+    """64 bits for each run of other bytes than ASCII white space: the sum of its bytes' numbers
+    at their places. Words are met all at once, 50,000 at a time."""
+    import xxhash
+
+    raw = np.frombuffer(data, dtype=np.uint8)
+    blank = np.concatenate([[True], _BLANK[raw], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    for at in range(0, len(starts), 50_000):
+        here = slice(at, at + 50_000)
+        part = raw[starts[at] : ends[here][-1]]
+        first = starts[here] - starts[at]
+        place = np.arange(len(part)) - np.repeat(first, np.diff(first, append=len(part)))
+        hashes[here] = np.add.reduceat(_PLACED[np.minimum(place, _LONG - 1) * 256 + part], first)
+    for k in np.flatnonzero(ends - starts > _LONG):
+        hashes[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]])
+    return hashes
+
+
+def _distinct(tokens: np.ndarray) -> np.ndarray:
+    tokens.sort()
+    return tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])[: len(tokens)]]
+
+
 def shingle_sets(words_in_shingle: int = SHINGLE_WORDS):
     """A function from a text to its set of shingles: distinct 64-bit hashes, in order.
 
     Words are runs of other bytes than ASCII white space, A to Z in lower case: what the
     methods of bytes do. A text with fewer words is one shingle.
     """
-    hashes = _WordHashes()
 
     def of(text: str | None) -> np.ndarray:
-        words = text.encode().lower().split() if text else []
-        if not words:
+        h = _word_hashes(text.encode().lower()) if text else ()
+        if not len(h):
             return np.empty(0, dtype=np.uint64)
-        h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+        words = min(len(h), words_in_shingle)
         runs = max(1, len(h) - words_in_shingle + 1)
-        x = np.full(runs, min(len(h), words_in_shingle), dtype=np.uint64)
-        for k in range(min(len(h), words_in_shingle)):
-            x = _mixed(x) + h[k : k + runs]
-        return np.unique(_mixed(x))
+        x = np.full(runs, words, dtype=np.uint64)
+        for k in range(words):
+            x = x * _M1 + h[k : k + runs]
+        return _distinct(_mixed(x))
 
     return of
 
@@ -195,7 +217,7 @@ def _index(frequent: np.ndarray, percent: int):
                 if len(done) > 1_000_000:
                     done.clear()
                 done.add(s1)
-                found = np.unique(prefix_keys(tokens, frequent, percent))
+                found = _distinct(prefix_keys(tokens, frequent, percent))
                 keys.append(found)
                 names.append(np.full(len(found), s1))
             yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "sid": np.concatenate(names)})
@@ -206,9 +228,9 @@ def _index(frequent: np.ndarray, percent: int):
 def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b: names of classes) that are similar.
 
-    The sets of all classes in question are made once and stored. The sets of all b of one a
-    meet its set in slices of a few hundred, each set being sent once for each of its pairs; a
-    slice is a run of sorted rows and is never held.
+    The texts of all b of one a meet its text in slices of a few hundred, each text being sent
+    once for each of its pairs, which is a fraction of what its set takes; sets are made where
+    they are compared. A slice is a run of sorted rows and is never held.
     """
     counts = pairs.groupBy(F.col("a").alias("_a")).agg(F.count("*").alias("_n"))
     sliced = pairs.join(stored(counts, "join-slices"), F.col("a") == F.col("_a"))
@@ -218,40 +240,23 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int)
         sliced.select(F.col("a").alias("_sid"), "a", "slice", F.lit(0).alias("role")).distinct()
     )
     places = stored(places, "join-places")
-    need = places.select("_sid").distinct().join(reps.select("s1", "rep", "rep_hash"), F.col("_sid") == F.col("s1"))
-    need = small(stored(need.select("rep", "rep_hash", F.col("s1").alias("sid")), "join-need"))
-    same = (docs["doc_id"] == need["rep"]) & (docs["hash"] == need["rep_hash"])
-    texts = docs.join(need, same).select("sid", "text")
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of, done = worker_tool("shingles", shingle_sets), set()
-        for batch in batches:
-            rows, size = [], 0
-            for sid, text in zip(batch["sid"], batch["text"], strict=True):
-                tokens = of(text)
-                if sid in done or _set_name(tokens)[0] != sid:  # a repeated row, another text with these hashes
-                    continue
-                if len(done) > 1_000_000:
-                    done.clear()
-                done.add(sid)
-                rows.append((sid, tokens.tobytes()))
-                size += tokens.nbytes
-                if size > 16_000_000:
-                    yield pd.DataFrame(rows, columns=["sid", "tokens"])
-                    rows, size = [], 0
-            yield pd.DataFrame(rows, columns=["sid", "tokens"])
-
-    # Tasks that meet copies of a text each send its set: one of them stays.
-    made = texts.mapInPandas(sets, "sid bigint, tokens binary").groupBy("sid").agg(F.first("tokens").alias("tokens"))
-    made = stored(made, "join-tokens")
-    dealt = places.join(made, F.col("_sid") == F.col("sid")).select("a", "slice", "role", "sid", "tokens")
+    names = reps.select("s1", F.col("rep").alias("_rep"), F.col("rep_hash").alias("_hash"))
+    need = places.select("_sid").distinct().join(names, F.col("_sid") == F.col("s1")).drop("s1")
+    need = stored(need, "join-need")
+    same = (docs["doc_id"] == F.col("_rep")) & (docs["hash"] == F.col("_hash"))
+    # Repeated rows of a class's text: one of them stays. Only texts move, never sets.
+    texts = docs.join(small(need), same, "left_semi").groupBy("doc_id", "hash").agg(F.first("text").alias("text"))
+    dealt = places.join(need, "_sid").withColumnRenamed("_sid", "sid")
+    same = (texts["doc_id"] == F.col("_rep")) & (texts["hash"] == F.col("_hash"))
+    dealt = texts.join(dealt, same).select("a", "slice", "role", "sid", "text")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of = worker_tool("shingles", shingle_sets)
         leader, first = None, np.empty(0, dtype=np.uint64)
         for batch in batches:
             found = []
-            for a, role, sid, raw in zip(batch["a"], batch["role"], batch["sid"], batch["tokens"], strict=True):
-                tokens = np.frombuffer(raw, dtype=np.uint64)
+            for a, role, sid, text in zip(batch["a"], batch["role"], batch["sid"], batch["text"], strict=True):
+                tokens = of(text)
                 if role == 0:
                     leader, first = a, tokens
                 elif a == leader:
@@ -356,7 +361,8 @@ def _linked(named: DataFrame, percent: int, share: float) -> DataFrame:
     known = ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # Each class meets its likest one of every key first: that joins most of what is near.
     for best_only in (True, True, False):
-        rest = _unlike(_open_keys(shared, of), reps, percent, best_only).join(known, ["a", "b"], "left_anti")
+        rows = _open_keys(shared, of)
+        rest = _unlike(_first_keys(rows) if best_only else rows, reps, percent, best_only).join(known, ["a", "b"], "left_anti")
         rest = stored(rest, "join-rest")
         if not rest.isEmpty():
             links, known = links.unionByName(_verified(named, reps, rest, percent)), known.unionByName(rest)
@@ -416,6 +422,16 @@ def _open_keys(shared: DataFrame, of: DataFrame) -> DataFrame:
     return stored(kept, "join-open-rows")
 
 
+def _first_keys(rows: DataFrame) -> DataFrame:
+    """Of each class the ``FIRST_KEYS`` keys with the smallest hashes: like classes have like
+    keys, so they likely agree in some of these. ``in_key`` counts the rows that are left."""
+    first = Window.partitionBy("sid").orderBy(F.xxhash64("key"), "key")
+    few = rows.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= FIRST_KEYS).drop("_nth", "in_key")
+    few = stored(few, "join-first-rows")
+    sizes = few.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("in_key")).where("in_key > 1")
+    return few.join(sizes, F.col("key") == F.col("_key")).drop("_key")
+
+
 def _unlike(rows: DataFrame, reps: DataFrame, percent: int, best_only: bool) -> DataFrame:
     """Pairs (a, b) of classes of one key, in different components, whose sizes, bitmaps and
     number of shared keys allow the similarity.
