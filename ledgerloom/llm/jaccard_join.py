@@ -30,6 +30,7 @@ the share in its block.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,15 +142,20 @@ def _describe(share: float):
         held = 0
 
         def frequent() -> pd.DataFrame:
-            tokens, counts = np.unique(np.concatenate(list(block.values())), return_counts=True)
-            often = counts >= max(3, share / 2 * len(block))
-            zero = np.zeros(often.sum(), dtype=np.int64)
+            least = max(3, math.ceil(share / 2 * len(block)))
+            tokens = np.concatenate(list(block.values()))
+            block.clear()  # a worker holds the tokens once, and sorts them in place
+            tokens.sort()
+            often = tokens[least - 1 :][tokens[least - 1 :] == tokens[: 1 - least]]
+            often = often[np.concatenate([[True], often[1:] != often[:-1]])] if len(often) else often
+            counts = np.searchsorted(tokens, often, "right") - np.searchsorted(tokens, often, "left")
+            zero = np.zeros(len(often), dtype=np.int64)
             return pd.DataFrame(
                 {
                     "kind": 1,
-                    "id": tokens[often].view(np.int64),
+                    "id": often.view(np.int64),
                     "hash": zero,
-                    "n": counts[often],
+                    "n": counts,
                     "s1": zero,
                     "s2": zero,
                     "bits": None,
@@ -167,7 +173,7 @@ def _describe(share: float):
                     held += len(tokens)
                 if held >= BLOCK_TOKENS:
                     yield frequent()
-                    block, held = {}, 0
+                    held = 0
             yield pd.DataFrame(rows, columns=names)
         if block:
             yield frequent()

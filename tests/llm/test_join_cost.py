@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import components, jaccard_join
-from ledgerloom.llm.jaccard_join import _first_keys, _word_hashes, shingle_sets
+from ledgerloom.llm.jaccard_join import _describe, _first_keys, _word_hashes, shingle_sets
 
 
 def test_words_are_told_apart_as_a_pattern_does():
@@ -43,6 +46,36 @@ def test_sets_follow_order_and_distinct_shingles():
     assert len(of("a " * 900)) == 1
 
 
+def test_a_task_holds_the_tokens_of_a_block_once(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_TOKENS", 400_000)
+    draw = random.Random(5)
+    shared = " ".join(f"s{k}" for k in range(30))
+    texts = [f"{shared} " + " ".join(f"{draw.getrandbits(40):x}" for _ in range(4000)) for _ in range(110)]
+    frame = pd.DataFrame({"doc_id": range(len(texts)), "hash": range(len(texts)), "text": texts})
+    batches = [frame.iloc[k : k + 1] for k in range(len(frame))]
+    list(_describe(1 / 1000)(iter(batches[:1])))
+    tracemalloc.start()
+    found = pd.concat(_describe(1 / 1000)(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    often = found[found["kind"] == 1].groupby("id")["n"].sum()
+    assert len(often) == 26 and set(often) == {110}
+    assert peak < 3.3 * 400_000 * 8  # the block, its tokens in one array, bitmaps of all texts
+
+
+def test_frequent_tokens_are_counted_as_by_unique():
+    draw = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in draw.integers(0, 3, 40)) for _ in range(200)]
+    frame = pd.DataFrame({"doc_id": range(200), "hash": range(200), "text": texts})
+    found = pd.concat(_describe(0.25)(iter([frame])))
+    found = found[found["kind"] == 1]
+    of = shingle_sets()
+    tokens, counts = np.unique(np.concatenate([of(t) for t in set(texts)]), return_counts=True)
+    often = counts >= max(3, 0.125 * len(set(texts)))
+    assert often.any()
+    assert found["id"].tolist() == tokens[often].view(np.int64).tolist() and found["n"].tolist() == counts[often].tolist()
+
+
 def test_likest_partners_are_sought_among_few_keys(spark):
     rows = spark.range(600).select(
         F.explode(F.sequence(F.lit(1), F.lit(90))).alias("key"),
